@@ -1,0 +1,164 @@
+"""Named queries over the driver's test tables.
+
+Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame built from
+the raw relations that :mod:`reelhouse.sources.fixtures` derives from the
+base tables, so its work grows with them.  Outputs go through
+:func:`comparable`: timestamps as naive UTC (``timestamp_ntz``) and sample
+standard deviations rounded to 6 places, the form the DuckDB oracles in
+:mod:`reelhouse.oracle_sql` produce.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from datetime import datetime, timezone
+from functools import cached_property
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
+
+from reelhouse.operators import dims, facts, marts, staging
+from reelhouse.session import ensure_session_defaults
+from reelhouse.sources.fixtures import raw_relations
+
+AS_OF = datetime(2025, 1, 1, tzinfo=timezone.utc)
+ROUNDED_COLUMNS = {"stddev_rating": 6}
+
+
+def comparable(df: DataFrame) -> DataFrame:
+    cols = []
+    for field in df.schema.fields:
+        c = F.col(field.name)
+        if isinstance(field.dataType, TimestampType):
+            c = c.cast("timestamp_ntz")
+        if field.name in ROUNDED_COLUMNS:
+            c = F.round(c, ROUNDED_COLUMNS[field.name])
+        cols.append(c.alias(field.name))
+    return df.select(*cols)
+
+
+class Layers:
+    """The medallion layers over one test-data directory, built lazily."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = ensure_session_defaults(spark)
+        self.sf_dir = sf_dir
+        self.raw = raw_relations(spark, sf_dir)
+
+    @cached_property
+    def stg(self) -> dict[str, DataFrame]:
+        return staging.staging(self.raw)
+
+    @cached_property
+    def dim_movies(self) -> DataFrame:
+        return dims.dim_movies(self.stg["stg_movies"], self.stg["stg_links"])
+
+    @cached_property
+    def dim_users(self) -> DataFrame:
+        return dims.dim_users(self.stg["stg_ratings"], self.stg["stg_tags"])
+
+    def fact_ratings(self, years=None) -> DataFrame:
+        # dim_users is derived from the same staging data: the user join is a
+        # NULL filter (see facts._key_filter).
+        return facts.fact_ratings(self.stg["stg_ratings"], self.dim_movies, None, years)
+
+    @cached_property
+    def fact_tags(self) -> DataFrame:
+        return facts.fact_tags(self.stg["stg_tags"], self.dim_movies, None)
+
+    def fmgr(self, years=None) -> DataFrame:
+        return facts.fact_movie_genre_ratings(self.fact_ratings(years), self.dim_movies)
+
+    def mart_movie(self, years=None, as_of=AS_OF) -> DataFrame:
+        return marts.mart_movie_analytics(self.fact_ratings(years), self.fact_tags,
+                                          self.dim_movies, as_of)
+
+    def mart_user(self, years=None, as_of=AS_OF) -> DataFrame:
+        return marts.mart_user_behavior(self.fact_ratings(years), self.fact_tags,
+                                        self.dim_movies, None, as_of)
+
+    def mart_genre(self, years=None, as_of=AS_OF) -> DataFrame:
+        return marts.mart_genre_performance(self.fact_ratings(years), self.fact_tags,
+                                            self.dim_movies, self.fmgr(years), as_of)
+
+
+QueryFn = Callable[[SparkSession, str], DataFrame]
+_REGISTRY: dict[str, QueryFn] = {}
+
+
+def query(name: str):
+    def register(fn):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return comparable(fn(Layers(spark, sf_dir)))
+        run.__name__ = name
+        run.__doc__ = fn.__doc__
+        _REGISTRY[name] = run
+        return fn
+    return register
+
+
+def registry() -> dict[str, QueryFn]:
+    return dict(_REGISTRY)
+
+
+# --- A: dataset operators ------------------------------------------------------
+
+@query("stg_movies")
+def _stg_movies(L: Layers):
+    return L.stg["stg_movies"]
+
+
+@query("stg_links")
+def _stg_links(L: Layers):
+    return L.stg["stg_links"]
+
+
+@query("stg_ratings")
+def _stg_ratings(L: Layers):
+    return L.stg["stg_ratings"]
+
+
+@query("stg_tags")
+def _stg_tags(L: Layers):
+    return L.stg["stg_tags"]
+
+
+@query("dim_movies")
+def _dim_movies(L: Layers):
+    return L.dim_movies
+
+
+@query("dim_users")
+def _dim_users(L: Layers):
+    return L.dim_users
+
+
+@query("fact_ratings")
+def _fact_ratings(L: Layers):
+    return L.fact_ratings()
+
+
+@query("fact_tags")
+def _fact_tags(L: Layers):
+    return L.fact_tags
+
+
+@query("fact_movie_genre_ratings")
+def _fmgr(L: Layers):
+    return L.fmgr()
+
+
+@query("mart_movie_analytics")
+def _mart_movie(L: Layers):
+    return L.mart_movie()
+
+
+@query("mart_user_behavior")
+def _mart_user(L: Layers):
+    return L.mart_user()
+
+
+@query("mart_genre_performance")
+def _mart_genre(L: Layers):
+    return L.mart_genre()
