@@ -195,11 +195,11 @@ GENRE_MART = r"""
  LEFT JOIN (SELECT d.genres, count(*) AS total_tags, count(DISTINCT t.user_id) AS unique_taggers
             FROM fact_tags t JOIN dim_movies d ON t.movie_id = d.movie_id GROUP BY d.genres) t ON m.genres = t.genres
  LEFT JOIN (SELECT genres,
-              sum(CASE WHEN year >= 2020 AND year < 2030 THEN 1 ELSE 0 END) AS movies_2020s,
-              sum(CASE WHEN year >= 2010 AND year < 2020 THEN 1 ELSE 0 END) AS movies_2010s,
-              sum(CASE WHEN year >= 2000 AND year < 2010 THEN 1 ELSE 0 END) AS movies_2000s,
-              sum(CASE WHEN year >= 1990 AND year < 2000 THEN 1 ELSE 0 END) AS movies_1990s,
-              sum(CASE WHEN year < 1990 THEN 1 ELSE 0 END) AS movies_before_1990
+              CAST(sum(CASE WHEN year >= 2020 AND year < 2030 THEN 1 ELSE 0 END) AS BIGINT) AS movies_2020s,
+              CAST(sum(CASE WHEN year >= 2010 AND year < 2020 THEN 1 ELSE 0 END) AS BIGINT) AS movies_2010s,
+              CAST(sum(CASE WHEN year >= 2000 AND year < 2010 THEN 1 ELSE 0 END) AS BIGINT) AS movies_2000s,
+              CAST(sum(CASE WHEN year >= 1990 AND year < 2000 THEN 1 ELSE 0 END) AS BIGINT) AS movies_1990s,
+              CAST(sum(CASE WHEN year < 1990 THEN 1 ELSE 0 END) AS BIGINT) AS movies_before_1990
             FROM dim_movies GROUP BY genres) y ON m.genres = y.genres
 """
 
@@ -219,3 +219,22 @@ def user_mart(fr: str = "fact_ratings", as_of: str = AS_OF_SQL) -> str:
 
 def genre_mart(fr: str = "fact_ratings", as_of: str = AS_OF_SQL) -> str:
     return GENRE_MART.format(fr=fr, as_of=as_of)
+
+
+def scd2_sql(mart_t1: str, mart_t2: str, key: str, watched: list[str],
+             t1: str = T1_SQL, t2: str = T2_SQL) -> str:
+    """History after a first load of ``mart_t1`` at t1 and a merge of ``mart_t2`` at t2."""
+    changed = " OR ".join(f"h.{c} IS DISTINCT FROM s.{c}" for c in watched)
+    return f"""
+ WITH h1 AS (SELECT *, {t1} AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to, TRUE AS is_current
+             FROM ({mart_t1}) m1),
+      src AS ({mart_t2})
+ SELECT h.* REPLACE (
+          CASE WHEN s.{key} IS NOT NULL AND ({changed}) THEN {t2} ELSE h.valid_to END AS valid_to,
+          CASE WHEN s.{key} IS NOT NULL AND ({changed}) THEN FALSE ELSE h.is_current END AS is_current)
+ FROM h1 h LEFT JOIN src s ON h.{key} = s.{key}
+ UNION ALL
+ SELECT s.*, {t2} AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to, TRUE AS is_current
+ FROM src s LEFT JOIN h1 h ON h.{key} = s.{key}
+ WHERE h.{key} IS NULL OR ({changed})
+"""
