@@ -31,18 +31,28 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _lenient_integral(c, type_name: str) -> Column:
+    # Fast path: a clean integer (surrounding blanks allowed) casts directly;
+    # only text that fails is matched against the decimal pattern, whose
+    # integer part is kept.  ``coalesce`` evaluates the second branch lazily.
+    c = _col(c)
+    return F.coalesce(c.try_cast(type_name),
+                      F.regexp_extract(c, _INTEGRAL_TEXT, 1).try_cast(type_name))
+
+
 def legacy_int(c) -> Column:
     """String -> int, NULL on bad input, fraction truncated, overflow NULL."""
-    return F.regexp_extract(_col(c), _INTEGRAL_TEXT, 1).try_cast("int")
+    return _lenient_integral(c, "int")
 
 
 def legacy_long(c) -> Column:
     """String -> bigint with the same leniency as :func:`legacy_int`."""
-    return F.regexp_extract(_col(c), _INTEGRAL_TEXT, 1).try_cast("bigint")
+    return _lenient_integral(c, "bigint")
 
 
 def legacy_double(c) -> Column:
-    return F.trim(_col(c)).try_cast("double")
+    """String -> double (surrounding blanks allowed), NULL on bad input."""
+    return _col(c).try_cast("double")
 
 
 def epoch_seconds_to_ts(c) -> Column:
