@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reelhouse.functions.columns import year_range_filter
+from reelhouse.operators.joins import checked_broadcast
 
 # The yearly partitions of fact_ratings run from 1995 up to,
 # but excluding, 2024.
@@ -32,13 +33,16 @@ def _key_filter(df: DataFrame, dim_movies: DataFrame, dim_users: DataFrame | Non
     caller asserts it was derived from the same staging relations (every
     non-NULL user is in it), and the join reduces to ``user_id IS NOT NULL``
     — that saves shuffling the whole fact on the user key.
-    AQE broadcasts the movie keys once it has measured them; a hot movie in a
-    sort-merge join is split by the skew-join rule.
+    The movie keys are broadcast after a size check (the fact is then never
+    shuffled for this join); past the bound a hot movie in the sort-merge
+    join is split by AQE's skew rule.  The user side gets the same check.
     """
-    df = df.join(dim_movies.select("movie_id"), on="movie_id", how="left_semi")
+    movies = checked_broadcast(dim_movies.select("movie_id").distinct())
+    df = df.join(movies, on="movie_id", how="left_semi")
     if dim_users is None:
         return df.filter(F.col("user_id").isNotNull())
-    return df.join(dim_users.select("user_id"), on="user_id", how="left_semi")
+    users = checked_broadcast(dim_users.select("user_id"))
+    return df.join(users, on="user_id", how="left_semi")
 
 
 def fact_ratings(stg_ratings: DataFrame, dim_movies: DataFrame,

@@ -33,10 +33,12 @@ def build_silver(store: TableStore, raw: dict[str, DataFrame],
     users = dims.dim_users(r("stg_ratings"), r("stg_tags"), sort=False).sortWithinPartitions("user_id")
     reports.append(store.full_refresh("dim_users", users))
     years = facts.PARTITION_YEARS if years is None else tuple(years)
-    fr = facts.fact_ratings(r("stg_ratings"), r("dim_movies"), r("dim_users"), years)
+    # dim_users was just built from these staging tables, so every non-NULL
+    # user is in it: the facts' user join reduces to a NULL filter (None).
+    fr = facts.fact_ratings(r("stg_ratings"), r("dim_movies"), None, years)
     reports.append(store.merge_upsert("fact_ratings", fr, years=years))
     reports.append(store.full_refresh("fact_tags",
-                                      facts.fact_tags(r("stg_tags"), r("dim_movies"), r("dim_users"))))
+                                      facts.fact_tags(r("stg_tags"), r("dim_movies"), None)))
     reports.append(store.full_refresh("fact_movie_genre_ratings",
                                       facts.fact_movie_genre_ratings(r("fact_ratings"), r("dim_movies"))))
     return reports
