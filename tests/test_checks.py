@@ -1,0 +1,99 @@
+"""C1–C14 on one passing and one violating input."""
+
+import datetime as dt
+
+from reelhouse.operators import checks
+
+DIM = "movie_id int, title string, year int, genres string, genre_count bigint"
+FR = "user_id int, movie_id int, rating double, created_at timestamp, year int"
+FT = "user_id int, movie_id int, tag string, created_at timestamp, year int"
+T = dt.datetime(2000, 1, 1)
+
+
+def one(df):
+    rows = df.collect()
+    assert len(rows) == 1
+    return rows[0]
+
+
+def test_c1_genre_count(spark):
+    good = spark.createDataFrame([(1, "a", 2000, "drama", 2), (1, "a", 2000, "comedy", 2)], DIM)
+    dup = spark.createDataFrame([(1, "a", 2000, "drama", 2), (1, "a", 2000, "drama", 2)], DIM)
+    assert one(checks.check_dim_movies_genre_count(good)).passed
+    r = one(checks.check_dim_movies_genre_count(dup))
+    assert not r.passed and r.inconsistent_movie_count == 1
+
+
+def test_c2_unique_key(spark):
+    ok = spark.createDataFrame([(1, 1, 4.0, T, 2000), (1, 2, 4.0, T, 2000)], FR)
+    bad = spark.createDataFrame([(1, 1, 4.0, T, 2000), (1, 1, 3.0, T, 2000),
+                                 (None, 1, 3.0, T, 2000), (None, 1, 2.0, T, 2000)], FR)
+    assert one(checks.check_fact_ratings_unique_key(ok)).passed
+    r = one(checks.check_fact_ratings_unique_key(bad))
+    # distinct() semantics: the NULL-keyed pair counts as one key
+    assert (r.passed, r.total_rows, r.distinct_business_keys, r.duplicate_rows) == (False, 4, 2, 2)
+
+
+def test_c3_c4_orphans(spark):
+    dim = spark.createDataFrame([(1, "a", 2000, "drama", 1)], DIM)
+    users = spark.createDataFrame([(1,)], "user_id int")
+    fr = spark.createDataFrame([(1, 1, 4.0, T, 2000), (1, 7, 4.0, T, 2000)], FR)
+    ft = spark.createDataFrame([(1, 1, "x", T, 2000), (5, 8, "y", T, 2000)], FT)
+    r3 = one(checks.check_fact_ratings_movie_fk(fr, dim))
+    assert (r3.passed, r3.orphan_movie_references) == (False, 1)
+    r4 = one(checks.check_fact_tags_fk(ft, dim, users))
+    assert (r4.passed, r4.orphan_movie_references, r4.orphan_user_references) == (False, 1, 1)
+    assert one(checks.check_fact_ratings_movie_fk(fr.filter("movie_id = 1"), dim)).passed
+
+
+def test_c5_to_c10(spark):
+    from reelhouse.operators.facts import fact_movie_genre_ratings
+    from reelhouse.operators.marts import (mart_genre_performance, mart_movie_analytics,
+                                           mart_user_behavior)
+    dim = spark.createDataFrame([(1, "a", 2000, "drama", 2), (1, "a", 2000, "comedy", 2),
+                                 (2, "b", 1990, "drama", 1)], DIM)
+    fr = spark.createDataFrame([(1, 1, 4.0, T, 2000), (2, 1, 3.0, T, 2000),
+                                (1, 2, 5.0, T, 2000)], FR)
+    ft = spark.createDataFrame([(1, 1, "x", T, 2000)], FT)
+    fm = fact_movie_genre_ratings(fr, dim)
+    mm, um = mart_movie_analytics(fr, ft, dim), mart_user_behavior(fr, ft, dim)
+    gm = mart_genre_performance(fr, ft, dim, fm)
+    good = [checks.check_fmgr_preserves_totals(fr, dim, fm),
+            checks.check_movie_mart_row_count(fr, mm), checks.check_movie_mart_totals(fr, mm),
+            checks.check_user_mart_row_count(fr, um), checks.check_genre_mart_row_count(fm, gm),
+            checks.check_genre_mart_set(fm, gm)]
+    assert all(one(c).passed for c in good)
+    r5 = one(checks.check_fmgr_preserves_totals(fr, dim, fm.filter("genres = 'drama'")))
+    assert (r5.passed, r5.expected_exploded_rating_total, r5.actual_rating_count_total) == (False, 5, 3)
+    assert not one(checks.check_movie_mart_row_count(fr, mm.limit(1))).passed
+    assert not one(checks.check_movie_mart_totals(fr, mm.filter("movie_id = 1"))).passed
+    assert not one(checks.check_user_mart_row_count(fr, um.filter("user_id = 1"))).passed
+    extra = gm.unionByName(gm.filter("genres = 'drama'").withColumn("genres",
+                                                                    gm.genres.substr(1, 2)))
+    r9 = one(checks.check_genre_mart_row_count(fm, extra))
+    assert (r9.passed, r9.expected_rows, r9.actual_rows) == (False, 2, 3)
+    r10 = one(checks.check_genre_mart_set(fm, extra.filter("genres <> 'comedy'")))
+    assert (r10.passed, r10.missing_genre_count, r10.unexpected_genre_count) == (False, 1, 1)
+    sides = {r.genres: r.side for r in
+             checks.genre_set_diff(fm, extra.filter("genres <> 'comedy'")).collect()}
+    assert sides == {"comedy": "missing", "dr": "unexpected", "drama": None}
+
+
+def test_bronze_checks(spark, scratch):
+    import os
+    good = os.path.join(scratch, "movies.csv")
+    with open(good, "w") as f:
+        f.write("movieId,title,genres\n1,A (1995),Drama\n2,B (1996),Comedy\n")
+    header = os.path.join(scratch, "links.csv")
+    with open(header, "w") as f:
+        f.write("movieId,imdbId,tmdbId\n")
+    empty = os.path.join(scratch, "tags.csv")
+    open(empty, "w").close()
+    r = one(checks.check_bronze_source(spark, "movies", good))
+    assert (r.passed, r.row_count, r.file_size_bytes) == (True, 2, os.path.getsize(good))
+    r = one(checks.check_bronze_source(spark, "links", header))
+    assert (r.passed, r.row_count) == (False, 0)
+    r = one(checks.check_bronze_source(spark, "tags", empty))
+    assert (r.passed, r.row_count, r.file_size_bytes) == (False, 0, 0)
+    r = one(checks.check_bronze_source(spark, "ratings", os.path.join(scratch, "nope.csv")))
+    assert r.passed is False
