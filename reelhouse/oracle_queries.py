@@ -181,4 +181,9 @@ def oracle() -> dict[str, str]:
             genre_mart("fact_ratings_t1", T1_SQL), genre_mart("fact_ratings", T2_SQL),
             "genres", ["total_ratings", "avg_rating", "popularity_tier"])), FR_T1),
     }
+    for name in ("movies", "links", "ratings", "tags"):
+        q[f"land_raw_{name}"] = _q(f"SELECT * FROM raw_{name}")
+        q[f"check_bronze_{name}"] = _q(
+            f"SELECT 'bronze_{name}_has_data' AS \"check\", count(*) > 0 AS passed, "
+            f"count(*) AS row_count FROM raw_{name}")
     return q

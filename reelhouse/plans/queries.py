@@ -370,3 +370,35 @@ def _snap_user(L: Layers):
 @query("snap_mart_genre_performance")
 def _snap_genre(L: Layers):
     return _snapshot(L, "mart_genre_performance")
+
+
+# --- A1 / C11–C14: bronze landing over CSV text ------------------------------------
+
+def _landing_dir(spark: SparkSession) -> str:
+    import uuid
+    from reelhouse.session import checkpoint_dir
+    return f"{checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4().hex[:12]}"
+
+
+def _landed(L: Layers, name: str) -> tuple[str, DataFrame]:
+    """Write the raw relation as CSV part files (shared folder), read it back."""
+    from reelhouse.sources.csv import read_raw_csv, write_raw_csv
+    path = f"{_landing_dir(L.spark)}/{name}"
+    write_raw_csv(L.raw[name], path)
+    return path, read_raw_csv(L.spark, path, name)
+
+
+def _register_bronze(name: str):
+    @query(f"land_raw_{name}")
+    def _land(L: Layers):
+        return _landed(L, name)[1]
+
+    @query(f"check_bronze_{name}")
+    def _check(L: Layers):
+        path, _ = _landed(L, name)
+        return checks.check_bronze_source(L.spark, name, path).select("check", "passed",
+                                                                      "row_count")
+
+
+for _name in ("movies", "links", "ratings", "tags"):
+    _register_bronze(_name)

@@ -51,20 +51,33 @@ def source_path(src_dir: str, name: str) -> str:
 
 
 def source_file_stats(spark: SparkSession, path: str) -> DataFrame:
-    """One row: ``row_count`` (physical lines minus the header, floored at 0),
-    ``file_size_bytes`` and ``source_path``.
+    """One row: ``row_count``, ``file_size_bytes`` and ``source_path``.
 
-    Lines are counted physically (a quoted newline counts twice), as a plain
-    line count of the file does.  The count is a distributed ``count`` over
-    the text lines; the size comes from the file metadata column.
+    ``path`` may be one file or a directory of part files, each with its own
+    header line: the count is, per file, physical lines minus the header
+    (floored at 0), summed.  Lines are physical, so a quoted newline counts
+    twice, as a plain line count of the file does.  The per-file counts are
+    a distributed aggregate; sizes come from the file metadata column.
     """
-    lines = spark.read.text(path).select(F.col("_metadata.file_size").alias("size"))
-    return lines.agg(
-        F.greatest(F.count(F.lit(1)) - 1, F.lit(0)).alias("row_count"),
-        F.coalesce(F.max("size"), F.lit(0)).cast("bigint").alias("file_size_bytes"),
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("f"),
+                                         F.col("_metadata.file_size").alias("size"))
+    per_file = lines.groupBy("f").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
+    return per_file.agg(
+        F.coalesce(F.sum(F.greatest(F.col("n") - 1, F.lit(0))), F.lit(0)).cast("bigint")
+         .alias("row_count"),
+        F.coalesce(F.sum("size"), F.lit(0)).cast("bigint").alias("file_size_bytes"),
     ).select("row_count", "file_size_bytes", F.lit(path).alias("source_path"))
 
 
+def write_raw_csv(df: DataFrame, path: str) -> None:
+    """Write a raw relation as CSV part files the reader above reads back
+    unchanged: header per file, doubled quotes, blanks kept, NULL as an
+    empty field and the empty string as ``""``."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
+
+
 def land_raw(spark: SparkSession, src_dir: str, bronze_root: str | None = None,
              names=tuple(SOURCE_FILES)) -> dict[str, DataFrame]:
     """A1: land each source unchanged (all strings) as a bronze Parquet table.
