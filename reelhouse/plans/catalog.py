@@ -11,6 +11,9 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 # The gold tables the serving layer sees.
+SNAPSHOT_PARTITIONS = [("is_current", "boolean"), ("closed_run", "string")]
+GOLD_PARTITIONS = {t: SNAPSHOT_PARTITIONS for t in (
+    "snap_mart_movie_analytics", "snap_mart_user_behavior", "snap_mart_genre_performance")}
 GOLD_TABLES = ["mart_movie_analytics", "mart_user_behavior", "mart_genre_performance",
                "snap_mart_movie_analytics", "snap_mart_user_behavior",
                "snap_mart_genre_performance"]
@@ -21,18 +24,32 @@ def _ident(name: str) -> str:
 
 
 def register_tables(spark: SparkSession, database: str, tables: dict[str, str],
-                    partitioned: dict[str, str] | None = None) -> list[str]:
-    """Create ``database`` if needed and point each table at its path."""
+                    partitioned: dict[str, list[tuple[str, str]]] | None = None) -> list[str]:
+    """Create ``database`` if needed and point each table at its path.
+
+    ``partitioned`` gives, per table, its partition columns with their SQL
+    types (directory values would otherwise be inferred, e.g. a boolean as
+    a string); the data columns come from the files' schema.
+    """
     partitioned = partitioned or {}
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {_ident(database)}")
     done = []
     for name, path in tables.items():
         full = f"{_ident(database)}.{_ident(name)}"
         spark.sql(f"DROP TABLE IF EXISTS {full}")
-        location = path.replace("'", "\\'")
-        spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{location}'")
-        if name in partitioned:
+        location = path.replace("\\", "\\\\").replace("'", "\\'")
+        parts = partitioned.get(name)
+        if parts:
+            part_names = [c for c, _ in parts]
+            data = [f for f in spark.read.parquet(path).schema.fields if f.name not in part_names]
+            cols = [f"{_ident(f.name)} {f.dataType.simpleString()}" for f in data]
+            cols += [f"{_ident(c)} {t}" for c, t in parts]
+            spark.sql(f"CREATE TABLE {full} ({', '.join(cols)}) USING parquet "
+                      f"PARTITIONED BY ({', '.join(_ident(c) for c in part_names)}) "
+                      f"LOCATION '{location}'")
             spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
+        else:
+            spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{location}'")
         spark.catalog.refreshTable(f"{database}.{name}")
         done.append(name)
     return done

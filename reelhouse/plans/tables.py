@@ -22,7 +22,7 @@ protocol, so a reader racing a rewrite can see a partial table.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -45,6 +45,15 @@ LAYERS = {
     "snap_mart_genre_performance": "gold/snapshots",
 }
 PARTITIONED = {"fact_ratings": "year"}
+# SCD2 histories are partitioned by is_current and the run that closed a row.
+CLOSED_RUN = "closed_run"
+
+
+def run_label(ts: datetime) -> str:
+    """Partition label of a snapshot run, e.g. ``20250101T000000Z``."""
+    if ts.tzinfo is not None:
+        ts = ts.astimezone(timezone.utc)
+    return ts.strftime("%Y%m%dT%H%M%S") + (f"{ts.microsecond:06d}" if ts.microsecond else "") + "Z"
 
 
 @dataclass
@@ -97,6 +106,8 @@ class TableStore:
 
     def read(self, name: str) -> DataFrame:
         """Load a table by path (partition columns restored)."""
+        if self._is_snapshot(name):
+            return self.read_history(name)
         return self.spark.read.parquet(self.path(name))
 
     # -- B1 / B2 ---------------------------------------------------------------
@@ -168,17 +179,47 @@ class TableStore:
                              "first keys: " + str([tuple(r) for r in bad.take(5)]))
 
     # -- B4 --------------------------------------------------------------------
+    def _is_snapshot(self, name: str) -> bool:
+        return LAYERS.get(name) == "gold/snapshots"
+
+    def read_history(self, name: str, current_only: bool = False) -> DataFrame:
+        """An SCD2 history in its contract form (mart columns + valid_from,
+        valid_to, is_current).  ``current_only`` prunes to one partition."""
+        df = self.spark.read.parquet(self.path(name))
+        if current_only:
+            df = df.filter(F.col("is_current") == "true")
+        return df.withColumn("is_current", F.col("is_current").cast("boolean")).drop(CLOSED_RUN)
+
     def snapshot(self, name: str, source: DataFrame, key: str, check_cols: list[str],
                  effective_ts: datetime | None = None) -> LoadReport:
-        """Merge ``source`` into the SCD2 history table ``name``."""
-        history = self.read(name) if self.exists(name) else None
-        new_history = scd2_ops.scd2_merge(history, source, key, check_cols, effective_ts)
-        if history is not None:
-            new_history = self._cut_lineage(new_history)
+        """Merge ``source`` into the SCD2 history table ``name``.
+
+        The history is stored partitioned by ``(is_current, closed_run)``:
+        current rows live in one partition, and the versions a run closes
+        land in a partition named after the run.  A run therefore reads
+        only the current partition and, in one dynamic-overwrite commit,
+        replaces it and adds its closed partition: the cost follows the
+        current rows and the changes, never the accumulated history, and
+        closed history is never rewritten.  Re-running with the same
+        ``effective_ts`` rewrites the same two partitions with the same rows.
+        """
+        effective_ts = effective_ts or datetime.now(timezone.utc)
+        run = run_label(effective_ts)
+        first = not self.exists(name)
+        current = None if first else self.read_history(name, current_only=True)
+        merged = scd2_ops.scd2_merge(current, source, key, check_cols, effective_ts)
+        merged = merged.withColumn(CLOSED_RUN, F.when(~F.col("is_current"), F.lit(run)))
+        if not first:
+            merged = self._cut_lineage(merged)
         obs = Observation(f"snapshot_{name}")
-        observed = new_history.observe(obs, F.count(F.lit(1)).alias("row_count"),
-                                       F.count_if(F.col("is_current")).alias("current_row_count"))
-        observed.write.mode("overwrite").parquet(self.path(name))
+        observed = merged.observe(obs, F.count(F.lit(1)).alias("rows_written"),
+                                  F.count_if(F.col("is_current")).alias("current_row_count"),
+                                  F.count_if(~F.col("is_current")).alias("closed_this_run"))
+        (observed.write.mode("overwrite")
+         .option("partitionOverwriteMode", "static" if first else "dynamic")
+         .partitionBy("is_current", CLOSED_RUN).parquet(self.path(name)))
         m = obs.get
-        return LoadReport(name, self.path(name), int(m["row_count"]), schema_text(source),
-                          {"current_row_count": int(m["current_row_count"])})
+        total = self.read_history(name).count()
+        return LoadReport(name, self.path(name), int(total), schema_text(source),
+                          {"current_row_count": int(m["current_row_count"]),
+                           "closed_this_run": int(m["closed_this_run"]), "run": run})

@@ -44,3 +44,11 @@ def test_build_from_csv(spark, scratch):
     assert counts["fact_ratings"] == 2 and counts["fact_tags"] == 1
     assert counts["mart_user_behavior"] == 2 and counts["mart_genre_performance"] == 2
     assert all(r.passed for r in out["checks"].collect())
+
+
+def test_catalog_snapshot_types(spark, scratch):
+    out = build_lakehouse(spark, scratch, raw=raw_relations(spark, SMALL), database="gold_types")
+    t = spark.table("gold_types.snap_mart_user_behavior")
+    assert dict(t.dtypes)["is_current"] == "boolean"
+    assert t.filter("is_current").count() == {r["table"]: r for r in out["reports"]}[
+        "snap_mart_user_behavior"]["current_row_count"]
