@@ -21,7 +21,23 @@ TABLES = ("part", "lineitem", "orders", "events")
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_scan(spark, spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+
+
+def spread_small_scan(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A Parquet file is split by row group; a small file written as one row
+    group is read by a single task, and everything fused into that stage
+    (the string re-shaping below, the staging casts after it) then runs on
+    one core.  Such a scan is round-robin repartitioned to the default
+    parallelism.  A large input already has more splits than cores, so the
+    rule never adds a shuffle at scale.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def _s(c):
