@@ -13,7 +13,8 @@ SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from reelhouse.session import build_session, checkpoint_dir
-    s = build_session("local[*]", app_name="reelhouse-tests", shuffle_partitions=8)
+    s = build_session("local[*]", app_name="reelhouse-tests", shuffle_partitions=8,
+                      extra_conf={"spark.driver.memory": "6g"})
     # Tests own their checkpoint folder only when the session names none.
     if not s.sparkContext.getCheckpointDir() and not s.sparkContext.getConf().get(
             "spark.checkpoint.dir", None):
