@@ -1,19 +1,26 @@
 """Upsert (MERGE ... WHEN MATCHED UPDATE * WHEN NOT MATCHED INSERT *).
 
-Plain Parquet has no MERGE, so the merge is a single full outer join of the
-target with the updates on the business key:
+Plain Parquet has no MERGE, so the merge is expressed as two joins on the
+business key:
 
-* a target row with no matching update stays as it is (no delete clause);
-* a matched target row takes every update column; a target column the
-  updates lack keeps the target value (schema evolution);
-* an update with no match is inserted; NULL keys never match (plain ``=``),
-  so NULL-key rows are always inserted and never replace anything;
-* one target row matched by two updates is an error, as in MERGE
-  (:func:`multi_matched_keys` finds them; the table writer raises).
+* ``target LEFT ANTI updates`` — target rows no update matches stay as
+  they are (no delete clause);
+* ``updates LEFT OUTER target`` — every update row, once per target row it
+  matches: matched rows take every update column, and a target column the
+  updates lack keeps the target value (schema evolution); unmatched updates
+  are inserted once.  Duplicate target keys therefore stay duplicates, each
+  updated, exactly as MERGE updates each of them.
 
-One target row matched by one update yields one row, so duplicate target
-keys survive as duplicates, exactly as MERGE updates each of them.  The
-join is one shuffle of both sides on the key.
+NULL keys never match (plain ``=``), so NULL-key rows are always kept or
+inserted.  One target row matched by two updates is an error in MERGE
+(:func:`multi_matched_keys` finds them; the table writer raises).
+
+Plan and cost: each join shuffles its sides on the key.  The anti join's
+build side is the update *keys* only and the left join's build side the
+target keys (plus target-only columns), so compared with one full outer
+join the extra shuffle is two narrow key projections.  In exchange both join
+types are covered by AQE's skew-join rule, which splits a key holding a
+large share of the rows — a full outer join cannot be split.
 """
 
 from __future__ import annotations
@@ -23,9 +30,6 @@ from pyspark.sql import functions as F
 
 FACT_RATINGS_KEYS = ("user_id", "movie_id", "created_at")
 
-_T, _S = "__t_present", "__s_present"
-
-
 def _match_condition(keys, left: str, right: str) -> Column:
     cond = None
     for k in keys:
@@ -39,19 +43,15 @@ def upsert(target: DataFrame, updates: DataFrame, keys=FACT_RATINGS_KEYS) -> Dat
     keys = list(keys)
     t_cols, s_cols = target.columns, updates.columns
     out_cols = t_cols + [c for c in s_cols if c not in t_cols]
-    t = target.withColumn(_T, F.lit(True)).alias("t")
-    s = updates.withColumn(_S, F.lit(True)).alias("s")
-    j = t.join(s, _match_condition(keys, "t", "s"), "full_outer")
-    from_update = F.col(f"s.{_S}").isNotNull()
-    cols = []
-    for c in out_cols:
-        if c in s_cols and c in t_cols:
-            cols.append(F.when(from_update, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
-        elif c in s_cols:
-            cols.append(F.col(f"s.{c}").alias(c))
-        else:
-            cols.append(F.col(f"t.{c}").alias(c))
-    return j.select(*cols)
+    kept = target.join(updates.select(*keys), keys, "left_anti")
+    t_only = [c for c in t_cols if c not in s_cols]
+    t = target.select(*keys, *t_only).alias("t")
+    s = updates.alias("s")
+    written = s.join(t, _match_condition(keys, "s", "t"), "left_outer").select(
+        *[F.col(f"s.{c}") if c in s_cols else F.col(f"t.{c}") for c in out_cols])
+    typed = [F.lit(None).cast(f.dataType).alias(f.name) for f in updates.schema.fields
+             if f.name not in t_cols]
+    return kept.select(*t_cols, *typed).unionByName(written.select(*out_cols))
 
 
 def multi_matched_keys(target: DataFrame, updates: DataFrame, keys=FACT_RATINGS_KEYS) -> DataFrame:
