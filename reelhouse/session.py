@@ -13,10 +13,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings that change results.  Everything else is left to the cluster.
+# Settings that change results.  Everything else is left to the cluster
+# (table writes set their partition-overwrite mode per write).
 SEMANTIC_CONF = {
     "spark.sql.session.timeZone": "UTC",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 # JVM flags for sessions this module starts.  Catalyst fuses long chains of
