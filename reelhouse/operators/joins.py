@@ -11,6 +11,9 @@ large fact would still be written to shuffle files in full.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+from contextvars import ContextVar
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,10 +21,33 @@ from pyspark.sql import functions as F
 # in a hashed relation), far below executor memory.
 BROADCAST_MAX_ROWS = 2_000_000
 
+_DECISIONS: ContextVar[dict | None] = ContextVar("broadcast_decisions", default=None)
+
+
+@contextmanager
+def same_inputs_scope():
+    """Within the block, a side with the same plan is sized only once.
+
+    Only for building one query over inputs that cannot change meanwhile;
+    table rewrites never run inside it, so a decision cannot go stale.
+    """
+    token = _DECISIONS.set({})
+    try:
+        yield
+    finally:
+        _DECISIONS.reset(token)
+
 
 def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` if ``df`` has at most ``max_rows`` rows, else ``df``."""
     if max_rows <= 0:
         return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    memo = _DECISIONS.get()
+    key = (df.semanticHash(), max_rows) if memo is not None else None
+    if key is not None and key in memo:
+        small = memo[key]
+    else:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        if key is not None:
+            memo[key] = small
+    return F.broadcast(df) if small else df

@@ -20,6 +20,7 @@ from pyspark.sql.types import TimestampType
 
 from reelhouse.operators import checks, dims, facts, marts, reports, scd2, staging
 from reelhouse.operators import upsert as upsert_mod
+from reelhouse.operators.joins import same_inputs_scope
 from reelhouse.session import ensure_session_defaults
 from reelhouse.sources.fixtures import raw_relations
 
@@ -91,7 +92,8 @@ _REGISTRY: dict[str, QueryFn] = {}
 def query(name: str):
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return comparable(fn(Layers(spark, sf_dir)))
+            with same_inputs_scope():
+                return comparable(fn(Layers(spark, sf_dir)))
         run.__name__ = name
         run.__doc__ = fn.__doc__
         _REGISTRY[name] = run
