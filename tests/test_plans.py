@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from reelhouse.operators import facts
 from reelhouse.operators.joins import checked_broadcast

@@ -3,7 +3,6 @@
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from reelhouse.operators.upsert import multi_matched_keys, upsert
 from reelhouse.plans.tables import TableStore
