@@ -68,8 +68,9 @@ def checkpoint_dir(spark: SparkSession, fallback_root: str | None = None) -> str
     """Return the shared checkpoint folder, registering it with the context.
 
     The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    (tests, a laptop) is a folder under ``fallback_root`` (the table root, so
-    still shared storage) or, as a last resort, ``$TMPDIR`` used.
+    is a folder under ``fallback_root`` (the table root, so still shared
+    storage) used, and a machine-local ``$TMPDIR`` folder only in local mode
+    (tests, a laptop).  A cluster session with neither is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -79,8 +80,10 @@ def checkpoint_dir(spark: SparkSession, fallback_root: str | None = None) -> str
     if not configured:
         if fallback_root:
             configured = fallback_root.rstrip("/") + "/_checkpoints"
-        else:
+        elif sc.master.startswith("local"):
             configured = os.path.join(os.environ.get("TMPDIR", "/tmp"),
                                       "reelhouse-checkpoints-" + uuid.uuid4().hex[:8])
+        else:
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
