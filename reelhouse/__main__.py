@@ -27,6 +27,8 @@ def main(argv=None) -> None:
     for report in out["reports"]:
         print(json.dumps({k: v for k, v in report.items() if k != "schema"}))
     failed = [r.check for r in out["checks"].filter("NOT passed").collect()]
+    if out["bronze_checks"] is not None:
+        failed += [r.check for r in out["bronze_checks"].filter("NOT passed").collect()]
     print(json.dumps({"registered": out["registered"], "failed_checks": failed}))
 
 

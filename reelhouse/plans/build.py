@@ -18,7 +18,7 @@ from reelhouse.operators import checks, dims, facts, marts, staging
 from reelhouse.operators.scd2 import SNAPSHOT_SPECS
 from reelhouse.plans.catalog import GOLD_PARTITIONS, GOLD_TABLES, register_tables
 from reelhouse.plans.tables import LoadReport, TableStore
-from reelhouse.sources.csv import land_raw
+from reelhouse.sources.csv import SOURCE_FILES, land_raw, source_path
 
 
 def build_silver(store: TableStore, raw: dict[str, DataFrame],
@@ -80,14 +80,25 @@ def build_lakehouse(spark: SparkSession, root: str, raw: dict[str, DataFrame] |
     """Run every layer.  Raw input is either ``raw`` relations or the CSV
     files in ``src_dir`` (landed into bronze first)."""
     store = TableStore(spark, root)
+    bronze_checks = None
+    reports: list[LoadReport] = []
     if raw is None:
         if src_dir is None:
             raise ValueError("give raw relations or a source directory")
+        # C11–C14 first: a missing or empty source stops nothing here but is
+        # reported, as the original's source checks do.
+        bronze_checks = reduce(
+            lambda a, b: a.unionByName(b),
+            [checks.check_bronze_source(spark, n, source_path(src_dir, n)) for n in SOURCE_FILES])
         raw = land_raw(spark, src_dir, f"{store.root}/bronze")
-    reports = build_silver(store, raw, years) + build_gold(store, as_of)
+        for row in bronze_checks.collect():  # one row per source file
+            reports.append(LoadReport(f"bronze_{row.check.split('_')[1]}", row.source_path,
+                                      int(row.row_count), "csv",
+                                      {"file_size_bytes": int(row.file_size_bytes)}))
+    reports += build_silver(store, raw, years) + build_gold(store, as_of)
     registered = []
     if database:
         registered = register_tables(spark, database,
                                      {t: store.path(t) for t in GOLD_TABLES}, GOLD_PARTITIONS)
     return {"reports": [x.as_dict() for x in reports], "registered": registered,
-            "checks": run_checks(store)}
+            "checks": run_checks(store), "bronze_checks": bronze_checks}

@@ -44,6 +44,10 @@ def test_build_from_csv(spark, scratch):
     assert counts["fact_ratings"] == 2 and counts["fact_tags"] == 1
     assert counts["mart_user_behavior"] == 2 and counts["mart_genre_performance"] == 2
     assert all(r.passed for r in out["checks"].collect())
+    assert counts["bronze_ratings"] == 2 and counts["bronze_movies"] == 2
+    sizes = {r["table"]: r["file_size_bytes"] for r in out["reports"] if r["table"].startswith("bronze_")}
+    assert sizes["bronze_tags"] == os.path.getsize(os.path.join(src, "tags.csv"))
+    assert all(r.passed for r in out["bronze_checks"].collect())
 
 
 def test_catalog_snapshot_types(spark, scratch):
