@@ -56,3 +56,27 @@ def test_catalog_snapshot_types(spark, scratch):
     assert dict(t.dtypes)["is_current"] == "boolean"
     assert t.filter("is_current").count() == {r["table"]: r for r in out["reports"]}[
         "snap_mart_user_behavior"]["current_row_count"]
+
+
+def test_tables_survive_a_new_session(spark, scratch):
+    import subprocess
+    import sys
+    build_lakehouse(spark, scratch, raw=raw_relations(spark, SMALL))
+    code = (
+        "import sys; sys.path.insert(0, %r)\n"
+        "from reelhouse.session import build_session\n"
+        "from reelhouse.plans.tables import TableStore\n"
+        "from reelhouse.plans.catalog import register_tables\n"
+        "s = build_session('local[2]', shuffle_partitions=2)\n"
+        "st = TableStore(s, %r)\n"
+        "register_tables(s, 'again', {'fact_ratings': st.path('fact_ratings')}, "
+        "{'fact_ratings': [('year', 'int')]})\n"
+        "print(st.read('fact_ratings').count(), s.table('again.fact_ratings').count(), "
+        "st.read('snap_mart_movie_analytics').filter('is_current').count())\n"
+    ) % (os.path.dirname(os.path.dirname(os.path.abspath(__file__))), scratch)
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True,
+                         timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    fact, catalog, current = map(int, out.stdout.split()[-3:])
+    assert fact == catalog == 5332
+    assert current == TableStore(spark, scratch).read("mart_movie_analytics").count()
