@@ -2,8 +2,8 @@
 
     python tools/build_timings.py [/root/testdata/sf0.1] [runs]
 
-Builds into a fresh folder under $TMPDIR per run, times every step, prints
-one JSON line with the median seconds per step.
+Builds into a fresh folder under the session's checkpoint folder per run,
+times every step, prints one JSON line with the median seconds per step.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import json
 import os
 import statistics
 import sys
-import tempfile
+import uuid
 import time
 from datetime import datetime, timezone
 
@@ -26,7 +26,10 @@ def one_run(spark, sf_dir: str) -> dict[str, float]:
     from reelhouse.plans.tables import TableStore
     from reelhouse.sources.fixtures import raw_relations
 
-    store = TableStore(spark, tempfile.mkdtemp(prefix="run-build-"))
+    from reelhouse.session import checkpoint_dir
+    # scratch tables next to the checkpoints: shared storage on a cluster
+    root = f"{checkpoint_dir(spark).rstrip('/')}/bench-build-{uuid.uuid4().hex[:12]}"
+    store = TableStore(spark, root)
     raw = raw_relations(spark, sf_dir)
     out: dict[str, float] = {}
 
