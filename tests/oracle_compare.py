@@ -7,6 +7,7 @@ order-insensitive comparison of the values.
 from __future__ import annotations
 
 import datetime as dt
+import os
 import math
 import sys
 
@@ -18,7 +19,7 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
-    con.execute("SET TimeZone = 'UTC'")
+    con.execute(f"SET TimeZone = '{os.environ.get('DUCK_TZ', 'UTC')}'")
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_dir}/{t}.parquet')")
     return con

@@ -68,3 +68,16 @@ def test_store_snapshot_reports(spark, scratch):
     r3 = store.snapshot("snap_mart_movie_analytics", s2, "movie_id", COLS, T3)
     assert (r3.row_count, r3.extra["current_row_count"]) == (3, 2)
     assert store.read("snap_mart_movie_analytics").filter(~F.col("is_current")).count() == 1
+
+
+def test_source_gains_a_column(spark):
+    h1 = scd2_merge(None, src(spark, [(1, 10, 3.0, "Average", "a"), (2, 5, 2.0, "Below", "b")]),
+                    "movie_id", COLS, T1)
+    s2 = spark.createDataFrame([(1, 10, 3.0, "Average", "a", 7), (2, 6, 2.0, "Below", "b", 8)],
+                               SRC + ", extra int")
+    h2 = by_key(scd2_merge(h1, s2, "movie_id", COLS, T2))
+    # unchanged row keeps its stored version (extra stays NULL); the changed
+    # key's new version carries the new column
+    assert len(h2[1]) == 1 and h2[1][0].extra is None
+    old, new = h2[2]
+    assert old.extra is None and new.extra == 8 and new.is_current
