@@ -3,14 +3,15 @@
 import pytest
 
 import __spark_entry__ as E
+from reelhouse.plans.queries import registry
 from tests.conftest import SMALL
 from tests.oracle_compare import compare
 
-NAMES = sorted(E.queries())
+NAMES = sorted(registry())
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(NAMES) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", NAMES)
