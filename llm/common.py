@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +16,25 @@ from reelhouse.session import checkpoint_dir
 SPACE = r"[\x20\x09-\x0D]"
 
 
+def ship(spark: SparkSession) -> None:
+    """Let the Python workers import this package, wherever they run."""
+    sc = spark.sparkContext
+    if getattr(sc, "_llm_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(), "llm_package.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for name in ("llm", "reelhouse"):
+            for folder, _, files in os.walk(os.path.join(top, name)):
+                for f in files:
+                    if f.endswith(".py"):
+                        z.write(os.path.join(folder, f), os.path.relpath(os.path.join(folder, f), top))
+    sc.addPyFile(path)
+    sc._llm_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

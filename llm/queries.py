@@ -6,11 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from llm.bpe import op10_byte_bpe
+from llm.packing import op8_best_fit_packing
+from llm.quality import OP4_SQL, op4_host_quality_rules
+from llm.secrets import op3_secret_scan
 from llm.simhash import op2_simhash_near_dedup
+from llm.warc import OP5_SQL, op5_warc_revisits
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_simhash_near_dedup,)
-}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+    op2_simhash_near_dedup, op3_secret_scan, op4_host_quality_rules, op5_warc_revisits, op8_best_fit_packing, op10_byte_bpe)}
 
 #: DuckDB statements for those that SQL can express over whole tables.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_host_quality_rules": OP4_SQL, "op5_warc_revisits": OP5_SQL}
