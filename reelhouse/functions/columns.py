@@ -27,6 +27,10 @@ ALL_GENRES_SEPARATOR = ", "
 _INTEGRAL_TEXT = r"^\s*([+-]?\d+)(\.\d*)?\s*$"
 
 
+# The first second of year 1 and the last of year 9999, UTC.
+EPOCH_RANGE = (-62135596800, 253402300799)
+
+
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -56,8 +60,13 @@ def legacy_double(c) -> Column:
 
 
 def epoch_seconds_to_ts(c) -> Column:
-    """Epoch-seconds text -> TIMESTAMP (the session zone only affects display)."""
-    return F.timestamp_seconds(legacy_long(c))
+    """Epoch-seconds text -> TIMESTAMP (the session zone only affects display).
+
+    Values beyond the years 1 to 9999 (e.g. an epoch in microseconds) are
+    malformed and become NULL; the multiplication would overflow.
+    """
+    seconds = legacy_long(c)
+    return F.when(seconds.between(*EPOCH_RANGE), F.timestamp_seconds(seconds))
 
 
 def normalize_imdb_id(c) -> Column:

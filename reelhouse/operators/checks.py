@@ -6,6 +6,8 @@ checks, or tested like any query.  Metrics from different relations are
 combined without a cross join: every part is a one-row aggregate with its
 own columns, the parts are unioned by name and folded with ``max``.
 
+Fixed values: the names of the checks, as their callers know them.
+
 ``select(cols).distinct().count()`` semantics are kept where the original
 uses them (a NULL key counts as one value), unlike ``count(DISTINCT)``.
 """
@@ -29,6 +31,18 @@ def _result(name: str, metrics: DataFrame, passed: Column, order: list[str]) ->
     return metrics.select(F.lit(name).alias("check"), passed.alias("passed"), *order)
 
 
+def _per_key(df: DataFrame, key: str) -> DataFrame:
+    """(key, n): rows per key.  Written alike wherever a check needs it, so that
+    the checks of one run share its exchange."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+
+
+def _orphans(df: DataFrame, key: str, dim: DataFrame, alias: str) -> DataFrame:
+    """Rows of ``df`` whose key the dimension lacks: counted per key before the join."""
+    unknown = _per_key(df, key).join(dim.select(key), key, "left_anti")
+    return unknown.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias(alias))
+
+
 def _distinct_rows(df: DataFrame, cols: list[str], alias: str) -> DataFrame:
     # groupBy keeps NULL as a group, like distinct(); the partial aggregate
     # de-duplicates map-side before the shuffle.
@@ -62,9 +76,7 @@ def check_fact_ratings_unique_key(fact_ratings: DataFrame) -> DataFrame:
 
 def check_fact_ratings_movie_fk(fact_ratings: DataFrame, dim_movies: DataFrame) -> DataFrame:
     """No rating references a movie missing from dim_movies."""
-    orphans = fact_ratings.select("movie_id").join(dim_movies.select("movie_id"), "movie_id",
-                                                   "left_anti")
-    metrics = orphans.agg(F.count(F.lit(1)).alias("orphan_movie_references"))
+    metrics = _orphans(fact_ratings, "movie_id", dim_movies, "orphan_movie_references")
     return _result("fact_ratings_has_valid_movie_keys", metrics,
                    F.col("orphan_movie_references") == 0, ["orphan_movie_references"])
 
@@ -72,11 +84,8 @@ def check_fact_ratings_movie_fk(fact_ratings: DataFrame, dim_movies: DataFrame)
 def check_fact_tags_fk(fact_tags: DataFrame, dim_movies: DataFrame,
                        dim_users: DataFrame) -> DataFrame:
     """C4: no tag references an unknown movie or user."""
-    om = (fact_tags.select("movie_id").join(dim_movies.select("movie_id"), "movie_id", "left_anti")
-          .agg(F.count(F.lit(1)).alias("orphan_movie_references")))
-    ou = (fact_tags.select("user_id").join(dim_users.select("user_id"), "user_id", "left_anti")
-          .agg(F.count(F.lit(1)).alias("orphan_user_references")))
-    metrics = _combine([om, ou])
+    metrics = _combine([_orphans(fact_tags, "movie_id", dim_movies, "orphan_movie_references"),
+                        _orphans(fact_tags, "user_id", dim_users, "orphan_user_references")])
     return _result("fact_tags_has_valid_user_and_movie_keys", metrics,
                    (F.col("orphan_movie_references") == 0) & (F.col("orphan_user_references") == 0),
                    ["orphan_movie_references", "orphan_user_references"])
@@ -90,7 +99,7 @@ def check_fmgr_preserves_totals(fact_ratings: DataFrame, dim_movies: DataFrame,
     rows of the movie): both sides are reduced per movie first, so the
     exploded join is never materialised.
     """
-    per_movie_r = fact_ratings.groupBy("movie_id").agg(F.count(F.lit(1)).alias("n"))
+    per_movie_r = _per_key(fact_ratings, "movie_id")
     per_movie_d = dim_movies.groupBy("movie_id").agg(F.count(F.lit(1)).alias("k"))
     expected = (per_movie_r.join(per_movie_d, "movie_id")
                 .agg(F.coalesce(F.sum(F.col("n") * F.col("k")), F.lit(0)).cast("bigint")
@@ -113,12 +122,13 @@ def _row_count_check(name: str, expected: DataFrame, mart: DataFrame) -> DataFra
 def check_movie_mart_row_count(fact_ratings: DataFrame, mart: DataFrame) -> DataFrame:
     """One mart row per distinct rated movie."""
     return _row_count_check("mart_movie_analytics_matches_distinct_movies",
-                            _distinct_rows(fact_ratings, ["movie_id"], "expected_rows"), mart)
+                            _per_key(fact_ratings, "movie_id").agg(F.count("n").alias("expected_rows")), mart)
 
 
 def check_movie_mart_totals(fact_ratings: DataFrame, mart: DataFrame) -> DataFrame:
     """Σ total_ratings = number of fact rows."""
-    expected = fact_ratings.agg(F.count(F.lit(1)).alias("expected_total_ratings"))
+    expected = _per_key(fact_ratings, "movie_id").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("expected_total_ratings"))
     actual = mart.agg(F.coalesce(F.sum("total_ratings"), F.lit(0)).cast("bigint")
                       .alias("actual_total_ratings"))
     metrics = _combine([expected, actual])

@@ -99,7 +99,9 @@ def scd2_merge(history: DataFrame | None, source: DataFrame, key: str, check_col
     return closed.unionByName(merged, allowMissingColumns=True).select(*out_cols)
 
 
-def scd2_counts(history: DataFrame) -> DataFrame:
-    """Load report of a history: total and current row counts."""
-    return history.agg(F.count(F.lit(1)).alias("row_count"),
-                       F.count_if(F.col("is_current")).alias("current_row_count"))
+def assert_single_source_rows(current: DataFrame, source: DataFrame, key: str) -> None:
+    """Raise if the source repeats the key of a current row (MERGE would)."""
+    twice = source.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(key)
+    bad = current.select(key).join(twice, key, "left_semi").limit(5).collect()
+    if bad:
+        raise ValueError(f"SCD2: a current row is matched by several source rows; first keys: {[r[0] for r in bad]}")

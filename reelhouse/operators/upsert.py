@@ -60,8 +60,3 @@ def multi_matched_keys(target: DataFrame, updates: DataFrame, keys=FACT_RATINGS_
     matching = updates.select(*keys).join(target.select(*keys).distinct(), keys, "left_semi")
     return matching.groupBy(*keys).agg(F.count(F.lit(1)).alias("update_rows")) \
                    .filter(F.col("update_rows") > 1)
-
-
-def touched_rows(updates: DataFrame) -> DataFrame:
-    """Rows the merge writes (updated + inserted) — one row per update."""
-    return updates.agg(F.count(F.lit(1)).alias("rows_touched"))

@@ -181,9 +181,28 @@ def oracle() -> dict[str, str]:
             genre_mart("fact_ratings_t1", T1_SQL), genre_mart("fact_ratings", T2_SQL),
             "genres", ["total_ratings", "avg_rating", "popularity_tier"])), FR_T1),
     }
+    known = "user_id IN (SELECT user_id FROM stg_tags)"
+    q |= {
+        "fact_ratings_known_users": _q(f"SELECT * FROM fact_ratings WHERE {known}"),
+        "fact_tags_known_users": _q("SELECT * FROM fact_tags WHERE user_id IN (SELECT user_id FROM stg_ratings)"),
+        "mart_user_behavior_known_users": _q(_rounded(f"SELECT * FROM ({um}) u WHERE {known}")),
+        "store_merge_upsert": _q(
+            "SELECT user_id, movie_id, CASE WHEN year = 1999 THEN least(rating + 0.5, 5.0) ELSE rating END AS rating, "
+            "created_at, year, CASE WHEN year >= 1999 THEN year = 1999 END AS corrected FROM fact_ratings "
+            "UNION ALL SELECT user_id, movie_id, rating, NULL, NULL, NULL FROM ("
+            "SELECT DISTINCT user_id, movie_id, rating FROM fact_ratings WHERE user_id = 1 AND year BETWEEN 1995 AND 1999) d "
+            "CROSS JOIN (SELECT unnest([1, 2]) AS i) t"),
+        "store_backfill": q["backfill"],
+        "store_snapshot_movie": q["snap_mart_movie_analytics"],
+        "store_snapshot_user": q["snap_mart_user_behavior"],
+        "store_snapshot_genre": q["snap_mart_genre_performance"],
+        "store_refresh_and_append": _q("SELECT * FROM fact_ratings WHERE year IN (1995, 1996) UNION ALL "
+                                       "SELECT * FROM fact_ratings WHERE year IN (1996, 1997)"),
+        "register_tables": q["mart_genre_performance"],
+    }
     for name in ("movies", "links", "ratings", "tags"):
         q[f"land_raw_{name}"] = _q(f"SELECT * FROM raw_{name}")
         q[f"check_bronze_{name}"] = _q(
             f"SELECT 'bronze_{name}_has_data' AS \"check\", count(*) > 0 AS passed, "
-            f"count(*) AS row_count FROM raw_{name}")
+            f"count(*) AS row_count, TRUE AS has_bytes, TRUE AS has_path FROM raw_{name}")
     return q

@@ -40,10 +40,10 @@ raw_b AS (
  SELECT CASE WHEN o_custkey % 10 = 0 THEN o_custkey % 100 WHEN o_custkey % 10 = 1 THEN o_custkey % 50
              WHEN o_custkey % 10 = 2 THEN o_custkey % 300 ELSE o_custkey END AS u,
         CASE WHEN l_partkey % 50 = 7 AND l_linenumber = 7 THEN l_partkey + 9000000
-             WHEN l_partkey % 20 = 0 THEN l_partkey % 400 ELSE l_partkey END AS m,
+             WHEN l_partkey % 20 = 0 THEN l_partkey % 400
+             WHEN l_partkey % 20 = 1 AND l_linenumber > 1 THEN (l_partkey - 1) % 400 ELSE l_partkey END AS m,
         l_quantity AS q, l_shipdate AS d, l_linenumber AS n, l_orderkey AS k
- FROM lineitem JOIN orders ON l_orderkey = o_orderkey
- WHERE NOT (l_partkey % 20 = 1 AND l_linenumber > 1)),
+ FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
 raw_ratings AS (
  SELECT CAST(u AS VARCHAR) AS "userId", CAST(m AS VARCHAR) AS "movieId",
   CASE WHEN q = 1 THEN '0.0' WHEN q = 2 THEN '5.5' WHEN q = 3 THEN NULL

@@ -1,9 +1,10 @@
 """Register tables in the Spark catalog (create or replace).
 
-External Parquet tables over the table paths: dropping an external table
-never touches its files, so "replace" is drop + create, which also picks
-up a changed schema.  Partitioned tables get their partitions recovered,
-otherwise they read as empty.
+External Parquet tables over the table paths.  A table that is there with the
+same columns is only pointed at its path, so it's never absent; one whose
+columns changed is dropped and created again, which for an external table
+touches no file.  A managed table of the name owns its files: it's refused.
+Partitioned tables get their partitions recovered, otherwise they read as empty.
 """
 
 from __future__ import annotations
@@ -36,7 +37,9 @@ def register_tables(spark: SparkSession, database: str, tables: dict[str, str],
     done = []
     for name, path in tables.items():
         full = f"{_ident(database)}.{_ident(name)}"
-        spark.sql(f"DROP TABLE IF EXISTS {full}")
+        there = spark.catalog.tableExists(full)
+        if there and spark.catalog.getTable(full).tableType != "EXTERNAL":
+            raise ValueError(f"{full} is a managed table or a view; it isn't replaced")
         location = path.replace("\\", "\\\\").replace("'", "\\'")
         parts = partitioned.get(name)
         if parts:
@@ -44,12 +47,19 @@ def register_tables(spark: SparkSession, database: str, tables: dict[str, str],
             data = [f for f in spark.read.parquet(path).schema.fields if f.name not in part_names]
             cols = [f"{_ident(f.name)} {f.dataType.simpleString()}" for f in data]
             cols += [f"{_ident(c)} {t}" for c, t in parts]
-            spark.sql(f"CREATE TABLE {full} ({', '.join(cols)}) USING parquet "
-                      f"PARTITIONED BY ({', '.join(_ident(c) for c in part_names)}) "
-                      f"LOCATION '{location}'")
-            spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
+            made = (f"CREATE TABLE {full} ({', '.join(cols)}) USING parquet "
+                    f"PARTITIONED BY ({', '.join(_ident(c) for c in part_names)}) LOCATION '{location}'")
+            wanted = [(f.name, f.dataType.simpleString()) for f in data] + list(parts)
+        else:
+            made = f"CREATE TABLE {full} USING parquet LOCATION '{location}'"
+            wanted = spark.read.parquet(path).dtypes
+        if there and spark.table(full).dtypes == wanted:
+            spark.sql(f"ALTER TABLE {full} SET LOCATION '{location}'")
         else:
-            spark.sql(f"CREATE TABLE {full} USING parquet LOCATION '{location}'")
-        spark.catalog.refreshTable(f"{database}.{name}")
+            spark.sql(f"DROP TABLE IF EXISTS {full}")
+            spark.sql(made)
+        if parts:
+            spark.sql(f"ALTER TABLE {full} RECOVER PARTITIONS")
+        spark.catalog.refreshTable(full)
         done.append(name)
     return done

@@ -10,6 +10,7 @@ standard deviations rounded to 6 places, the form the DuckDB oracles in
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 from functools import cached_property
@@ -20,8 +21,11 @@ from pyspark.sql.types import TimestampType
 
 from reelhouse.operators import checks, dims, facts, marts, reports, scd2, staging
 from reelhouse.operators import upsert as upsert_mod
-from reelhouse.operators.joins import same_inputs_scope
-from reelhouse.session import ensure_session_defaults
+from reelhouse.plans.catalog import register_tables
+from reelhouse.plans.files import Folders
+from reelhouse.plans.tables import TableStore
+from reelhouse.session import checkpoint_dir, ensure_session_defaults
+from reelhouse.sources.csv import land_raw, source_path, write_raw_csv
 from reelhouse.sources.fixtures import raw_relations
 
 AS_OF = datetime(2025, 1, 1, tzinfo=timezone.utc)
@@ -82,7 +86,7 @@ class Layers:
 
     def mart_genre(self, years=None, as_of=AS_OF) -> DataFrame:
         return marts.mart_genre_performance(self.fact_ratings(years), self.fact_tags,
-                                            self.dim_movies, self.fmgr(years), as_of)
+                                            self.dim_movies, as_of)
 
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -92,8 +96,7 @@ _REGISTRY: dict[str, QueryFn] = {}
 def query(name: str):
     def register(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            with same_inputs_scope():
-                return comparable(fn(Layers(spark, sf_dir)))
+            return comparable(fn(Layers(spark, sf_dir)))
         run.__name__ = name
         run.__doc__ = fn.__doc__
         _REGISTRY[name] = run
@@ -172,9 +175,9 @@ def _mart_genre(L: Layers):
 @query("join_inner")
 def _join_inner(L: Layers):
     """Ratings ⨝ dim_movies: ratings per genre."""
-    return (L.fact_ratings().select("movie_id")
-            .join(L.dim_movies.select("movie_id", "genres"), "movie_id", "inner")
-            .groupBy("genres").agg(F.count(F.lit(1)).alias("rating_count")))
+    per_movie = L.fact_ratings().groupBy("movie_id").agg(F.count(F.lit(1)).alias("n"))
+    return (per_movie.join(L.dim_movies.select("movie_id", "genres"), "movie_id", "inner")
+            .groupBy("genres").agg(F.sum("n").alias("rating_count")))
 
 
 @query("join_left")
@@ -242,7 +245,7 @@ def _win_count(L: Layers):
 
 @query("win_top1")
 def _win_top1(L: Layers):
-    return marts.preferred_genres(L.fact_ratings(), L.dim_movies)
+    return marts.preferred_genres(facts.rating_rollup(L.fact_ratings(), "user_id", "movie_id"), L.dim_movies)
 
 
 @query("sort_users")
@@ -284,8 +287,7 @@ def _report_preferred_genres(L: Layers):
 
 # --- C: checks -----------------------------------------------------------------
 
-# Each check names the relations it reads; only those are built (building a
-# mart runs the size checks of its joins).
+# Each check names the relations it reads; only those are built.
 CHECKS = {
     "check_dim_movies_genre_count": (checks.check_dim_movies_genre_count, ["dim_movies"]),
     "check_fact_ratings_unique_key": (checks.check_fact_ratings_unique_key, ["fact_ratings"]),
@@ -391,32 +393,122 @@ def _snap_genre(L: Layers):
     return _snapshot(L, "mart_genre_performance")
 
 
-# --- A1 / C11–C14: bronze landing over CSV text ------------------------------------
+# --- users that the dimension doesn't know -------------------------------------------
+
+def _taggers(L: Layers) -> DataFrame:
+    """A user dimension that lacks the users who only rate."""
+    return dims.dim_users(L.stg["stg_tags"], L.stg["stg_tags"], sort=False)
+
+
+@query("fact_ratings_known_users")
+def _fact_ratings_known(L: Layers):
+    return facts.fact_ratings(L.stg["stg_ratings"], L.dim_movies, _taggers(L))
+
+
+@query("fact_tags_known_users")
+def _fact_tags_known(L: Layers):
+    raters = dims.dim_users(L.stg["stg_ratings"], L.stg["stg_ratings"], sort=False)
+    return facts.fact_tags(L.stg["stg_tags"], L.dim_movies, raters)
+
+
+@query("mart_user_behavior_known_users")
+def _mart_user_known(L: Layers):
+    return marts.mart_user_behavior(L.fact_ratings(), L.fact_tags, L.dim_movies, _taggers(L), AS_OF)
+
+
+# --- stored tables: written, merged and read back --------------------------------------
+
+def _scratch(spark: SparkSession, kind: str) -> str:
+    """A folder in shared storage that goes when the driver ends."""
+    return Folders(spark).remove_at_exit(f"{checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex[:12]}")
+
+
+def _store(L: Layers) -> TableStore:
+    return TableStore(L.spark, _scratch(L.spark, "lake"))
+
 
-def _landing_dir(spark: SparkSession) -> str:
-    import uuid
-    from reelhouse.session import checkpoint_dir
-    return f"{checkpoint_dir(spark).rstrip('/')}/landing-{uuid.uuid4().hex[:12]}"
+@query("store_merge_upsert")
+def _store_merge_upsert(L: Layers):
+    """The merge of ``merge_upsert`` through the stored table, one of its rows with a NULL year,
+    the second load with a column the first lacked."""
+    store = _store(L)
+    unknown = L.fact_ratings(UPSERT_FIRST_YEARS).filter("user_id = 1").withColumn("created_at", F.lit(None).cast("timestamp"))
+    odd = unknown.withColumn("year", F.lit(None).cast("int")).select("user_id", "movie_id", "rating", "created_at", "year").distinct()
+    first, later = L.fact_ratings(UPSERT_FIRST_YEARS), L.fact_ratings(UPSERT_LATER_YEARS)
+    store.merge_upsert("fact_ratings", first.unionByName(odd))
+    half = F.when(F.col("year") == UPSERT_CORRECTED_YEAR, F.least(F.col("rating") + 0.5, F.lit(5.0))).otherwise(F.col("rating"))
+    store.merge_upsert("fact_ratings", later.withColumn("rating", half).withColumn("corrected", F.col("year") == UPSERT_CORRECTED_YEAR))
+    store.merge_upsert("fact_ratings", odd.withColumn("corrected", F.lit(None).cast("boolean")))
+    return store.read("fact_ratings").select("user_id", "movie_id", "rating", "created_at", "year", "corrected")
 
 
-def _landed(L: Layers, name: str) -> tuple[str, DataFrame]:
-    """Write the raw relation as CSV part files (shared folder), read it back."""
-    from reelhouse.sources.csv import read_raw_csv, write_raw_csv
-    path = f"{_landing_dir(L.spark)}/{name}"
-    write_raw_csv(L.raw[name], path)
-    return path, read_raw_csv(L.spark, path, name)
+@query("store_backfill")
+def _store_backfill(L: Layers):
+    store = _store(L)
+    for years in (BACKFILL_BASE_YEARS, BACKFILL_YEARS, BACKFILL_YEARS):
+        store.merge_upsert("fact_ratings", L.fact_ratings(years), years=years)
+    return store.read("fact_ratings").select("user_id", "movie_id", "rating", "created_at", "year")
+
+
+def _register_store_snapshot(short: str, mart: str):
+    @query(f"store_snapshot_{short}")
+    def _run(L: Layers):
+        """The history through the stored table: two loads, and the second once more."""
+        key, cols = scd2.SNAPSHOT_SPECS[mart]
+        build = {"movie": L.mart_movie, "user": L.mart_user, "genre": L.mart_genre}[short]
+        store, name = _store(L), f"snap_{mart}"
+        store.snapshot(name, build(SNAP_T1_YEARS, SNAP_T1), key, cols, SNAP_T1)
+        store.full_refresh(mart, build(None, SNAP_T2))
+        for _ in range(2):
+            store.snapshot(name, store.read(mart), key, cols, SNAP_T2)
+        return store.read(name)
+
+
+for _short, _mart in (("movie", "mart_movie_analytics"), ("user", "mart_user_behavior"), ("genre", "mart_genre_performance")):
+    _register_store_snapshot(_short, _mart)
+
+
+@query("store_refresh_and_append")
+def _store_append(L: Layers):
+    store = _store(L)
+    store.full_refresh("fact_ratings", L.fact_ratings([1999]))
+    store.full_refresh("fact_ratings", L.fact_ratings([1995, 1996]))
+    store.append("fact_ratings", L.fact_ratings([1996, 1997]))
+    return store.read("fact_ratings").select("user_id", "movie_id", "rating", "created_at", "year")
+
+
+@query("register_tables")
+def _register_tables(L: Layers):
+    """The genre mart through the catalog, registered twice."""
+    store = _store(L)
+    store.full_refresh("mart_genre_performance", L.mart_genre())
+    database = f"gold_{uuid.uuid4().hex[:8]}"
+    for _ in range(2):
+        register_tables(L.spark, database, {"mart_genre_performance": store.path("mart_genre_performance")})
+    return L.spark.table(f"{database}.mart_genre_performance")
+
+
+# --- A1 / C11–C14: bronze landing over CSV text ------------------------------------
+
+def _sources(L: Layers, name: str) -> str:
+    """A source directory with the raw relation as CSV part files (shared folder)."""
+    src = _scratch(L.spark, "landing")
+    write_raw_csv(L.raw[name], source_path(src, name))
+    return src
 
 
 def _register_bronze(name: str):
     @query(f"land_raw_{name}")
     def _land(L: Layers):
-        return _landed(L, name)[1]
+        src = _sources(L, name)
+        return land_raw(L.spark, src, f"{src}/bronze", names=(name,))[name]
 
     @query(f"check_bronze_{name}")
     def _check(L: Layers):
-        path, _ = _landed(L, name)
-        return checks.check_bronze_source(L.spark, name, path).select("check", "passed",
-                                                                      "row_count")
+        path = source_path(_sources(L, name), name)
+        found = checks.check_bronze_source(L.spark, name, path)
+        return found.select("check", "passed", "row_count", (F.col("file_size_bytes") > 0).alias("has_bytes"),
+                            (F.col("source_path") == path).alias("has_path"))
 
 
 for _name in ("movies", "links", "ratings", "tags"):

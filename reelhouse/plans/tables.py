@@ -8,29 +8,33 @@ Layout under one root (kept from the original lakehouse)::
     <root>/gold/marts/<mart>
     <root>/gold/snapshots/snap_<mart>
 
-Tables are Parquet directories.  Every write is one Spark job: row counts
-come from an ``Observation`` attached to the write instead of a second
-``count()`` that would re-run the plan.
-
-Jobs that rewrite a table from itself (upsert, snapshot) first cut the
-lineage with ``checkpoint()`` into the cluster's shared checkpoint folder;
-the rewrite then reads the checkpoint, never the files it replaces, and a
-lost executor recomputes from the checkpoint.  Plain Parquet has no commit
-protocol, so a reader racing a rewrite can see a partial table.
+Tables are Parquet directories.  Beside them, ``<root>/_notes/<table>.json``
+records a table's schema and row counts, so that a read has every column the
+table ever got, and a load report needs no recount of what wasn't touched.
+
+A write never touches the stored files until its output is complete: it goes
+to a folder beside the table first and is then moved in, whole tables or
+single partitions, the old ones aside.  The move is recorded by a marker, so
+that a driver that dies half-way is caught up by the next access; one that
+dies before leaves the table as it was.  Between the moves of one write a
+concurrent reader may see some partitions new and others old.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from reelhouse.operators import scd2 as scd2_ops
 from reelhouse.operators import upsert as upsert_ops
-from reelhouse.session import checkpoint_dir, ensure_session_defaults
+from reelhouse.plans.files import Folders, stage
+from reelhouse.session import ensure_session_defaults
 
 # Where each table lives below the root.
 LAYERS = {
@@ -70,30 +74,13 @@ class LoadReport:
                 "schema": self.schema, **self.extra}
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Does ``path`` exist on its file system (HDFS, object store, local)?"""
-    try:
-        sc = spark.sparkContext
-        p = sc._jvm.org.apache.hadoop.fs.Path(path)
-        return bool(p.getFileSystem(sc._jsc.hadoopConfiguration()).exists(p))
-    except AttributeError:  # no JVM handle (remote session): probe with a read
-        try:
-            spark.read.text(path).limit(0).collect()
-            return True
-        except AnalysisException:
-            return False
-
-
-def schema_text(df: DataFrame) -> str:
-    return "\n".join(f"  {f.name}: {f.dataType.simpleString()}" for f in df.schema.fields)
-
-
 class TableStore:
     """Parquet tables under ``root`` (shared storage on a cluster)."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = ensure_session_defaults(spark)
         self.root = root.rstrip("/")
+        self.folders = Folders(spark)
 
     # -- B5 / B7 ---------------------------------------------------------------
     def path(self, name: str) -> str:
@@ -101,31 +88,102 @@ class TableStore:
         return f"{self.root}/{layer}/{name}"
 
     def exists(self, name: str) -> bool:
-        """Is there a committed table at the path (first-load branch)."""
-        return path_exists(self.spark, self.path(name) + "/_SUCCESS")
+        """Does the path hold data, or a table recorded as empty?"""
+        self._catch_up(name)
+        return self.folders.has_data(self.path(name)) or (
+            self.note(name) is not None and self.folders.exists(self.path(name)))
+
+    def note(self, name: str) -> dict | None:
+        return self.folders.read_note(f"{self.root}/_notes/{name}.json")
+
+    def _record(self, name: str, schema: StructType, **counts: int) -> None:
+        self.folders.write_note(f"{self.root}/_notes/{name}.json", {"schema": json.loads(schema.json()), **counts})
+
+    def _stored(self, name: str) -> DataFrame:
+        self._catch_up(name)
+        note = self.note(name)
+        reader = self.spark.read
+        if note:
+            reader = reader.schema(StructType.fromJson(note["schema"]))
+        else:  # written by another program: every file's columns
+            reader = reader.option("mergeSchema", True)
+        return reader.parquet(self.path(name))
 
     def read(self, name: str) -> DataFrame:
-        """Load a table by path (partition columns restored)."""
-        if self._is_snapshot(name):
-            return self.read_history(name)
-        return self.spark.read.parquet(self.path(name))
-
-    # -- B1 / B2 ---------------------------------------------------------------
+        """Load a table by path (partition columns restored, evolved columns included)."""
+        return self.read_history(name) if self._is_snapshot(name) else self._stored(name)
+
+    # -- publishing ------------------------------------------------------------
+    def _beside(self, name: str) -> str:
+        return f"{self.root}/_writes/{name}"
+
+    def _publish(self, name: str, new: str, parts: list[str]) -> None:
+        """Move the folders ``parts`` of ``new`` (relative; "" is the whole table) into the table."""
+        beside = self._beside(name)
+        self.folders.write_note(f"{beside}/MOVE.json", {"new": new, "parts": parts})
+        self._catch_up(name)
+
+    def _catch_up(self, name: str) -> None:
+        """Finish a recorded move; every step can be repeated."""
+        beside = self._beside(name)
+        move = self.folders.read_note(f"{beside}/MOVE.json")
+        if not move:
+            return
+        for k, part in enumerate(move["parts"]):
+            new, old = f"{move['new']}/{part}".rstrip("/"), f"{beside}/old-{k}"
+            target = f"{self.path(name)}/{part}".rstrip("/")
+            if not self.folders.exists(new):  # moved already
+                continue
+            if self.folders.exists(target):
+                if self.folders.exists(old):
+                    raise OSError(f"{target} appeared while a write was being moved in")
+                self.folders.move(target, old)
+            self.folders.move(new, target)
+        self.folders.remove(beside)
+
+    def _partitions(self, folder: str, depth: int) -> list[str]:
+        """Relative paths of the partition folders ``depth`` levels below."""
+        found = [""]
+        for _ in range(depth):
+            found = [f"{p}/{n}".lstrip("/") for p in found for n in self.folders.names(f"{folder}/{p}") if "=" in n]
+        return found
+
+    # -- B1 / B2 / B6 ------------------------------------------------------------
     def full_refresh(self, name: str, df: DataFrame) -> LoadReport:
-        """B1/B2: overwrite table (and schema) and report the row count, one job."""
-        obs = Observation(f"refresh_{name}")
-        writer = df.observe(obs, F.count(F.lit(1)).alias("row_count")).write.mode("overwrite")
-        part = PARTITIONED.get(name)
-        if part:
-            writer = writer.partitionBy(part)
-        # A static overwrite replaces the whole directory, even when the
-        # session's partition overwrite mode is dynamic.
-        writer.option("partitionOverwriteMode", "static").parquet(self.path(name))
-        return LoadReport(name, self.path(name), int(obs.get["row_count"]), schema_text(df))
+        """B1/B2: replace a table and report its row count, in one job.
 
-    def _cut_lineage(self, df: DataFrame) -> DataFrame:
-        checkpoint_dir(self.spark, fallback_root=self.root)
-        return df.checkpoint(eager=True)
+        Staging tables keep their schema (B2): a changed one is refused.  A
+        partitioned table's rows are rebalanced by partition, so that the files
+        follow the data's size, not tasks x partitions.
+        """
+        note = self.note(name)
+        if name.startswith("stg_") and note and _kinds(StructType.fromJson(note["schema"])) != _kinds(df.schema):
+            raise ValueError(f"{name}: schema differs from the stored table's")
+        part = PARTITIONED.get(name)
+        new = f"{self._beside(name)}/new-{uuid.uuid4().hex}"
+        rows = Observation()
+        writer = (df.hint("rebalance", part) if part else df).observe(rows, F.count(F.lit(1)).alias("n")).write
+        (writer.partitionBy(part) if part else writer).parquet(new)
+        n = int(rows.get["n"])
+        self._publish(name, new, [""])
+        self._record(name, df.schema, row_count=n)
+        return LoadReport(name, self.path(name), n, schema_text(df))
+
+    def append(self, name: str, df: DataFrame) -> LoadReport:
+        """Add rows; a table that isn't there is created, a changed schema refused."""
+        if not self.exists(name):
+            return self.full_refresh(name, df)
+        stored = self._stored(name)
+        if _kinds(stored.schema) != _kinds(df.schema):
+            raise ValueError(f"{name}: schema differs from the stored table's")
+        part, before = PARTITIONED.get(name), (self.note(name) or {}).get("row_count")
+        before = stored.count() if before is None else before
+        rows = Observation()
+        writer = (df.hint("rebalance", part) if part else df).observe(rows, F.count(F.lit(1)).alias("n")).write.mode("append")
+        (writer.partitionBy(part) if part else writer).parquet(self.path(name))
+        n = int(rows.get["n"])
+        self._record(name, stored.schema, row_count=before + n)
+        return LoadReport(name, self.path(name), before + n, schema_text(df), {"rows_touched": n})
 
     # -- B3 / B9 ---------------------------------------------------------------
     def merge_upsert(self, name: str, updates: DataFrame,
@@ -134,36 +192,44 @@ class TableStore:
         """Upsert ``updates`` into the year-partitioned table ``name``.
 
         ``year`` is a function of the key ``created_at`` (UTC pinned), so a
-        match can only happen inside one year partition: only the affected
-        partitions are read, merged and rewritten (dynamic overwrite).  The
-        first load writes everything without de-duplication.  ``years``
-        names the partitions ``updates`` covers when the caller knows them
-        (e.g. a backfill); otherwise their distinct years are looked up.
+        match can only happen inside one year partition: only the partitions
+        that the updates have rows in (a NULL year's too) are read, merged and
+        replaced.  The updates are evaluated once, into the shared checkpoint
+        folder, which is emptied again after the commit.  The first load writes
+        everything without de-duplication.  ``years`` names the partitions the
+        caller means to touch; updates outside them are refused.
         """
-        part = PARTITIONED.get(name, "year")
-        path = self.path(name)
+        part, path = PARTITIONED.get(name, "year"), self.path(name)
         if not self.exists(name):
             report = self.full_refresh(name, updates)
             report.extra["rows_touched"] = report.row_count
             return report
-        if years is None:
-            years = sorted(r[0] for r in updates.select(part).distinct().collect()
-                           if r[0] is not None)
-        years = sorted(set(int(y) for y in years))
-        target = self.read(name).filter(F.col(part).isin(years))
-        if validate:
-            self._assert_single_matches(target, updates, keys)
-        merged = upsert_ops.upsert(target, updates, keys)
-        merged = merged.select(*[c for c in merged.columns if c != part], part)
-        merged = self._cut_lineage(merged)
-        obs = Observation(f"merge_{name}")
-        (merged.observe(obs, F.count(F.lit(1)).alias("partition_rows"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(part).parquet(path))
-        total = self.read(name).count()
-        return LoadReport(name, path, int(total), schema_text(updates),
-                          {"rows_in_rewritten_partitions": int(obs.get["partition_rows"]),
-                           "partitions": years})
+        staged, where, touched = stage(updates, self.root)
+        try:
+            found = [r[0] for r in staged.select(part).distinct().collect()]  # as many as calendar years
+            if years is not None and (beyond := [y for y in found if y not in set(years)]):
+                raise ValueError(f"{name}: updates have rows of {sorted(beyond, key=str)}, which aren't among the years given")
+            stored = self._stored(name)
+            among = F.col(part).isin([y for y in found if y is not None])
+            target = stored.filter(among | F.col(part).isNull() if None in found else among)
+            if validate:
+                self._assert_single_matches(target, staged, keys)
+            before = target.count()  # from the footers of the partitions touched
+            merged = upsert_ops.upsert(target, staged, keys)
+            merged = merged.select(*[c for c in merged.columns if c != part], part)
+            new = f"{self._beside(name)}/new-{uuid.uuid4().hex}"
+            rows = Observation()
+            (merged.hint("rebalance", part).observe(rows, F.count(F.lit(1)).alias("n"))
+             .write.partitionBy(part).parquet(new))
+            after, note = int(rows.get["n"]), self.note(name) or {}
+            total = note["row_count"] if "row_count" in note else stored.count()
+            self._publish(name, new, self._partitions(new, 1))
+            self._record(name, merged.schema, row_count=total - before + after)
+        finally:
+            self.folders.remove(where)
+        return LoadReport(name, path, total - before + after, schema_text(updates),
+                          {"rows_touched": touched, "rows_in_rewritten_partitions": after,
+                           "partitions": sorted(found, key=lambda y: (y is None, y))})
 
     @staticmethod
     def _assert_single_matches(target: DataFrame, updates: DataFrame, keys) -> None:
@@ -185,9 +251,9 @@ class TableStore:
     def read_history(self, name: str, current_only: bool = False) -> DataFrame:
         """An SCD2 history in its contract form (mart columns + valid_from,
         valid_to, is_current).  ``current_only`` prunes to one partition."""
-        df = self.spark.read.parquet(self.path(name))
+        df = self._stored(name)
         if current_only:
-            df = df.filter(F.col("is_current") == "true")
+            df = df.filter(F.col("is_current") == F.lit("true"))
         return df.withColumn("is_current", F.col("is_current").cast("boolean")).drop(CLOSED_RUN)
 
     def snapshot(self, name: str, source: DataFrame, key: str, check_cols: list[str],
@@ -195,31 +261,49 @@ class TableStore:
         """Merge ``source`` into the SCD2 history table ``name``.
 
         The history is stored partitioned by ``(is_current, closed_run)``:
-        current rows live in one partition, and the versions a run closes
-        land in a partition named after the run.  A run therefore reads
-        only the current partition and, in one dynamic-overwrite commit,
-        replaces it and adds its closed partition: the cost follows the
-        current rows and the changes, never the accumulated history, and
-        closed history is never rewritten.  Re-running with the same
-        ``effective_ts`` rewrites the same two partitions with the same rows.
+        current rows live in one partition, and the versions a run closes go to
+        a partition of that run alone; its label is the run's clock and a random
+        part, so no run, not even one with the same clock and a corrected
+        source, ever replaces closed versions.  A run reads and replaces the
+        current partition and adds its closed one, which one move publishes:
+        the cost follows the current rows and the changes, never the
+        accumulated history.  A key that the source repeats is refused where a
+        current row has it, as MERGE would refuse it.
         """
         effective_ts = effective_ts or datetime.now(timezone.utc)
-        run = run_label(effective_ts)
+        run = f"{run_label(effective_ts)}-{uuid.uuid4().hex[:8]}"
         first = not self.exists(name)
         current = None if first else self.read_history(name, current_only=True)
-        merged = scd2_ops.scd2_merge(current, source, key, check_cols, effective_ts)
-        merged = merged.withColumn(CLOSED_RUN, F.when(~F.col("is_current"), F.lit(run)))
-        if not first:
-            merged = self._cut_lineage(merged)
-        obs = Observation(f"snapshot_{name}")
-        observed = merged.observe(obs, F.count(F.lit(1)).alias("rows_written"),
-                                  F.count_if(F.col("is_current")).alias("current_row_count"),
-                                  F.count_if(~F.col("is_current")).alias("closed_this_run"))
-        (observed.write.mode("overwrite")
-         .option("partitionOverwriteMode", "static" if first else "dynamic")
-         .partitionBy("is_current", CLOSED_RUN).parquet(self.path(name)))
-        m = obs.get
-        total = self.read_history(name).count()
-        return LoadReport(name, self.path(name), int(total), schema_text(source),
-                          {"current_row_count": int(m["current_row_count"]),
-                           "closed_this_run": int(m["closed_this_run"]), "run": run})
+        staged, where, _ = stage(source, self.root)
+        try:
+            if not first:
+                scd2_ops.assert_single_source_rows(current, staged, key)
+            merged = scd2_ops.scd2_merge(current, staged, key, check_cols, effective_ts)
+            merged = merged.withColumn(CLOSED_RUN, F.when(~F.col("is_current"), F.lit(run)))
+            new, seen = f"{self._beside(name)}/new-{uuid.uuid4().hex}", Observation()
+            (merged.observe(seen, F.count(F.lit(1)).alias("n"), F.count_if(F.col("is_current")).alias("current"))
+             .write.partitionBy("is_current", CLOSED_RUN).parquet(new))
+            n, now, note = int(seen.get["n"]), int(seen.get["current"]), self.note(name) or {}
+            if first:
+                total = n
+                self._publish(name, new, [""])
+            else:
+                total = note["row_count"] if "row_count" in note else self.read_history(name).count()
+                total += n - (note["current_row_count"] if "current_row_count" in note else current.count())
+                # The closed versions first: they are new files, and hide nothing if the move is cut short.
+                self._publish(name, new, sorted(self._partitions(new, 2)))
+            schema = StructType([StructField(f.name, StringType() if f.name == "is_current" else f.dataType)
+                                 for f in merged.schema.fields])
+            self._record(name, schema, row_count=total, current_row_count=now)
+        finally:
+            self.folders.remove(where)
+        return LoadReport(name, self.path(name), total, schema_text(source),
+                          {"current_row_count": now, "closed_this_run": n - now, "run": run})
+
+
+def _kinds(schema: StructType) -> list[tuple[str, str]]:
+    return sorted((f.name, f.dataType.simpleString()) for f in schema.fields)
+
+
+def schema_text(df: DataFrame) -> str:
+    return df.schema.simpleString()

@@ -8,9 +8,6 @@ broadcast after its real size has been measured at run time.
 
 from __future__ import annotations
 
-import os
-import uuid
-
 from pyspark.sql import SparkSession
 
 # Settings that change results.  Everything else is left to the cluster
@@ -67,10 +64,9 @@ def ensure_session_defaults(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession, fallback_root: str | None = None) -> str:
     """Return the shared checkpoint folder, registering it with the context.
 
-    The cluster names it in ``spark.checkpoint.dir``; only when that is unset
-    is a folder under ``fallback_root`` (the table root, so still shared
-    storage) used, and a machine-local ``$TMPDIR`` folder only in local mode
-    (tests, a laptop).  A cluster session with neither is an error.
+    The cluster names it in ``spark.checkpoint.dir``.  Only when that is unset
+    is another folder used: one under ``fallback_root`` (a table root) or under
+    the session's warehouse, which are shared storage as well.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -78,12 +74,7 @@ def checkpoint_dir(spark: SparkSession, fallback_root: str | None = None) -> str
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if fallback_root:
-            configured = fallback_root.rstrip("/") + "/_checkpoints"
-        elif sc.master.startswith("local"):
-            configured = os.path.join(os.environ.get("TMPDIR", "/tmp"),
-                                      "reelhouse-checkpoints-" + uuid.uuid4().hex[:8])
-        else:
-            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage")
+        root = fallback_root or spark.conf.get("spark.sql.warehouse.dir")
+        configured = root.rstrip("/") + "/_checkpoints"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

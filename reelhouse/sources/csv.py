@@ -8,8 +8,12 @@ corrections over a default CSV read:
   (``"The ""Great"" One, Part 2"``); the default backslash escape would
   shift the following columns silently.
 * ``multiLine`` — a newline inside quotes stays in the field.  It stops
-  Spark from splitting a file, so it defaults on only for the small text
-  files (movies, links, tags) and off for the large numeric ratings file.
+  Spark from splitting a file, so it defaults on only for the movie list,
+  whose titles may hold one, and off for links, ratings and tags, whose
+  files grow with the users' activity.
+
+Columns are found by their header names, in any order; a file whose header
+lacks a column, or differs from the other files' order, is an error.
 """
 
 from __future__ import annotations
@@ -25,7 +29,7 @@ SOURCE_FILES = {
     "ratings": ("ratings.csv", ["userId", "movieId", "rating", "timestamp"]),
     "tags": ("tags.csv", ["userId", "movieId", "tag", "timestamp"]),
 }
-MULTILINE_DEFAULT = {"movies": True, "links": True, "ratings": False, "tags": True}
+MULTILINE_DEFAULT = {"movies": True, "links": False, "ratings": False, "tags": False}
 
 
 def _all_string(columns: list[str]) -> StructType:
@@ -38,12 +42,14 @@ def read_raw_csv(spark: SparkSession, path: str, name: str,
     _, columns = SOURCE_FILES[name]
     if multi_line is None:
         multi_line = MULTILINE_DEFAULT[name]
-    return (spark.read.schema(_all_string(columns))
-            .option("header", True)
-            .option("escape", '"')
-            .option("multiLine", multi_line)
-            .option("mode", "PERMISSIVE")
-            .csv(path))
+    reader = (spark.read.option("header", True).option("escape", '"')
+              .option("multiLine", multi_line).option("mode", "PERMISSIVE"))
+    header = reader.csv(path).columns  # one header line is read
+    if missing := [c for c in columns if c not in header]:
+        raise ValueError(f"{path}: the header lacks {missing}; it has {header}")
+    # enforceSchema=false compares every file's header with these names.
+    return (reader.schema(_all_string(header)).option("enforceSchema", False)
+            .csv(path).select(*columns))
 
 
 def source_path(src_dir: str, name: str) -> str:

@@ -56,7 +56,6 @@ def raw_links(part: DataFrame) -> DataFrame:
 
 def raw_ratings(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     li = lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")
-    li = li.filter(~((F.col("l_partkey") % 20 == 1) & (F.col("l_linenumber") > 1)))
     od = orders.select(F.col("o_orderkey").alias("l_orderkey"), "o_custkey")
     b = li.join(od, "l_orderkey")
     c = F.col("o_custkey")
@@ -64,7 +63,8 @@ def raw_ratings(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
          .when(c % 10 == 2, c % 300).otherwise(c))
     pk, ln = F.col("l_partkey"), F.col("l_linenumber")
     m = (F.when((pk % 50 == 7) & (ln == 7), pk + 9000000)
-         .when(pk % 20 == 0, pk % 400).otherwise(pk))
+         .when(pk % 20 == 0, pk % 400)
+         .when((pk % 20 == 1) & (ln > 1), (pk - 1) % 400).otherwise(pk))
     b = b.select(u.alias("u"), m.alias("m"), F.col("l_quantity").alias("q"),
                  F.col("l_shipdate").alias("d"), ln.alias("n"), F.col("l_orderkey").alias("k"))
     q, uu, mm = F.col("q"), F.col("u"), F.col("m")

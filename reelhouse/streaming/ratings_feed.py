@@ -3,7 +3,7 @@ year-partitioned ``fact_ratings``.
 
 This is the streaming form of the yearly incremental load (B3/B9): each
 micro-batch of newly arrived rating files is typed like ``stg_ratings``,
-filtered like ``fact_ratings`` (valid rating, partition year, known movie)
+filtered like ``fact_ratings`` (valid rating, partition year, known movie and user)
 and upserted with :meth:`TableStore.merge_upsert`, which rewrites only the
 year partitions the batch touches.  The upsert is idempotent — replaying a
 batch after a failure replaces the same rows with the same values — so the
@@ -25,7 +25,8 @@ from reelhouse.sources.csv import SOURCE_FILES, _all_string
 def _merge_batch(store: TableStore, years):
     def merge(batch: DataFrame, epoch_id: int) -> None:
         typed = staging.stg_ratings(batch)
-        fr = facts.fact_ratings(typed, store.read("dim_movies"), None, years)
+        # The feed may bring users the stored dimension doesn't know: they're left out until it's rebuilt.
+        fr = facts.fact_ratings(typed, store.read("dim_movies"), store.read("dim_users"), years)
         store.merge_upsert("fact_ratings", fr)
     return merge
 
@@ -35,7 +36,7 @@ def start_ratings_feed(spark: SparkSession, store: TableStore, landing_dir: str,
                        max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the feed; ``checkpoint_location`` must be on shared storage."""
     reader = (spark.readStream.schema(_all_string(SOURCE_FILES["ratings"][1]))
-              .option("header", True).option("escape", '"'))
+              .option("header", True).option("escape", '"').option("enforceSchema", False))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.csv(landing_dir)

@@ -7,11 +7,13 @@ from reelhouse.plans.tables import TableStore
 from reelhouse.sources.fixtures import raw_relations
 from tests.conftest import SMALL
 
+RATINGS = 5585  # valid ratings of sf0.001, by the oracle
+
 
 def test_build_from_fixture_relations(spark, scratch):
     out = build_lakehouse(spark, scratch, raw=raw_relations(spark, SMALL), database="gold_test")
     counts = {r["table"]: r["row_count"] for r in out["reports"]}
-    assert counts["fact_ratings"] == 5332
+    assert counts["fact_ratings"] == RATINGS
     assert counts["dim_movies"] == 332
     assert counts["snap_mart_movie_analytics"] == counts["mart_movie_analytics"]
     assert all(r.passed for r in out["checks"].collect())
@@ -24,7 +26,7 @@ def test_build_from_fixture_relations(spark, scratch):
                  "snap_mart_genre_performance"):
         assert counts2[snap]["row_count"] == counts2[snap]["current_row_count"]
     # the upsert re-merged the same years: no duplicates
-    assert TableStore(spark, scratch).read("fact_ratings").count() == 5332
+    assert TableStore(spark, scratch).read("fact_ratings").count() == RATINGS
 
 
 def test_build_from_csv(spark, scratch):
@@ -78,5 +80,5 @@ def test_tables_survive_a_new_session(spark, scratch):
                          timeout=600)
     assert out.returncode == 0, out.stderr[-2000:]
     fact, catalog, current = map(int, out.stdout.split()[-3:])
-    assert fact == catalog == 5332
+    assert fact == catalog == RATINGS
     assert current == TableStore(spark, scratch).read("mart_movie_analytics").count()

@@ -57,7 +57,7 @@ def test_c5_to_c10(spark):
     ft = spark.createDataFrame([(1, 1, "x", T, 2000)], FT)
     fm = fact_movie_genre_ratings(fr, dim)
     mm, um = mart_movie_analytics(fr, ft, dim), mart_user_behavior(fr, ft, dim)
-    gm = mart_genre_performance(fr, ft, dim, fm)
+    gm = mart_genre_performance(fr, ft, dim)
     good = [checks.check_fmgr_preserves_totals(fr, dim, fm),
             checks.check_movie_mart_row_count(fr, mm), checks.check_movie_mart_totals(fr, mm),
             checks.check_user_mart_row_count(fr, um), checks.check_genre_mart_row_count(fm, gm),

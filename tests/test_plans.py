@@ -4,7 +4,6 @@ import datetime as dt
 
 
 from reelhouse.operators import facts
-from reelhouse.operators.joins import checked_broadcast
 from reelhouse.plans.tables import TableStore
 
 
@@ -53,15 +52,6 @@ def test_small_dimension_is_broadcast_and_fact_not_shuffled(spark, scratch):
     assert "SortMergeJoin" not in p
 
 
-def test_oversized_side_is_not_broadcast(spark):
-    big = spark.range(0, 1000).withColumnRenamed("id", "k")
-    assert "ResolvedHint" not in big._jdf.queryExecution().analyzed().toString()
-    hinted = checked_broadcast(big, max_rows=10)
-    assert hinted is big
-    small = checked_broadcast(big, max_rows=5000)
-    assert "broadcast" in small._jdf.queryExecution().analyzed().toString().lower()
-
-
 def test_snapshot_reads_only_current_partition(spark, scratch):
     store = TableStore(spark, scratch)
     s = spark.createDataFrame([(1, 10)], "movie_id int, total_ratings bigint")

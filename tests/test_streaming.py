@@ -14,6 +14,7 @@ def test_feed_merges_new_files(spark, scratch):
     dim = spark.createDataFrame([(1, "A (1995)", 1995, "drama", 1), (2, "B (1996)", 1996, "drama", 1)],
                                 "movie_id int, title string, year int, genres string, genre_count bigint")
     store.full_refresh("dim_movies", dim)
+    store.full_refresh("dim_users", spark.createDataFrame([(u,) for u in (1, 2, 3, 4, 5)], "user_id int"))
     landing = os.path.join(scratch, "landing")
     os.makedirs(landing)
     ckpt = os.path.join(scratch, "stream-ckpt")
@@ -25,7 +26,8 @@ def test_feed_merges_new_files(spark, scratch):
     assert store.read("fact_ratings").count() == 2
     with open(os.path.join(landing, "r2.csv"), "w") as f:
         # a correction of (1,1,2000-01-01) and a new 2001 rating
-        f.write(HEADER + "1,1,2.5,946684800\n5,2,5.0,978307200\n")
+        # and a user the dimension doesn't know
+        f.write(HEADER + "1,1,2.5,946684800\n5,2,5.0,978307200\n77,2,5.0,978307200\n")
     q = start_ratings_feed(spark, store, landing, ckpt)
     q.awaitTermination(120)
     got = sorted((r.user_id, r.movie_id, r.rating, r.year)
