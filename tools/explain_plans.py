@@ -47,7 +47,7 @@ def main() -> None:
         ("mart_movie_analytics", marts.mart_movie_analytics(r("fact_ratings"), r("fact_tags"), r("dim_movies"))),
         ("mart_user_behavior", marts.mart_user_behavior(r("fact_ratings"), r("fact_tags"), r("dim_movies"))),
         ("mart_genre_performance", marts.mart_genre_performance(
-            r("fact_ratings"), r("fact_tags"), r("dim_movies"), r("fact_movie_genre_ratings"))),
+            r("fact_ratings"), r("fact_tags"), r("dim_movies"))),
         ("upsert of one year into its partition", upsert.upsert(
             r("fact_ratings").filter("year = 1997"),
             facts.fact_ratings(r("stg_ratings"), r("dim_movies"), None, [1997]))),
