@@ -15,8 +15,11 @@ that needs, blockwise, in buckets that a cover sample defines:
    are independent, and those with one run are done.
 3. In a bucket, runs with equal bytes over all they span are one run; being two
    or more, all their strings repeat.  What is left are runs that differ
-   somewhere near: each of their suffixes is told apart by the hash of its
-   SIZE bytes, one suffix a row, so that a bucket of any size is spread.
+   somewhere near.  Their positions go to cells of ``CELL`` offsets: cells that
+   agree in all the bytes they span are settled, cells whose common core is
+   alone are out, and only in the others each suffix is told apart by the hash
+   of its SIZE bytes.  A cell or a suffix is a row, so that a bucket of any size
+   is spread.
 4. Repeated strings' spans are joined to the texts and cut out.
 
 Defined cases: null text counts as empty; shorter texts than SIZE bytes stay;
@@ -39,6 +42,7 @@ from llm.common import materialise, table, text_of
 
 SIZE = 400
 SPAN = 273
+CELL = 8
 #: Bytes of text that are worked on at a time, but for one longer text.
 CHUNK = 4 << 20
 
@@ -123,46 +127,98 @@ def runs(docs: DataFrame, size: int = SIZE, span: int = SPAN) -> DataFrame:
     return rows.mapInArrow(run, f"doc_id {kind}, text_hash long, sample int, first int, last int, rank long, spanned long")
 
 
-def strings(docs: DataFrame, open_: DataFrame, size: int = SIZE) -> DataFrame:
-    """(rank, string, n, doc_id, text_hash, at): each start position of the runs ``open_`` with the hash of its string."""
+def contexts(docs: DataFrame, open_: DataFrame, size: int = SIZE) -> DataFrame:
+    """``open_`` (rank, spanned, n, doc_id, text_hash, sample, first, last) with ``bytes``, what the run spans."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_64_intdigest
         for b in batches:
             for i in range(b.num_rows):
-                data = memoryview(b.column(2)[i].as_buffer())
-                wanted = b.column(3)[i].as_py()
-                at = np.concatenate([np.arange(w["first"], w["last"] + 1) for w in wanted])
-                counts = [w["last"] - w["first"] + 1 for w in wanted]
-                found = np.fromiter((digest(data[p:p + size]) for p in at.tolist()), np.uint64, len(at))
-                same = pa.array(np.full(len(at), i))
+                data, wanted = memoryview(b.column(2)[i].as_buffer()), b.column(3)[i].as_py()
+                cols = [[w[c] for w in wanted] for c in ("rank", "spanned", "n", "sample", "first", "last")]
+                parts = [bytes(data[w["first"]:w["last"] + size]) for w in wanted]
+                same = pa.array(np.full(len(wanted), i))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat([w["rank"] for w in wanted], counts)), pa.array(found.view(np.int64)),
-                     pa.array(np.repeat([w["n"] for w in wanted], counts)), b.column(0).take(same), b.column(1).take(same),
-                     pa.array(at.astype(np.int32))], ["rank", "string", "n", "doc_id", "text_hash", "at"])
+                    [*map(pa.array, cols[:3]), b.column(0).take(same), b.column(1).take(same),
+                     *[pa.array(c, pa.int32()) for c in cols[3:]], pa.array(parts, pa.binary())], NAMES)
 
     wanted = open_.groupBy(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).agg(
-        F.collect_list(F.struct("first", "last", "rank", "n")).alias("wanted"))
+        F.collect_list(F.struct("rank", "spanned", "n", "sample", "first", "last")).alias("wanted"))
     rows = _texts(docs)
     rows = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["__id"]) & (rows["text_hash"] == wanted["__hash"]))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.select("doc_id", "text_hash", "text", "wanted").mapInArrow(
-        run, f"rank long, string long, n long, doc_id {kind}, text_hash long, at int")
+    kinds = ["long", "long", "long", kind, "long", "int", "int", "int", "binary"]
+    return rows.select("doc_id", "text_hash", "text", "wanted").mapInArrow(run, ", ".join(map(" ".join, zip(NAMES, kinds))))
+
+
+NAMES = ["rank", "spanned", "n", "doc_id", "text_hash", "sample", "first", "last", "bytes"]
+
+
+def cells(open_: DataFrame, size: int, width: int, only: bool = False) -> DataFrame:
+    """(rank, cell, core, wide, n, spanned, doc_id, text_hash, at, stop): each run's start positions
+    in cells of ``width`` offsets from the sample.
+
+    ``core`` is the hash of what the strings of a cell's positions share, ``wide`` of all they
+    span in this run, from ``at`` to ``stop``, and of what they'd span beyond it.  With ``only``, the
+    cells of width 1 inside the cells that the column ``wanted`` (of width CELL) lists.
+    """
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_64_intdigest
+        for b in batches:
+            rows = b.to_pydict()
+            out, of = [], []
+            for i, (sample, first, last, data) in enumerate(zip(rows["sample"], rows["first"], rows["last"], rows["bytes"])):
+                span = memoryview(data)
+                near, far = sample - last, sample - first  # the offsets of the run's positions
+                if only:
+                    listed = [o for c in rows["wanted"][i] for o in range(max(near, c * CELL), min(far, c * CELL + CELL - 1) + 1)]
+                else:
+                    listed = range(near // width, far // width + 1)
+                for cell in listed:
+                    start = sample - cell * width - first  # of the core, in the run's bytes
+                    core = digest(span[start:start + size - width + 1])
+                    low, high = max(start - width + 1, 0), min(start + size, len(span))
+                    missing = (low - start + width - 1) * width + start + size - high
+                    out.append((cell, core, digest(span[low:high], missing), low + first, high + first))
+                    of.append(i)
+            if out:
+                cell, core, wide, at, stop = zip(*out)
+                of = pa.array(of, pa.int64())
+                take = lambda c: b.column(c).take(of)
+                yield pa.RecordBatch.from_arrays(
+                    [take("rank"), pa.array(cell, pa.int32()), *[pa.array(np.array(h, np.uint64).view(np.int64)) for h in (core, wide)],
+                     take("n"), take("spanned"), take("doc_id"), take("text_hash"), pa.array(at, pa.int32()), pa.array(stop, pa.int32())],
+                    ["rank", "cell", "core", "wide", "n", "spanned", "doc_id", "text_hash", "at", "stop"])
+
+    kind = open_.schema["doc_id"].dataType.simpleString()
+    return open_.mapInArrow(run, f"rank long, cell int, core long, wide long, n long, spanned long, doc_id {kind}, text_hash long, at int, stop int")
 
 
 def repeated_spans(docs: DataFrame, size: int = SIZE, span: int = SPAN) -> DataFrame:
     """(doc_id, text_hash, start, stop): spans whose bytes are covered by repeated strings; they may overlap."""
     all_ = materialise(runs(docs, size, span), "runs")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "first", "last")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "first", "last", "sample")
     alike = materialise(all_.groupBy("rank", "spanned").agg(F.count("*").alias("n"), F.min(place).alias("one")), "alike-runs")
     buckets = alike.groupBy("rank").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 AND least = 1").select("rank")
     whole = all_.join(alike.filter("n > 1").select("rank", "spanned"), ["rank", "spanned"], "left_semi").select(
         "doc_id", "text_hash", F.col("first").alias("start"), (F.col("last") + size).alias("stop"))
-    open_ = alike.join(buckets, "rank", "left_semi").select("rank", "n", "one.doc_id", "one.text_hash", "one.first", "one.last")
-    each = materialise(strings(docs, open_, size), "strings")
-    twice = each.groupBy("rank", "string").agg(F.sum("n").alias("all")).filter("all > 1").select("rank", "string")
-    single = each.filter("n = 1").join(twice, ["rank", "string"], "left_semi").select(
-        "doc_id", "text_hash", F.col("at").alias("start"), (F.col("at") + size).alias("stop"))
-    return whole.unionByName(single)
+    open_ = alike.join(buckets, "rank", "left_semi").select("rank", "spanned", "n", "one.*").drop("none")
+    open_ = materialise(contexts(docs, open_, size), "open-runs")
+
+    # Cells of offsets: a cell's wide string twice settles all its strings; a core that is alone excludes them all.
+    parts = materialise(cells(open_, size, CELL), "cells")
+    kinds = parts.groupBy("rank", "cell", "core", "wide").agg(F.sum("n").alias("n"), F.min("spanned").alias("spanned"))
+    kinds = materialise(kinds, "cell-kinds")
+    settled = parts.filter("n = 1").join(kinds.filter("n > 1").select("rank", "cell", "wide"), ["rank", "cell", "wide"], "left_semi").select(
+        "doc_id", "text_hash", F.col("at").alias("start"), "stop")
+    mixed = kinds.groupBy("rank", "cell", "core").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 AND least = 1")
+    wanted = kinds.join(mixed.select("rank", "cell", "core"), ["rank", "cell", "core"], "left_semi").groupBy("rank", "spanned").agg(
+        F.collect_set("cell").alias("wanted"))
+
+    # What is left is told apart string by string.
+    each = materialise(cells(open_.join(wanted, ["rank", "spanned"]), size, 1, only=True), "strings")
+    twice = each.groupBy("rank", "core").agg(F.sum("n").alias("all")).filter("all > 1").select("rank", "core")
+    single = each.filter("n = 1").join(twice, ["rank", "core"], "left_semi").select(
+        "doc_id", "text_hash", F.col("at").alias("start"), "stop")
+    return whole.unionByName(settled).unionByName(single)
 
 
 def cut(docs: DataFrame, spans: DataFrame) -> DataFrame:
