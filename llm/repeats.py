@@ -196,6 +196,8 @@ def repeated_spans(docs: DataFrame, size: int = SIZE, span: int = SPAN) -> DataF
     """(doc_id, text_hash, start, stop): spans whose bytes are covered by repeated strings; they may overlap."""
     all_ = materialise(runs(docs, size, span), "runs")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "first", "last", "sample")
+    again = all_.groupBy("rank").agg(F.count("*").alias("n")).filter("n > 1").select("rank")
+    all_ = materialise(all_.join(again, "rank", "left_semi"), "repeated-runs")
     alike = materialise(all_.groupBy("rank", "spanned").agg(F.count("*").alias("n"), F.min(place).alias("one")), "alike-runs")
     buckets = alike.groupBy("rank").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 AND least = 1").select("rank")
     whole = all_.join(alike.filter("n > 1").select("rank", "spanned"), ["rank", "spanned"], "left_semi").select(
