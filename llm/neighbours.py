@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from llm.common import materialise, table
 
-CURVES = 16
+CURVES = 32
 BLOCK = 512
 DIMS, BITS = 8, 7
 SEED = 11

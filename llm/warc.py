@@ -7,7 +7,8 @@
 2. The decisions join the pages again on page_id and digest, and each page
    becomes one record with fresh headers: responses carry the payload, revisits
    refer to the original.  Records go out by Spark's text writer (a record ends
-   with two CRLFs, the writer's line separator), dealt evenly by size.
+   with two CRLFs, the writer's line separator), as gzip files of a bounded
+   number of records each; payloads are shuffled once, for that join.
 3. Archives are read back file by file; records are cut by Content-Length only,
    so a payload may hold anything, CRLFs and record-like text included, and a
    response's digest is taken again from the payload that was read.
@@ -20,6 +21,7 @@ payload (then a revisit of it).  Control characters in a url are percent-coded.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 from collections.abc import Iterable, Iterator
 
@@ -87,12 +89,12 @@ def records(pages: DataFrame, decided: DataFrame, date: str) -> DataFrame:
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES, date: str = "1970-01-01T00:00:00Z",
                    file_bytes: int = FILE_BYTES) -> None:
-    """Write every page of ``pages`` (page_id, url, html) to uncompressed WARC files under ``path``."""
+    """Write every page of ``pages`` (page_id, url, html) to gzip WARC files under ``path``."""
     decided = materialise(resolve(pages, min_bytes), "warc-decided")
-    total = decided.agg(F.sum(F.when(F.col("record_type") == "response", F.col("payload_bytes"))).alias("b"), F.count("*").alias("n")).first()
-    files = max(1, ((total["b"] or 0) + 700 * total["n"]) // file_bytes)
-    rows = records(pages, decided, date).select("value").repartition(int(files))
-    rows.write.option("lineSep", CRLF * 2).text(path)
+    whole = F.when(F.col("record_type") == "response", F.col("payload_bytes")).otherwise(0)
+    mean = decided.agg(F.avg(whole).alias("bytes")).first()["bytes"] or 0
+    (records(pages, decided, date).write.option("lineSep", CRLF * 2).option("compression", "gzip")
+     .option("maxRecordsPerFile", max(1, int(file_bytes / (mean + 700)))).text(path))
 
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], memoryview]]:
@@ -126,7 +128,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
         for b in batches:
             for content in b.column(0):
                 rows = []
-                for head, block in parse(content.as_py()):
+                for head, block in parse(gzip.decompress(content.as_py())):
                     digest, kind = head["warc-payload-digest"].partition(":")[2], head["warc-type"]
                     size = int(head.get("x-payload-length", -1))
                     if kind == "response":
