@@ -80,6 +80,40 @@ def test_near_dedup_keeps_one_row_a_group(docs):
     assert Counter((parts[brute.simhash(r["text"])], r["doc_id"]) for r in kept.collect()) == Counter(set(want))
 
 
+def jaccard(a, b, width=5):
+    x, y = (set(simhash.shingle_hashes((t or "").encode(), width).tolist()) for t in (a, b))
+    return len(x & y) / len(x | y) if x | y else 1.0
+
+
+@pytest.mark.parametrize("bucket", [8, 64])
+def test_near_dedup_by_similarity_finds_what_brute_force_does(spark, bucket):
+    r = random.Random(12)
+    noise = lambda n: " ".join("".join(r.choice("abcdefghijklm") for _ in range(6)) for _ in range(n))
+    texts_ = []
+    for i in range(40):  # a text and a copy that is just similar enough or just not
+        words = noise(300).split()
+        texts_.append(" ".join(words))
+        for at in r.sample(range(5, 295), 3 + i % 5):
+            words[at] = "changed"
+        texts_.append(" ".join(words))
+    base = noise(200)
+    texts_ += [base.replace(base.split()[k], f"w{k}") for k in range(30)] + ["", None, "one two", "one two"]
+    pairs = [(i, j) for i in range(len(texts_)) for j in range(i) if jaccard(texts_[i], texts_[j]) >= 0.8]
+    top = brute_components(list(range(len(texts_))), lambda a, b, have=set(pairs): (a, b) in have)
+    df = spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string")
+    kept = {x["doc_id"] for x in simhash.near_dedup(df, width=5, similarity=0.8, bucket=bucket).collect()}
+    want = {top[i] for i in top}
+    assert want <= kept  # nothing goes that isn't similar
+    assert len(texts_) - len(kept) >= 0.95 * (len(texts_) - len(want))
+    assert len(simhash.near_dedup(df).collect()) > len(kept)
+
+
+def test_near_dedup_keeps_one_row_of_an_id_and_text(spark):
+    df = spark.createDataFrame([(1, "a b c", "s1"), (1, "a b c", "s2"), (None, None, "s1"), (None, "", "s2")], "doc_id long, text string, source string")
+    for kind in ({}, {"width": 5, "similarity": 0.8}):
+        assert Counter(x["doc_id"] for x in simhash.near_dedup(df, **kind).collect()) == Counter([1, None])
+
+
 # -- secrets
 
 def test_secret_scan(spark):
