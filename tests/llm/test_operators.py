@@ -407,6 +407,28 @@ def test_line_dedup(spark):
     assert lines.line_dedup(df.limit(0)).count() == 0
 
 
+def test_wide_line_dedup_finds_changed_words_at_every_length(spark):
+    r = random.Random(21)
+    word = lambda: "".join(r.choice("abcdefghijklmnop") for _ in range(r.randrange(4, 8)))
+    pairs = []
+    for n in (6, 8, 12, 20, 40, 90):
+        for _ in range(25):
+            words = [word() for _ in range(n)]
+            other = words[:]
+            other[r.randrange(n)] = word()
+            if lines.similar(" ".join(words), " ".join(other)):
+                pairs.append((" ".join(words), " ".join(other)))
+    apart = [" ".join(word() for _ in range(12)) for _ in range(100)]
+    texts_ = [a for a, _ in pairs] + apart + [b for _, b in pairs]
+    # Against edit similarity alone: the lines that have a similar one before them.
+    want = {i for i in range(len(texts_)) if any(lines.similar(texts_[i], texts_[j]) for j in range(i))}
+    df = spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string")
+    gone = {x["doc_id"] for x in lines.line_dedup(df, wide=True).filter("__gone > 0").collect()}
+    assert gone <= want and len(gone) >= 0.95 * len(want)
+    assert lines.line_dedup(df).filter("__gone > 0").count() < 0.7 * len(want)
+    assert lines.line_dedup(df.limit(0), wide=True).count() == 0
+
+
 def test_crowded_lines_are_compared_in_tiles(monkeypatch):
     r = np.random.default_rng(2)
     fps = np.unique(np.uint64(0x123456789ABCDEF) ^ (np.uint64(1) << r.integers(0, 30, 300).astype(np.uint64)) ^ (np.uint64(1) << r.integers(0, 30, 300).astype(np.uint64)))
