@@ -429,6 +429,19 @@ def test_wide_line_dedup_finds_changed_words_at_every_length(spark):
     assert lines.line_dedup(df.limit(0), wide=True).count() == 0
 
 
+@pytest.mark.parametrize("wide", [False, True])
+def test_lines_of_any_length_take_part(spark, wide):
+    japanese = "".join(chr(0x3042 + k * 7 % 80) for k in range(60))
+    short = ["menu", "}", "é", "log in", "Share this on", japanese, "supercalifragilisticexpialidocious" * 3]
+    texts_ = ["\n".join(short), "\n".join(x.upper() + "  " for x in short), "other\n\n\n}\n \n" + japanese]
+    df = spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string")
+    got = {x["doc_id"]: x["text"] for x in lines.line_dedup(df, wide=wide).collect()}
+    assert got == {0: texts_[0], 1: "", 2: "other\n\n\n "}
+    changed = japanese[:30] + "x" + japanese[31:]
+    rows = spark.createDataFrame([(0, japanese), (1, changed)], "doc_id long, text string")
+    assert {x["doc_id"]: x["text"] for x in lines.line_dedup(rows, wide=True).collect()} == {0: japanese, 1: ""}
+
+
 def test_crowded_lines_are_compared_in_tiles(monkeypatch):
     r = np.random.default_rng(2)
     fps = np.unique(np.uint64(0x123456789ABCDEF) ^ (np.uint64(1) << r.integers(0, 30, 300).astype(np.uint64)) ^ (np.uint64(1) << r.integers(0, 30, 300).astype(np.uint64)))
