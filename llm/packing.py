@@ -21,6 +21,7 @@ rows are packed each; an empty table gives an empty one.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from array import array
 from bisect import bisect_left, insort
@@ -45,6 +46,9 @@ GROUP = 4096
 OPEN = 0.99
 MEMO = 400_000
 SLICE = 128
+#: What str.split() takes for white space and the tokenizer's \s doesn't, and words as the latter cuts them.
+ODD_SPACE = re.compile("[\x1c-\x1f]")
+WORD = re.compile("(?:[^\\s]|[\x1c-\x1f])+")
 
 
 class Words(dict):
@@ -53,7 +57,8 @@ class Words(dict):
     Most new words are Latin letters and at most one punctuation mark, which the
     tokenizer would lower-case and cut apart, then encode in the byte alphabet.
     That is done here for all of them, and the letters go straight to its model;
-    any other word goes through the whole tokenizer.
+    any other word goes through the whole tokenizer.  A text that holds an added
+    token's string goes to the tokenizer whole, in its default setting.
     """
 
     MARKS = ".,;:!?"
@@ -61,7 +66,9 @@ class Words(dict):
     def __init__(self, path: str):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self.tokenizer, self.model = Tokenizer.from_file(path), Tokenizer.from_file(path)
+        self.whole, self.tokenizer, self.model = (Tokenizer.from_file(path) for _ in range(3))
+        added = [re.escape(t.content) for t in self.whole.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(added) or "(?!)")
         self.tokenizer.encode_special_tokens = True
         self.model.normalizer = self.model.pre_tokenizer = None
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]  # fixed values: bytes that stand for themselves
@@ -74,6 +81,12 @@ class Words(dict):
     def _ids(tokenizer: Tokenizer, words: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
+    def encoded(self, texts: list[str]) -> list[bytes]:
+        whole = [self.added.search(t) is not None for t in texts]
+        cut = [() if w else WORD.findall(t) if ODD_SPACE.search(t) else t.split() for t, w in zip(texts, whole)]
+        self.learn(set().union(*cut))
+        return [self._ids(self.whole, [t])[0] if w else b"".join(map(self.__getitem__, c)) for t, c, w in zip(texts, cut, whole)]
+
     def learn(self, words: set[str]) -> None:
         for w in self.large:
             self.pop(w, None)
@@ -110,9 +123,7 @@ def tokenise(docs: DataFrame, path: str | None = None, end_id: int = END_ID) ->
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE):
                 b = whole.slice(at, SLICE)
-                texts = [t.split() for t in b.column(1).to_pylist()]
-                memo.learn(set().union(*texts))
-                ids = [b"".join(map(memo.__getitem__, t)) + end for t in texts]
+                ids = [x + end for x in memo.encoded(b.column(1).to_pylist())]
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     rows = docs.select("doc_id", text_of().alias("text"))

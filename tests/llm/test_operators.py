@@ -268,6 +268,15 @@ def test_packing(docs, empty):
     assert packing.pack_documents(empty).count() == 0
 
 
+def test_packing_tokens_are_the_plain_call_s(spark):
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
+    texts_ = ["a\x1cb", "The\x1d\x1eStone, \x1f x\x1c", "\x1c", "<|endoftext|>", "one <|endoftext|>two\x1c<|startoftext|> É", "<|ENDOFTEXT|> <| endoftext|>",
+              "a\x85b\xa0c\u1680d\u2003e\u2028f\u2029g\u202fh\u205fi\u3000j", "a\u200bb\ufeffc\u180ed"]
+    got = packing.pack_documents(spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string"), capacity=512).collect()
+    assert {(r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got} == {(i, *p) for i, t in enumerate(texts_) for p in brute.pieces(t, tokenizer, 512)}
+
+
 def test_packing_in_many_groups(spark):
     r = random.Random(2)
     lengths = [r.randrange(1, 101) for _ in range(900)] + [100] * 40 + [60] * 100
