@@ -2,7 +2,8 @@
 
 Detected: e-mail addresses, IPv4 addresses, payment cards (issuer prefix and
 check digit must hold), phone numbers, social security numbers, and names that
-follow a title.  Each entity's surrogate is drawn from a keyed digest of its
+follow a title; the parts of such a name also wherever they stand alone as words
+in the same document.  Each entity's surrogate is drawn from a keyed digest of its
 kind and normal form, so the same entity is the same surrogate in every
 document without a look-up: an e-mail regardless of case, a phone or card
 regardless of its punctuation, a family name with or without a given name.
@@ -35,17 +36,21 @@ ROUNDS = 40
 MALE = ("Mr", "Mister", "Sir", "Herr", "Monsieur", "Señor", "Signor", "Senhor", "господин", "Господин", "Κύριος")
 FEMALE = ("Mrs", "Ms", "Miss", "Madam", "Lady", "Frau", "Madame", "Mme", "Mademoiselle", "Señora", "Señorita", "Signora",
           "Senhora", "госпожа", "Госпожа", "Κυρία")
+NEUTRAL = ("Dr", "Doctor", "Prof", "Professor", "Doktor", "Docteur", "Professeur", "Doctora", "Profesora", "доктор", "Доктор", "профессор", "Профессор")
+TITLE = rf"(?:{'|'.join(MALE + FEMALE + NEUTRAL)})"
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
 IP = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[0-9])"
 CARD = r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])"
 SSN = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
-PHONE = r"(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z])"
-NAME = rf"\b(?:{'|'.join(MALE + FEMALE)})\.?[ ]\p{{Lu}}[\p{{L}}'-]+(?:[ ]\p{{Lu}}[\p{{L}}'-]+){{0,2}}"
+PHONE = (r"(?<![0-9A-Za-z])(?:(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
+         r"|\+(?:[0-9][ ./-]?|\([0-9]{1,4}\)[ ./-]?){7,14}[0-9])(?![0-9A-Za-z])")  # else with a country code: 8 to 15 digits
+_PART = r"\p{Lu}[\p{L}'-]*\p{L}(?<!'s)"
+NAME = rf"\b{TITLE}\.?(?:[ ]{TITLE}\.?)*(?:[ ]{_PART}){{1,3}}"
 ANY = f"{EMAIL}|{IP}|{CARD}|{SSN}|{PHONE}|(?U){NAME}"
 #: What a text with an entity has; others aren't searched.
-HINT = f"[0-9@]|(?:{'|'.join(MALE + FEMALE)})[. ]"
+HINT = f"[0-9@]|{TITLE}[. ]"
 ISSUER = "^(?:4|5[1-5]|2[2-7]|3[47]|6(?:011|5))"
 
 KINDS = ("email", "ip", "card", "ssn", "phone", "person")
@@ -81,17 +86,22 @@ def kind_of(s: Column) -> Column:
             .when(s.rlike(f"^{SSN}$"), "ssn").when(s.rlike(f"^{CARD}$"), F.when(card, "card")).otherwise(F.lit("phone")))
 
 
-def _female(s: Column) -> Column:
-    return s.rlike(f"^(?:{'|'.join(FEMALE)})[. ]")
+def _titled(s: Column, titles: tuple[str, ...]) -> Column:
+    return s.rlike(rf"^(?:{TITLE}\.?[ ])*(?:{'|'.join(titles)})[. ]")
+
+
+def _name(s: Column) -> Column:
+    """What follows the titles of a match."""
+    return F.regexp_replace(s, rf"^(?:{TITLE}\.?[ ])+", "")
 
 
 def entities_of(s: Column, kind: Column) -> Column:
     """array<struct<kind, core>>: one entity, or each part of a name after its title."""
-    names = F.split(F.regexp_replace(s, r"^\S+[ ]", ""), " ")
+    names = F.split(_name(s), " ")
 
     def part(name: Column, i: Column) -> Column:
         given = (F.size(names) > 1) & (i < F.size(names) - 1)
-        gender = F.when(_female(s), "female").otherwise("male")
+        gender = F.when(_titled(s, FEMALE), "female").when(_titled(s, MALE), "male").otherwise("neutral")
         return F.struct(F.when(given, F.concat(F.lit("given "), gender)).otherwise("family").alias("kind"), name.alias("core"))
 
     core = (F.when(kind == "email", F.lower(s)).when(kind == "ip", s)
@@ -163,7 +173,7 @@ def replaced(s: Column, kind: Column, surrogates: Column) -> Column:
     """What stands in the text for a match."""
     mail = F.when((F.upper(s) == s) & F.lower(s).rlike("[a-z]"), F.upper(surrogates[0])).otherwise(surrogates[0])
     return (F.when(kind.isNull(), s).when(kind == "email", mail).when(kind == "ip", surrogates[0])
-            .when(kind == "person", F.concat_ws(" ", F.substring_index(s, " ", 1), F.array_join(surrogates, " ")))
+            .when(kind == "person", F.concat(F.substring(s, F.lit(1), F.length(s) - F.length(_name(s))), F.array_join(surrogates, " ")))
             .otherwise(_laid_out(s, surrogates[0])))
 
 
@@ -217,13 +227,26 @@ def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
         rows = rows.join(held, rows["doc_id"].eqNullSafe(held["__id"]) & (rows["__hash"] == held["__h"]), "left")
         rows = rows.withColumn("__draws", F.coalesce("__held", none))
 
+    def one(e: Column) -> Column:
+        own = F.filter("__draws", lambda d: (d["kind"] == e["kind"]) & (d["core"] == e["core"]))
+        draw = F.when(F.size(own) > 0, F.element_at(own, 1)["draw"]).otherwise(0)
+        return surrogate(e["kind"], e["core"], draw, key)
+
     def stand_in(h: Column) -> Column:
-        def one(e: Column) -> Column:
-            own = F.filter("__draws", lambda d: (d["kind"] == e["kind"]) & (d["core"] == e["core"]))
-            draw = F.when(F.size(own) > 0, F.element_at(own, 1)["draw"]).otherwise(0)
-            return surrogate(e["kind"], e["core"], draw, key)
         return replaced(h["s"], h["kind"], F.transform(h["entities"], one))
 
+    # Parts of the document's names: a part that is in two entities goes by the first.
+    people = F.flatten(F.transform(F.filter("__hits", lambda h: h["kind"] == "person"), lambda h: h["entities"]))
+    rows = rows.withColumn("__people", F.transform(F.array_distinct(people), lambda e: F.struct(e["core"].alias("core"), one(e).alias("s"))))
+    longest = F.array_sort(F.array_distinct(F.transform("__people", lambda e: e["core"])), lambda a, b: F.length(b) - F.length(a))
+    rows = rows.withColumn("__part", F.concat(F.lit(r"(?<![\p{L}\p{N}])(?:"), F.array_join(longest, "|"), F.lit(r")(?![\p{L}\p{N}])")))
+
+    def alone(g: Column) -> Column:
+        met = F.regexp_extract_all(g, F.col("__part"), F.lit(0))
+        known = F.transform(met, lambda m: F.filter("__people", lambda e: e["core"] == m)[0]["s"])
+        return F.array_join(F.transform(F.split(g, F.col("__part"), -1), lambda p, i: F.concat(p, F.coalesce(F.get(known, i), F.lit("")))), "")
+
+    rows = rows.withColumn("__gaps", F.when(F.size("__people") > 0, F.transform("__gaps", alone)).otherwise(F.col("__gaps")))
     new = F.array_join(F.transform("__gaps", lambda g, i: F.when(
         i < F.size("__hits"), F.concat(g, stand_in(F.get("__hits", i)))).otherwise(g)), "")
     return rows.withColumn("text", F.when(F.size("__hits") > 0, new).otherwise(F.col("text"))).select(*docs.columns, "__hits")

@@ -363,6 +363,21 @@ def test_pii_surrogates(spark):
     assert pii.pseudonymise(df.limit(0)).count() == 0
 
 
+def test_names_go_wherever_they_stand(spark):
+    texts_ = ["Mr. John Smith came. Smith left; JOHN, Smithson and John's Smith-Lee stayed.", "Smith and John here.", "Mr. Smith's car. Smith!",
+              "Dr. Mary Jones met Prof. Dr. Weber. Weber and Mary left Jones.", "Call +49 30 1234567 or +44 (0)20 7946 0958, not +12 or 2+3.", "Mrs. Anna Lee"]
+    out = {r["doc_id"]: r["text"] for r in pii.pseudonymise(spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string")).collect()}
+    import re
+    given, family = re.match(r"Mr\. (\w+) (\w+) came", out[0]).groups()
+    assert {given, family}.isdisjoint({"John", "Smith"})
+    assert out[0] == f"Mr. {given} {family} came. {family} left; JOHN, Smithson and {given}'s {family}-Lee stayed."
+    assert out[1] == texts_[1] and out[2] == f"Mr. {family}'s car. {family}!"
+    mary, jones, weber = re.match(r"Dr\. (\w+) (\w+) met Prof\. Dr\. (\w+)\.", out[3]).groups()
+    assert out[3].endswith(f". {weber} and {mary} left {jones}.") and {mary, jones, weber}.isdisjoint({"Mary", "Jones", "Weber", "Dr"})
+    assert "1234567" not in out[4] and "7946" not in out[4] and out[4].endswith(", not +12 or 2+3.")
+    assert re.fullmatch(r"Call \+[0-9]{2} [0-9]{2} [0-9]{7} or \+[0-9]{2} \([0-9]\)[0-9]{2} [0-9]{4} [0-9]{4}, .*", out[4])
+
+
 def test_colliding_surrogates_are_drawn_again(spark, monkeypatch):
     real = pii.surrogate
 
