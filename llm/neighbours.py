@@ -3,8 +3,9 @@
 Vectors with equal components are one point with its smallest ids (as many as
 an answer may hold), so a vector that a third of the rows share is one point.
 For each of ``CURVES`` curves, points are projected to a few random directions,
-shifted, and placed on a Hilbert curve.  Spark range-partitions and sorts all
-points by (curve, key); their ranks, from the partitions' sizes, cut the order
+shifted, and placed on a Hilbert curve; points of one cell go along a finer curve
+in it, twice, so that a dense cluster is ordered by place, not by id.  Spark range-partitions and sorts all
+points by (curve, keys); their ranks, from the partitions' sizes, cut the order
 into blocks of ``BLOCK`` points.  A query looks at its own block and the two
 beside it, so at BLOCK points or more on either side of it, on every curve.
 Blocks score their queries on the original vectors in double precision; the
@@ -29,6 +30,8 @@ from llm.common import materialise, table
 CURVES = 32
 BLOCK = 512
 DIMS, BITS = 8, 7
+#: Keys of a point on a curve: BITS of each coordinate, then the next BITS, and the next.
+KEYS = ("key", "key2", "key3")
 SEED = 11
 
 
@@ -56,15 +59,20 @@ def hilbert(cells: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
-def curve_keys(vectors: np.ndarray, curve: int, dims: int = DIMS, bits: int = BITS) -> np.ndarray:
-    """The points' keys on one curve: directions and shift are drawn from the curve's number."""
+def curve_keys(vectors: np.ndarray, curve: int, dims: int = DIMS, bits: int = BITS) -> list[np.ndarray]:
+    """The points' keys on one curve, coarse to fine: directions and shift are drawn from the curve's number."""
     rng = np.random.default_rng([SEED, curve, vectors.shape[1]])
     dims = min(dims, vectors.shape[1])
     axes = np.linalg.qr(rng.normal(size=(vectors.shape[1], dims)))[0]
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     z = unit @ axes * np.sqrt(vectors.shape[1])  # about one wide, for directions without structure
-    cells = np.floor((z + 3.0) / 6.0 * (1 << bits) + rng.random(dims) * (1 << (bits - 2)))
-    return hilbert(np.clip(cells, 0, (1 << bits) - 1), bits)
+    at = (z + 3.0) / 6.0 * (1 << bits) + rng.random(dims) * (1 << (bits - 2))
+    keys = []
+    for _ in KEYS:
+        cells = np.clip(np.floor(at), 0, (1 << bits) - 1)
+        keys.append(hilbert(cells, bits))
+        at = np.clip(at - cells, 0, 1) * (1 << bits)  # where in the cell
+    return keys
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -95,13 +103,13 @@ def ordered(pts: DataFrame, curves: int) -> DataFrame:
                 part = b.filter(pa.array(sizes == n))
                 vectors = _matrix(part.column("vector"))
                 for c in range(curves):
-                    extra = [pa.array(np.full(len(part), int(n) * curves + c)), pa.array(curve_keys(vectors, c))]
-                    yield pa.RecordBatch.from_arrays([*part.columns, *extra], [*part.schema.names, "curve", "key"])
+                    extra = [pa.array(np.full(len(part), int(n) * curves + c)), *map(pa.array, curve_keys(vectors, c))]
+                    yield pa.RecordBatch.from_arrays([*part.columns, *extra], [*part.schema.names, "curve", *KEYS])
 
     kind = pts.schema["vector"].dataType.simpleString()
-    on = pts.select("point", "vector", "asked").mapInArrow(keyed, f"point long, vector {kind}, asked boolean, curve long, key long")
-    dealt = on.repartitionByRange("curve", "key", "point").sortWithinPartitions("curve", "key", "point")
-    dealt = materialise(dealt.select("*", F.spark_partition_id().alias("part"),
+    on = pts.select("point", "vector", "asked").mapInArrow(keyed, f"point long, vector {kind}, asked boolean, curve long, {', '.join(f'{k} long' for k in KEYS)}")
+    dealt = on.repartitionByRange("curve", *KEYS, "point").sortWithinPartitions("curve", *KEYS, "point")
+    dealt = materialise(dealt.drop(*KEYS).select("*", F.spark_partition_id().alias("part"),
                                      F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("at")), "curves")
     sizes = {r["part"]: r["n"] for r in dealt.groupBy("part").agg(F.count("*").alias("n")).collect()}  # a row per partition
     starts, total = [], 0

@@ -240,6 +240,22 @@ def test_neighbours(spark):
     assert neighbours.search(df.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def recall(rows, got, queries):
+    hits = 0
+    for q in queries:
+        hits += len({x["vec_id"] for x in got if x["query_id"] == q} & {i for i, _ in brute.nearest(rows, q)})
+    return hits / (5 * len(queries))
+
+
+def test_a_dense_cluster_of_distinct_vectors_is_ordered_by_place(spark):
+    r = np.random.default_rng(4)
+    centre = r.normal(size=64)
+    rows = {i: (centre * 1.0 + r.normal(size=64) * (0.001 if i % 3 == 0 else 1.0)).astype("f4").tolist() for i in range(4500)}
+    df = spark.createDataFrame(list(rows.items()), "vec_id long, embedding array<float>")
+    got = neighbours.search(df, F.col("vec_id") % 75 == 0, curves=16, block=64).collect()
+    assert recall(rows, got, range(0, 4500, 75)) >= 0.8
+
+
 def test_hilbert_keys_are_a_walk_over_all_cells():
     cells = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     walk = cells[np.argsort(neighbours.hilbert(cells, 3))]
