@@ -12,6 +12,11 @@ Blocks score their queries on the original vectors in double precision; the
 best of all blocks are merged.  A block holds a fixed number of points however
 the vectors lie, so no task grows with a cluster's size.
 
+A fixed number of candidates finds less in a larger table.  So ``SAMPLE`` of the
+queries are also compared with all points, and while less than ``RECALL`` of their
+nearest is found, a further round looks along as many other curves, up to
+``ROUNDS``.
+
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components take no part, as queries or candidates; vectors are compared within
 one dimension; a row repeating an id and vector counts once; ties go to the
@@ -32,6 +37,8 @@ BLOCK = 512
 DIMS, BITS = 8, 7
 #: Keys of a point on a curve: BITS of each coordinate, then the next BITS, and the next.
 KEYS = ("key", "key2", "key3")
+#: Queries whose recall is measured, the recall that ends the rounds, and the most rounds.
+SAMPLE, RECALL, ROUNDS = 200, 0.95, 8
 SEED = 11
 
 
@@ -94,8 +101,8 @@ def points(rows: DataFrame, keep: int) -> DataFrame:
         F.col("members")[0].alias("point"), "vector", "members")
 
 
-def ordered(pts: DataFrame, curves: int) -> DataFrame:
-    """``pts`` on every curve, with their ranks in the order of (curve, key)."""
+def ordered(pts: DataFrame, curves: int, first_curve: int = 0) -> DataFrame:
+    """``pts`` on every curve from ``first_curve``, with their ranks in the order of (curve, keys)."""
     def keyed(batches):
         for b in batches:
             sizes = b.column("vector").value_lengths().to_numpy(zero_copy_only=False)
@@ -103,7 +110,7 @@ def ordered(pts: DataFrame, curves: int) -> DataFrame:
                 part = b.filter(pa.array(sizes == n))
                 vectors = _matrix(part.column("vector"))
                 for c in range(curves):
-                    extra = [pa.array(np.full(len(part), int(n) * curves + c)), *map(pa.array, curve_keys(vectors, c))]
+                    extra = [pa.array(np.full(len(part), int(n) * curves + c)), *map(pa.array, curve_keys(vectors, first_curve + c))]
                     yield pa.RecordBatch.from_arrays([*part.columns, *extra], [*part.schema.names, "curve", *KEYS])
 
     kind = pts.schema["vector"].dataType.simpleString()
@@ -151,7 +158,51 @@ def scored(ranked: DataFrame, block: int, k: int) -> DataFrame:
     return rows.groupBy("block", "dim").applyInArrow(best, "query long, point long, score double")
 
 
-def search(vectors: DataFrame, asked: Column, k: int = 5, curves: int = CURVES, block: int = BLOCK) -> DataFrame:
+def nearest_of_sample(pts: DataFrame, k: int, sample: int) -> DataFrame:
+    """(query, kth, of): the score of the k-th nearest (or last) of a sample of the query points, compared with all points."""
+    picked = pts.filter("asked").orderBy(F.xxhash64("point"), "point").select("point", "vector").limit(sample).collect()
+    by_size: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for size in {len(r["vector"]) for r in picked}:
+        some = [r for r in picked if len(r["vector"]) == size]
+        v = np.array([r["vector"] for r in some], float)
+        by_size[size] = np.array([r["point"] for r in some]), v / np.linalg.norm(v, axis=1, keepdims=True)
+
+    def best(batches):
+        for b in batches:
+            sizes = b.column("vector").value_lengths().to_numpy(zero_copy_only=False)
+            for size, (queries, unit) in by_size.items():
+                part = b.filter(pa.array(sizes == size))
+                if not len(part):
+                    continue
+                v, ids = _matrix(part.column("vector")), part.column("point").to_numpy()
+                score = unit @ (v / np.linalg.norm(v, axis=1, keepdims=True)).T
+                score[queries[:, None] == ids[None, :]] = -np.inf
+                top = -np.sort(-score, axis=1)[:, :k]
+                fine = np.isfinite(top)
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(queries, fine.sum(1))), pa.array(top[fine])], ["query", "score"])
+
+    scores = pts.select("point", "vector").mapInArrow(best, "query long, score double")
+    r = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score")))
+    return scores.withColumn("r", r).filter(F.col("r") <= k).groupBy("query").agg(F.min("score").alias("kth"), F.count("*").alias("of"))
+
+
+def candidates(pts: DataFrame, k: int, curves: int, block: int, rounds: int, recall: float = RECALL) -> DataFrame:
+    """(query, point, score) found in as many rounds as the sample's recall asks for."""
+    truth = materialise(nearest_of_sample(pts, k, SAMPLE), "nearest") if rounds > 1 else None
+    found = None
+    for round_ in range(rounds):
+        new = scored(ordered(pts, curves, round_ * curves), block, k)
+        new = new if found is None else new.unionByName(found)
+        found = materialise(new.groupBy("query", "point").agg(F.max("score").alias("score")), "found")
+        if round_ + 1 < rounds:
+            near = found.join(truth, "query").filter(F.col("score") >= F.col("kth") - 1e-9).groupBy("query").agg(F.count("*").alias("n"))
+            met = truth.join(near, "query", "left").agg(F.sum(F.least("of", F.coalesce("n", F.lit(0)))).alias("n"), F.sum("of").alias("of")).first()
+            if (met["n"] or 0) >= recall * (met["of"] or 0):
+                break
+    return found
+
+
+def search(vectors: DataFrame, asked: Column, k: int = 5, curves: int = CURVES, block: int = BLOCK, rounds: int = ROUNDS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of each row of (vec_id, embedding) that ``asked`` holds for."""
     rows = vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.col("embedding").alias("vector"))
     rows = rows.filter(sound("vector") & F.col("vec_id").isNotNull())
@@ -159,7 +210,7 @@ def search(vectors: DataFrame, asked: Column, k: int = 5, curves: int = CURVES,
     pts = materialise(points(rows, k + 1), "points")
     wanted = queries.select("vector").distinct().withColumn("asked", F.lit(True))
     pts = materialise(pts.join(wanted, "vector", "left").withColumn("asked", F.coalesce("asked", F.lit(False))), "points")
-    found = scored(ordered(pts, curves), block, k).groupBy("query", "point").agg(F.max("score").alias("score"))
+    found = candidates(pts, k, curves, block, rounds)
     norm = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     own = pts.filter("asked").select(F.col("point").alias("query"), "point", (norm / (F.sqrt(norm) * F.sqrt(norm))).alias("score"))
     rows_of = found.unionByName(own).join(pts.select("point", "members"), "point")

@@ -256,6 +256,14 @@ def test_a_dense_cluster_of_distinct_vectors_is_ordered_by_place(spark):
     assert recall(rows, got, range(0, 4500, 75)) >= 0.8
 
 
+def test_rounds_go_on_until_a_sample_has_its_neighbours(spark):
+    r = np.random.default_rng(6)
+    rows = {i: r.normal(size=64).astype("f4").tolist() for i in range(3000)}
+    df = spark.createDataFrame(list(rows.items()), "vec_id long, embedding array<float>")
+    once, more = (recall(rows, neighbours.search(df, F.col("vec_id") % 50 == 0, curves=16, block=32, rounds=n).collect(), range(0, 3000, 50)) for n in (1, 8))
+    assert once < 0.8 and more >= 0.9
+
+
 def test_hilbert_keys_are_a_walk_over_all_cells():
     cells = np.stack(np.meshgrid(*[np.arange(8)] * 3, indexing="ij"), -1).reshape(-1, 3)
     walk = cells[np.argsort(neighbours.hilbert(cells, 3))]
