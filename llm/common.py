@@ -10,6 +10,7 @@ import zipfile
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reelhouse.plans.files import Folders
 from reelhouse.session import checkpoint_dir
 
 #: ASCII white space, the word separator of the text contracts: \\x20 \\x09-\\x0D.
@@ -52,8 +53,17 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet to shared storage and read it back.
 
     Cuts the lineage: a lost executor costs a re-read, not a recomputation.
-    The files live in the checkpoint folder and go when that is cleaned.
+    The files live in the checkpoint folder and go when that is cleaned, or by ``release``.
     """
     path = shared_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._llm_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Remove the files of materialised tables whose results have been written."""
+    for t in tables:
+        if path := getattr(t, "_llm_path", None):
+            Folders(t.sparkSession).remove(path)
