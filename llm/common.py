@@ -49,14 +49,14 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to shared storage and read it back.
+def materialise(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write ``df`` as Parquet (partitioned by ``by``) to shared storage and read it back.
 
     Cuts the lineage: a lost executor costs a re-read, not a recomputation.
     The files live in the checkpoint folder and go when that is cleaned, or by ``release``.
     """
     path = shared_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").parquet(path, partitionBy=by)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._llm_path = path
     return out
