@@ -19,11 +19,12 @@ from llm.secrets import op3_secret_scan
 from llm.simhash import op2_simhash_near_dedup
 from llm.variants import OP11_SQL, op11_spelling_variants
 from llm.warc import OP5_SQL, op5_warc_revisits
+from llm.wordbpe import op13_word_bpe
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_fuzzy_line_dedup, op2_simhash_near_dedup, op3_secret_scan, op4_host_quality_rules, op5_warc_revisits,
     op6_repeated_strings, op7_hilbert_neighbours, op8_best_fit_packing, op9_pii_surrogates, op10_byte_bpe, op11_spelling_variants,
-    op12_merkle_manifest)}
+    op12_merkle_manifest, op13_word_bpe)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
 #: DuckDB statements for those that SQL can express over whole tables.
