@@ -18,7 +18,7 @@ RATING_MIN = 0.5
 RATING_MAX = 5.0
 
 
-def _key_filter(df: DataFrame, dim_movies: DataFrame, dim_users: DataFrame | None) -> DataFrame:
+def known_rows(df: DataFrame, dim_movies: DataFrame, dim_users: DataFrame | None) -> DataFrame:
     """Keep rows whose movie is in the dimension and whose user is known.
 
     Both are semi joins: ``dim_movies`` has one row per genre, so an inner
@@ -49,11 +49,16 @@ def fact_ratings(stg_ratings: DataFrame, dim_movies: DataFrame,
     ``years``; the year test is written as ranges on ``created_at`` so that
     it reaches the Parquet reader.  ``year`` is the rating's year.
     """
+    kept = known_rows(valid_ratings(stg_ratings, years), dim_movies, dim_users)
+    return kept.select("user_id", "movie_id", "rating", "created_at", "year")
+
+
+def valid_ratings(stg_ratings: DataFrame, years: Iterable[int] | None = None) -> DataFrame:
+    """The fact's rows before their movie and user are looked up."""
     years = PARTITION_YEARS if years is None else tuple(years)
     ratings = (stg_ratings
                .filter(F.col("rating").between(RATING_MIN, RATING_MAX))
                .filter(year_range_filter("created_at", years)))
-    ratings = _key_filter(ratings, dim_movies, dim_users)
     return ratings.select("user_id", "movie_id", "rating", "created_at",
                           F.year("created_at").cast("int").alias("year"))
 
@@ -61,7 +66,7 @@ def fact_ratings(stg_ratings: DataFrame, dim_movies: DataFrame,
 def fact_tags(stg_tags: DataFrame, dim_movies: DataFrame,
               dim_users: DataFrame | None = None) -> DataFrame:
     """Key-filtered tags; no rating range or year restriction."""
-    tags = _key_filter(stg_tags, dim_movies, dim_users)
+    tags = known_rows(stg_tags, dim_movies, dim_users)
     return tags.select("user_id", "movie_id", "tag", "created_at",
                        F.year("created_at").cast("int").alias("year"))
 

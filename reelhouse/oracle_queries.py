@@ -8,6 +8,7 @@ from reelhouse.oracle_sql import (
     genre_mart,
     movie_mart,
     scd2_sql,
+    scd2_steps,
     user_mart,
     with_layers,
 )
@@ -200,6 +201,34 @@ def oracle() -> dict[str, str]:
                                        "SELECT * FROM fact_ratings WHERE year IN (1996, 1997)"),
         "register_tables": q["mart_genre_performance"],
     }
+    t0 = "TIMESTAMP '2024-09-01 00:00:00'"
+    snap_t0 = scd2_steps([(movie_mart("fact_ratings_t1", T1_SQL), T1_SQL), (movie_mart("fact_ratings_t0", t0), t0),
+                          (movie_mart("fact_ratings", T2_SQL), T2_SQL)], "movie_id", ["total_ratings", "avg_rating", "quality_tier"])
+    fr_t0 = "fact_ratings_t0 AS (SELECT * FROM fact_ratings WHERE year BETWEEN 1995 AND 2000)"
+    genre_t1 = genre_mart("fact_ratings_t1", T1_SQL)
+    genre_hist = scd2_sql(genre_t1, genre_mart("fact_ratings", T2_SQL), "genres", ["total_ratings", "avg_rating", "popularity_tier"])
+    n, none = "(SELECT count(*) FROM {})", "CAST(NULL AS BIGINT)"
+    movies, users, tags, ratings, first, later = (n.format(t) for t in (
+        "stg_movies", "dim_users", "fact_tags", "fact_ratings", "fact_ratings_t1", "fact_ratings WHERE year >= 1999"))
+    hist = [f"SELECT count(*) FROM ({genre_hist}) h", f"SELECT count(*) FROM ({genre_hist}) h WHERE is_current",
+            f"SELECT count(*) FROM ({genre_hist}) h WHERE NOT is_current", f"SELECT count(*) FROM ({genre_t1}) g"]
+    reports = [("stg_movies", movies, none, none, none), ("stg_movies", movies, none, none, none), ("dim_users", users, none, none, none),
+               ("fact_ratings", first, first, none, none), ("fact_ratings", ratings, later, none, none),
+               ("fact_tags", tags, none, none, none), ("fact_tags", f"2 * {tags}", tags, none, none),
+               ("mart_genre_performance", f"(SELECT count(*) FROM ({gm}) g)", none, none, none),
+               ("snap_mart_genre_performance", f"({hist[3]})", none, f"({hist[3]})", "CAST(0 AS BIGINT)"),
+               ("snap_mart_genre_performance", f"({hist[0]})", none, f"({hist[1]})", f"({hist[2]})")]
+    q |= {
+        "store_snapshot_out_of_order": _q(_rounded(snap_t0), f"{FR_T1}, {fr_t0}"),
+        "store_correction": _q("SELECT user_id, movie_id, CASE WHEN user_id = 1 THEN 0.5 ELSE rating END AS rating, created_at, year FROM fact_ratings"),
+        "store_late_users": q["fact_ratings"],
+        "load_reports": _q(" UNION ALL ".join(
+            f"SELECT {i} AS step, '{t}' AS \"table\", {a} AS row_count, {b} AS rows_touched, {c} AS current_rows, {d} AS closed_rows"
+            for i, (t, a, b, c, d) in enumerate(reports)), FR_T1),
+        "register_evolved": _q("SELECT *, CASE WHEN year >= 1999 THEN year > 1999 END AS late FROM fact_ratings"),
+    }
+    for mart in ("mart_movie_analytics", "mart_user_behavior", "mart_genre_performance"):
+        q[f"register_{mart}"], q[f"register_snap_{mart}"] = q[mart], q[f"snap_{mart}"]
     for name in ("movies", "links", "ratings", "tags"):
         q[f"land_raw_{name}"] = _q(f"SELECT * FROM raw_{name}")
         q[f"check_bronze_{name}"] = _q(

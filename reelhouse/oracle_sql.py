@@ -238,3 +238,19 @@ def scd2_sql(mart_t1: str, mart_t2: str, key: str, watched: list[str],
  FROM src s LEFT JOIN h1 h ON h.{key} = s.{key}
  WHERE h.{key} IS NULL OR ({changed})
 """
+
+
+def scd2_steps(loads: list[tuple[str, str]], key: str, watched: list[str]) -> str:
+    """History after loads of (mart, clock) in that order; the first opens it."""
+    changed = " OR ".join(f"h.{c} IS DISTINCT FROM s.{c}" for c in watched)
+    ctes = [f"h0 AS (SELECT *, {loads[0][1]} AS valid_from, CAST(NULL AS TIMESTAMP) AS valid_to, TRUE AS is_current FROM ({loads[0][0]}) m0)"]
+    for i, (mart, ts) in enumerate(loads[1:], 1):
+        ends = f"h.is_current AND s.{key} IS NOT NULL AND ({changed})"
+        ctes.append(f"s{i} AS ({mart})")
+        ctes.append(f"""h{i} AS (
+ SELECT h.* REPLACE (CASE WHEN {ends} THEN {ts} ELSE h.valid_to END AS valid_to, CASE WHEN {ends} THEN FALSE ELSE h.is_current END AS is_current)
+ FROM h{i - 1} h LEFT JOIN s{i} s ON h.{key} = s.{key}
+ UNION ALL
+ SELECT s.*, {ts}, CAST(NULL AS TIMESTAMP), TRUE FROM s{i} s LEFT JOIN (SELECT * FROM h{i - 1} WHERE is_current) h ON h.{key} = s.{key}
+ WHERE h.{key} IS NULL OR ({changed}))""")
+    return f"WITH {', '.join(ctes)} SELECT * FROM h{len(loads) - 1}"

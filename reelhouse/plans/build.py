@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reelhouse.operators import checks, dims, facts, marts, staging
 from reelhouse.operators.scd2 import SNAPSHOT_SPECS
-from reelhouse.plans.catalog import GOLD_PARTITIONS, GOLD_TABLES, register_tables
+from reelhouse.plans.catalog import GOLD_PARTITIONS, GOLD_TABLES, register_stored
 from reelhouse.plans.tables import LoadReport, TableStore
 from reelhouse.sources.csv import SOURCE_FILES, land_raw, source_path
 
@@ -97,7 +97,6 @@ def build_lakehouse(spark: SparkSession, root: str, raw: dict[str, DataFrame] |
     reports += build_silver(store, raw, years) + build_gold(store, as_of)
     registered = []
     if database:
-        registered = register_tables(spark, database,
-                                     {t: store.path(t) for t in GOLD_TABLES}, GOLD_PARTITIONS)
+        registered = register_stored(spark, database, store, GOLD_TABLES, GOLD_PARTITIONS)
     return {"reports": [x.as_dict() for x in reports], "registered": registered,
             "checks": run_checks(store), "bronze_checks": bronze_checks}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,13 +42,6 @@ class Folders:
         fs, p = self._at(path)
         return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
-    def move(self, source: str, target: str) -> None:
-        fs, p = self._at(source)
-        t = self._jvm.org.apache.hadoop.fs.Path(target)
-        fs.mkdirs(t.getParent())
-        if not fs.rename(p, t):
-            raise OSError(f"could not move {source} to {target}")
-
     def remove(self, path: str) -> None:
         fs, p = self._at(path)
         fs.delete(p, True)
@@ -67,6 +61,36 @@ class Folders:
         finally:
             out.close()
 
+    def put_once(self, path: str, note: dict) -> bool:
+        """Write ``note`` whole under a name that nobody has taken yet; False if it's taken.
+
+        The note is written beside and renamed without overwriting, which the
+        file system does in one step (HDFS; elsewhere as its rename allows).
+        """
+        made = f"{path}.{uuid.uuid4().hex}.tmp"
+        self.write_note(made, note)
+        jvm = self._jvm.org.apache.hadoop.fs
+        none = self.spark.sparkContext._gateway.new_array(jvm.Options.Rename, 0)
+        source, target = jvm.Path(made), jvm.Path(path)
+        files = jvm.FileContext.getFileContext(target.toUri(), self._conf) if target.toUri().getScheme() else jvm.FileContext.getFileContext(self._conf)
+        try:
+            files.rename(source, target, none)
+            return True
+        except Py4JJavaError as error:
+            self.remove(made)
+            if "FileAlreadyExistsException" in error.java_exception.getClass().getName():
+                return False
+            raise
+
+    def data_files(self, path: str) -> list[str]:
+        """Names of the data files right in a folder."""
+        return [n for n in self.names(path) if not n.startswith(("_", "."))]
+
+    def age(self, path: str) -> float:
+        """Seconds since a folder or file was last changed."""
+        fs, p = self._at(path)
+        return self._jvm.java.lang.System.currentTimeMillis() / 1000 - fs.getFileStatus(p).getModificationTime() / 1000
+
     def read_note(self, path: str) -> dict | None:
         fs, p = self._at(path)
         if not fs.exists(p):

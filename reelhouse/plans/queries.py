@@ -21,12 +21,13 @@ from pyspark.sql.types import TimestampType
 
 from reelhouse.operators import checks, dims, facts, marts, reports, scd2, staging
 from reelhouse.operators import upsert as upsert_mod
-from reelhouse.plans.catalog import register_tables
+from reelhouse.plans.catalog import GOLD_PARTITIONS, register_stored, register_tables
 from reelhouse.plans.files import Folders
 from reelhouse.plans.tables import TableStore
 from reelhouse.session import checkpoint_dir, ensure_session_defaults
 from reelhouse.sources.csv import land_raw, source_path, write_raw_csv
 from reelhouse.sources.fixtures import raw_relations
+from reelhouse.streaming import merge_ratings, release_pending
 
 AS_OF = datetime(2025, 1, 1, tzinfo=timezone.utc)
 ROUNDED_COLUMNS = {"stddev_rating": 6}
@@ -66,7 +67,7 @@ class Layers:
 
     def fact_ratings(self, years=None) -> DataFrame:
         # dim_users is derived from the same staging data: the user join is a
-        # NULL filter (see facts._key_filter).
+        # NULL filter (see facts.known_rows).
         return facts.fact_ratings(self.stg["stg_ratings"], self.dim_movies, None, years)
 
     @cached_property
@@ -477,15 +478,130 @@ def _store_append(L: Layers):
     return store.read("fact_ratings").select("user_id", "movie_id", "rating", "created_at", "year")
 
 
+SNAP_T0 = datetime(2024, 9, 1, tzinfo=timezone.utc)
+SNAP_T0_YEARS = range(1995, 2001)
+
+
+@query("store_snapshot_out_of_order")
+def _store_out_of_order(L: Layers):
+    """Three loads of the movie mart, the one of the clock in the middle last."""
+    mart = "mart_movie_analytics"
+    key, cols = scd2.SNAPSHOT_SPECS[mart]
+    store, name = _store(L), f"snap_{mart}"
+    for years, ts in ((SNAP_T1_YEARS, SNAP_T1), (None, SNAP_T2), (SNAP_T0_YEARS, SNAP_T0)):
+        store.snapshot(name, L.mart_movie(years, ts), key, cols, ts)
+    return store.read(name)
+
+
+@query("store_correction")
+def _store_correction(L: Layers):
+    """A correction of one user's ratings, by files: the others' files stay."""
+    store = _store(L)
+    store.full_refresh("fact_ratings", L.fact_ratings().repartitionByRange("user_id"))
+    wrong = store.read("fact_ratings").filter("user_id = 1")
+    store.merge_upsert("fact_ratings", wrong.withColumn("rating", F.lit(0.5)))
+    return store.read("fact_ratings").select("user_id", "movie_id", "rating", "created_at", "year")
+
+
+@query("store_late_users")
+def _store_late_users(L: Layers):
+    """Ratings of users who get into the dimension after them: they wait, and are merged then."""
+    store = _store(L)
+    store.full_refresh("dim_movies", L.dim_movies)
+    store.full_refresh("dim_users", _taggers(L))
+    first, later = facts.valid_ratings(L.stg["stg_ratings"], UPSERT_FIRST_YEARS), facts.valid_ratings(L.stg["stg_ratings"], range(2000, 2024))
+    merge_ratings(store, first)
+    merge_ratings(store, later)
+    store.full_refresh("dim_users", L.dim_users)
+    release_pending(store)
+    return store.read("fact_ratings").select("user_id", "movie_id", "rating", "created_at", "year")
+
+
+@query("load_reports")
+def _load_reports(L: Layers):
+    """B8 (with B2, B1, B3, B6 and B4): what each kind of write reports."""
+    store = _store(L)
+    mart = "mart_genre_performance"
+    key, cols = scd2.SNAPSHOT_SPECS[mart]
+    done = [store.full_refresh("stg_movies", L.stg["stg_movies"]), store.full_refresh("stg_movies", L.stg["stg_movies"]),
+            store.full_refresh("dim_users", L.dim_users),
+            store.merge_upsert("fact_ratings", L.fact_ratings(UPSERT_FIRST_YEARS)), store.merge_upsert("fact_ratings", L.fact_ratings(UPSERT_LATER_YEARS)),
+            store.append("fact_tags", L.fact_tags), store.append("fact_tags", L.fact_tags),
+            store.full_refresh(mart, L.mart_genre()),
+            store.snapshot(f"snap_{mart}", L.mart_genre(SNAP_T1_YEARS, SNAP_T1), key, cols, SNAP_T1),
+            store.snapshot(f"snap_{mart}", L.mart_genre(None, SNAP_T2), key, cols, SNAP_T2)]
+    rows = [(i, r.table, r.row_count, r.extra.get("rows_touched"), r.extra.get("current_row_count"), r.extra.get("closed_this_run"))
+            for i, r in enumerate(done)]
+    return L.spark.createDataFrame(rows, "step int, table string, row_count long, rows_touched long, current_rows long, closed_rows long")
+
+
+def _through_catalog(L: Layers, name: str, register: Callable[[str], object]) -> DataFrame:
+    """What the table registered in a database of this call alone gives; the database goes."""
+    database = f"gold_{uuid.uuid4().hex[:8]}"
+    try:
+        register(database)
+        copy = f"{_scratch(L.spark, 'served')}/{name}"
+        table = L.spark.table(f"{database}.{name}")
+        table.write.parquet(copy)
+        return L.spark.read.schema(table.schema).parquet(copy)
+    finally:
+        L.spark.sql(f"DROP DATABASE IF EXISTS {database} CASCADE")
+
+
 @query("register_tables")
 def _register_tables(L: Layers):
     """The genre mart through the catalog, registered twice."""
-    store = _store(L)
-    store.full_refresh("mart_genre_performance", L.mart_genre())
-    database = f"gold_{uuid.uuid4().hex[:8]}"
-    for _ in range(2):
-        register_tables(L.spark, database, {"mart_genre_performance": store.path("mart_genre_performance")})
-    return L.spark.table(f"{database}.mart_genre_performance")
+    store, mart = _store(L), "mart_genre_performance"
+    store.full_refresh(mart, L.mart_genre())
+
+    def twice(database):
+        for _ in range(2):
+            register_tables(L.spark, database, {mart: store.locations(mart)[1][""]})
+    return _through_catalog(L, mart, twice)
+
+
+def _register_served(mart: str, short: str):
+    build = {"movie": Layers.mart_movie, "user": Layers.mart_user, "genre": Layers.mart_genre}[short]
+
+    @query(f"register_{mart}")
+    def _mart(L: Layers):
+        """The mart through the catalog: registered over part of the ratings, then over all."""
+        store = _store(L)
+
+        def both(database):
+            for years in (SNAP_T1_YEARS, None):
+                store.full_refresh(mart, build(L, years))
+                register_stored(L.spark, database, store, [mart])
+        return _through_catalog(L, mart, both)
+
+    @query(f"register_snap_{mart}")
+    def _snap(L: Layers):
+        """The history through the catalog, registered after each of its two loads."""
+        store, name = _store(L), f"snap_{mart}"
+        key, cols = scd2.SNAPSHOT_SPECS[mart]
+
+        def both(database):
+            for years, ts in ((SNAP_T1_YEARS, SNAP_T1), (None, SNAP_T2)):
+                store.snapshot(name, build(L, years, ts), key, cols, ts)
+                register_stored(L.spark, database, store, [name], GOLD_PARTITIONS)
+        return _through_catalog(L, name, both).drop("closed_run")
+
+
+for _short, _mart in (("movie", "mart_movie_analytics"), ("user", "mart_user_behavior"), ("genre", "mart_genre_performance")):
+    _register_served(_mart, _short)
+
+
+@query("register_evolved")
+def _register_evolved(L: Layers):
+    """A partitioned fact that gains a column by a merge, registered before and after it."""
+    store, name = _store(L), "fact_ratings"
+
+    def both(database):
+        store.merge_upsert(name, L.fact_ratings(UPSERT_FIRST_YEARS))
+        register_stored(L.spark, database, store, [name])
+        store.merge_upsert(name, L.fact_ratings(UPSERT_LATER_YEARS).withColumn("late", F.col("year") > UPSERT_CORRECTED_YEAR))
+        register_stored(L.spark, database, store, [name])
+    return _through_catalog(L, name, both).select("user_id", "movie_id", "rating", "created_at", "year", "late")
 
 
 # --- A1 / C11–C14: bronze landing over CSV text ------------------------------------

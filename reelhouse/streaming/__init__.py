@@ -1,3 +1,3 @@
 """Incremental ingestion with Structured Streaming."""
 
-from reelhouse.streaming.ratings_feed import start_ratings_feed  # noqa: F401
+from reelhouse.streaming.ratings_feed import PENDING, merge_ratings, release_pending, start_ratings_feed  # noqa: F401

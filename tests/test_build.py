@@ -68,11 +68,10 @@ def test_tables_survive_a_new_session(spark, scratch):
         "import sys; sys.path.insert(0, %r)\n"
         "from reelhouse.session import build_session\n"
         "from reelhouse.plans.tables import TableStore\n"
-        "from reelhouse.plans.catalog import register_tables\n"
+        "from reelhouse.plans.catalog import register_stored\n"
         "s = build_session('local[2]', shuffle_partitions=2)\n"
         "st = TableStore(s, %r)\n"
-        "register_tables(s, 'again', {'fact_ratings': st.path('fact_ratings')}, "
-        "{'fact_ratings': [('year', 'int')]})\n"
+        "register_stored(s, 'again', st, ['fact_ratings'])\n"
         "print(st.read('fact_ratings').count(), s.table('again.fact_ratings').count(), "
         "st.read('snap_mart_movie_analytics').filter('is_current').count())\n"
     ) % (os.path.dirname(os.path.dirname(os.path.abspath(__file__))), scratch)
