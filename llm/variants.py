@@ -6,14 +6,17 @@ and a long word costs few levels.  A state is (word, position, node, edits):
 the word's first ``position`` code points lead to ``node`` with so many edits.
 Level by level all states are joined with the edges of their nodes: a label
 that equals what follows in the word moves a state on; a state without edits
-may also replace, insert or delete a code point at an edge that isn't its own.
-A state with one edit that ends with its word at a word's node is a neighbour.
+may also replace or delete a code point at an edge that isn't its own.  A state
+with one edit that ends with its word at a word's node is a neighbour.  Every
+pair is found from one side, from the longer word or, if a code point is
+replaced, from the word with the smaller one, and counts for both.
 
 Near the root every word could turn off to most of the trie.  So there are two
 tries, of words and of words read backwards, and a word only turns off in the
 second half of either: an edit in its first half is in the second half when
-read backwards.  A state turns off only if the node's signature, two 64-bit
-sets of what the words below still have to come, can hold the word's rest.
+read backwards.  Edges have a signature, two 64-bit sets of what the words
+below have after the edge's first code point; a state that its word's rest
+isn't in doesn't take the edge.
 
 Nodes are named by 64-bit hashes of their prefixes.  A neighbour counts only
 if the vocabulary holds it, so that equal hashes can't make one up; a node
@@ -30,7 +33,11 @@ take no part.
 from __future__ import annotations
 
 import math
+import re
+from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import reduce
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -40,32 +47,52 @@ from pyspark.sql import functions as F
 from llm.common import materialise, release, table, text_of
 
 LETTERS = "[A-Za-zÀ-ÿ]"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Least code points and occurrences of a word; how much more frequent a form is.
 LEAST, TWICE, RATIO = 7, 2, 10
+#: The query's share of words that lose a code point in a document, one in so many.
+DAMAGE = 31
 #: Words under a node that share a key of the join.
 SPLIT = 4096
-#: Path rows that a Python worker holds at a time, about.
+#: Path rows, or counted words, that a Python worker holds at a time, about.
 HELD = 200_000
-REPLACE, INSERT, DELETE = 1, 2, 3
+REPLACE, DELETE = 1, 2
 
 
-def runs(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """(doc_id, run): every maximal run of at least ``least`` letters, A-Z lower-cased."""
-    found = F.regexp_extract_all(text_of(), F.lit(f"({LETTERS}{{{least},}})"), F.lit(1))
-    return docs.select("doc_id", F.explode(found).alias("run")).withColumn("run", F.translate("run", UPPER, LOWER))
+def counted(docs: DataFrame, least: int = LEAST, twice: int = TWICE, damage: int | None = None) -> DataFrame:
+    """(word, n) of the words of ``docs`` with at least ``least`` code points and ``twice`` occurrences or more.
 
-
-def damaged(doc_id: Column, run: Column, every: int = 31) -> Column:
-    """The run without one code point where ``every`` divides the hash of id and run."""
-    h = F.crc32(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit(":"), run))
-    at = (h % F.length(run)).cast("int")
-    return F.when(h % every == 0, F.concat(run.substr(F.lit(1), at), run.substr(at + 2, F.length(run)))).otherwise(run)
-
-
-def counted(words: DataFrame, least: int = LEAST, twice: int = TWICE) -> DataFrame:
-    """(word, n) of the words of at least ``least`` code points that occur ``twice`` or more."""
-    return words.filter(F.length("word") >= least).groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= twice)
+    Words are the maximal runs of letters, A-Z lower-cased.  With ``damage``, a
+    run loses a code point in each document where that number divides the CRC-32
+    of "<doc_id>:<run>"; the code point is the CRC-32 modulo the run's length.
+    Workers add up what they have seen and pass it on whenever it's ``HELD`` words.
+    """
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find, seen = re.compile(f"{LETTERS}{{{least},}}").findall, Counter()
+        for b in batches:
+            for doc, text in zip(b.column(0).to_pylist(), b.column(1)):
+                words = Counter(find(text.as_py().encode().lower().decode()))  # bytes: A-Z only
+                if not damage:
+                    seen.update(words)
+                else:
+                    start = crc32(f"{doc}:".encode())
+                    for word, n in words.items():
+                        if not (h := crc32(word.encode(), start)) % damage:
+                            at = h % len(word)
+                            word = word[:at] + word[at + 1:]
+                            if len(word) < least:
+                                continue
+                        seen[word] += n
+                if len(seen) >= HELD:
+                    yield sums(seen)
+                    seen.clear()
+        yield sums(seen)
+
+    def sums(seen: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+
+    rows = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("doc_id"), text_of().alias("text"))
+    found = rows.mapInArrow(run, "word string, n long")
+    return found.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= twice)
 
 
 def paths(oriented: DataFrame, first: int) -> DataFrame:
@@ -113,8 +140,8 @@ def _key(t: Column, words: Column) -> Column:
     return F.pmod(F.xxhash64(t), F.ceil(words / SPLIT))
 
 
-def trie(words: DataFrame, first: int) -> tuple[DataFrame, DataFrame]:
-    """(edges by level, first states) of the two tries below the prefixes of ``first`` code points."""
+def trie(words: DataFrame, first: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(edges by level, first states, the table these come from) of the two tries below the prefixes of ``first`` code points."""
     oriented = words.select(F.explode(F.array(*[F.struct(F.lit(w).alias("way"), t.alias("t")) for w, t in
                                                 ((0, F.col("word")), (1, F.reverse("word")))])).alias("o")).select("o.*")
     rows = paths(oriented, first)
@@ -126,7 +153,7 @@ def trie(words: DataFrame, first: int) -> tuple[DataFrame, DataFrame]:
 
     edges = whole.select("t", "steps", F.posexplode(F.slice("steps", 2, F.size("steps"))).alias("level", "to"))
     edges = edges.withColumn("from", F.col("steps")[F.col("level")])
-    one, two = _signature(F.col("t").substr(F.col("to.d") + 1, F.length("t")))
+    one, two = _signature(F.col("t").substr(F.col("from.d") + 2, F.length("t")))
     label = F.col("t").substr(F.col("from.d") + 1, F.col("to.d") - F.col("from.d"))
     edges = edges.select("level", F.col("from.node").alias("node"), F.col("from.words").alias("above"), F.col("to.node").alias("child"),
                          F.col("to.words").alias("below"), label.alias("label"), one.alias("one"), two.alias("two"),
@@ -134,69 +161,81 @@ def trie(words: DataFrame, first: int) -> tuple[DataFrame, DataFrame]:
     edges = edges.groupBy("level", "node", "above", "child", "below", "label").agg(
         F.bit_or("one").alias("one"), F.bit_or("two").alias("two"), F.max("final").alias("final"))
     keys = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("above") / SPLIT) - 1))
-    edges = materialise(edges.withColumn("key", keys).drop("above"), "trie-edges", by="level")
+    edges = edges.withColumn("key", keys).drop("above").withColumn("ch", F.ascii("label"))
     start = F.col("steps")[0]
     states = whole.select("way", "t", start["d"].alias("pos"), start["node"].alias("node"), _key(F.col("t"), start["words"]).alias("key"),
                           F.lit(0).alias("edits"), F.lit(0).alias("at"), F.lit("").alias("c"))
-    return edges, states
+    return materialise(edges, "trie-edges", by="level"), states, whole
 
 
 def _advanced(states: DataFrame, edges: DataFrame) -> DataFrame:
-    """States one edge further; ``found``: at a neighbour, ``open``: to go on."""
-    t, label, pos, edits = (F.col(c) for c in ("t", "label", "pos", "edits"))
+    """States one edge further; ``found``: at a neighbour, ``open``: to go on.
+
+    What a state takes an edge by is worked out before the join, as numbers: the
+    code points at and after its place, and the signatures of the rests.
+    """
+    t, label, pos, edits, ch = (F.col(c) for c in ("t", "label", "pos", "edits", "ch"))
     size, long = F.length("t"), F.length("label")
+    half = F.floor(size / 2).cast("int")
 
     def part(start: Column, length: Column) -> Column:  # start counts from 0
         return t.substr(start + 1, length)
 
-    tail = label.substr(F.lit(2), long)
-    half = F.floor(size / 2).cast("int")
-    turn = (edits == 0) & (part(pos, F.lit(1)) != label.substr(F.lit(1), F.lit(1))) & (pos >= F.when(F.col("way") == 0, half).otherwise(size - half))
-    ways = ((part(pos, long) == label, pos + long, edits),
-            (turn & (pos < size) & (part(pos + 1, long - 1) == tail), pos + long, F.lit(REPLACE)),
-            (turn & (part(pos, long - 1) == tail), pos + long - 1, F.lit(INSERT)),
-            (turn & (part(pos + 1, long) == label), pos + long + 1, F.lit(DELETE)))
-    options = F.filter(F.array(*[F.when(ok, F.struct(to.alias("to"), kind.alias("kind"))) for ok, to, kind in ways]), lambda x: x.isNotNull())
-    went = (states.join(edges, ["node", "key"]).withColumn("w", F.explode(options))
-            .withColumn("at", F.when((edits == 0) & (F.col("w.kind") > 0), pos).otherwise(F.col("at")))
-            .withColumn("c", F.when((edits == 0) & (F.col("w.kind") > 0), label.substr(F.lit(1), F.lit(1))).otherwise(F.col("c")))
-            .withColumn("pos", F.col("w.to")).withColumn("edits", F.col("w.kind")))
+    states = states.withColumn("ch0", F.ascii(part(pos, F.lit(1)))).withColumn("ch1", F.ascii(part(pos + 1, F.lit(1))))
+    for name, start in (("same", pos + 1), ("less", pos + 2)):
+        one, two = _signature(part(start, size))
+        states = states.withColumn(f"{name}1", one).withColumn(f"{name}2", two)
+    states = states.withColumn("turns", (edits == 0) & (pos >= F.when(F.col("way") == 0, half).otherwise(size - half)))
+
+    def holds(name: str) -> Column:
+        return (F.col("one").bitwiseAND(F.col(f"{name}1")) != 0) & (F.col("two").bitwiseAND(F.col(f"{name}2")) != 0)
+
+    own = (ch == F.col("ch0")) & ((edits == 0) | holds("same"))
+    replaced = F.col("turns") & (ch > F.col("ch0")) & holds("same")
+    deleted = F.col("turns") & (ch == F.col("ch1")) & (ch != F.col("ch0")) & holds("less")
+    went = states.join(edges, ["node", "key"]).filter(own | replaced | deleted)
+    tail, short = label.substr(F.lit(2), long), long == 1
+    fits = ((F.lit(0), own & ((edits == 0) | short | (part(pos, long) == label)), pos + long),
+            (F.lit(REPLACE), replaced & (short | (part(pos + 1, long - 1) == tail)), pos + long),
+            (F.lit(DELETE), deleted & (short | (part(pos + 1, long) == label)), pos + long + 1))
+    went = went.withColumn("ways", F.array(*[F.when(ok, to) for _, ok, to in fits])).select("*", F.posexplode("ways").alias("kind", "to")).filter("to <= length(t)")
+    first = (edits == 0) & (F.col("kind") > 0)
+    went = (went.withColumn("at", F.when(first, pos).otherwise(F.col("at"))).withColumn("c", F.when(first, label.substr(F.lit(1), F.lit(1))).otherwise(F.col("c")))
+            .withColumn("edits", F.greatest(edits, F.col("kind"))).withColumn("pos", F.col("to")))
     # All but the last code point without an edit, at a word's node: the last one is deleted.
-    last = (edits == 0) & (pos == size - 1) & F.col("final")
-    one, two = _signature(part(pos, size))
-    holds = (F.col("one").bitwiseAND(one) != 0) & (F.col("two").bitwiseAND(two) != 0)
+    went = went.withColumn("end", (edits == 0) & (pos == size - 1) & F.col("final"))
     went = went.withColumn("found", (edits > 0) & (pos == size) & F.col("final"))
-    went = went.withColumn("open", F.when(edits == 0, F.col("below") > 1).otherwise((pos < size) & holds))
-    went = went.withColumn("end", last)
+    went = went.withColumn("open", (pos < size) & ((edits > 0) | (F.col("below") > 1)))
     return went.filter("found OR open OR end").select(
         "way", "t", "pos", F.col("child").alias("node"), _key(t, F.col("below")).alias("key"), "edits", "at", "c", "found", "open", "end")
 
 
 def neighbours(words: DataFrame, least: int = LEAST) -> DataFrame:
     """(word, near, n): for each (word, n), of at least ``least`` code points, the words one edit away with their n."""
-    edges, states = trie(words, max(1, least // 2))
+    edges, states, whole = trie(words, max(1, least // 2))
     levels = edges.agg(F.max("level")).first()[0]
-    t, at, c = F.col("t"), F.col("at"), F.col("c")
+    if levels is None:
+        return words.select("word", F.col("word").alias("near"), "n").limit(0)
+    t, at = F.col("t"), F.col("at")
     before, ends = t.substr(F.lit(1), at), F.length("t")
     spelled = (F.when(F.col("end"), t.substr(F.lit(1), ends - 1))
-               .when(F.col("edits") == REPLACE, F.concat(before, c, t.substr(at + 2, ends)))
-               .when(F.col("edits") == INSERT, F.concat(before, c, t.substr(at + 1, ends)))
+               .when(F.col("edits") == REPLACE, F.concat(before, F.col("c"), t.substr(at + 2, ends)))
                .otherwise(F.concat(before, t.substr(at + 2, ends))))
 
     def forwards(x: Column) -> Column:
         return F.when(F.col("way") == 0, x).otherwise(F.reverse(x))
 
-    pairs, tables = None, [edges]
-    for level in range(-1 if levels is None else levels, -1, -1):
-        now = edges.filter(F.col("level") == (levels - level)).drop("level")
-        step = materialise(_advanced(states, now), "frontier")
+    pairs, tables = [], [edges, whole]
+    for level in range(levels + 1):
+        step = materialise(_advanced(states, edges.filter(F.col("level") == level).drop("level")), "frontier")
         tables.append(step)
         states = step.filter("open").drop("found", "open", "end")
-        found = step.filter("found OR end").select(forwards(t).alias("word"), forwards(spelled).alias("near"))
-        pairs = found if pairs is None else pairs.unionByName(found)
-    if pairs is None:
-        return words.select("word", F.col("word").alias("near"), "n").limit(0)
-    out = materialise(pairs.distinct().join(words.withColumnRenamed("word", "near"), "near").select("word", "near", "n"), "near")
+        pairs.append(step.filter("found OR end").select(forwards(t).alias("word"), forwards(spelled).alias("near")))
+    one_way = reduce(DataFrame.unionByName, pairs).distinct()
+    counts = words.select(F.col("word").alias("near"), F.col("n").alias("m"))
+    one_way = one_way.join(counts, "near").join(words.select("word", "n"), "word")  # both are words
+    both = F.array(F.struct("word", "near", F.col("m").alias("n")), F.struct(F.col("near").alias("word"), F.col("word").alias("near"), "n"))
+    out = materialise(one_way.select(F.explode(both).alias("p")).select("p.*"), "near")
     release(*tables)
     return out
 
@@ -223,15 +262,14 @@ def variant_groups(words: DataFrame, least: int = LEAST, ratio: int = RATIO) ->
 
 
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seen = runs(table(spark, sf_dir, "documents")).select(damaged(F.col("doc_id"), F.col("run")).alias("word"))
-    return variant_groups(materialise(counted(seen), "vocabulary"))
+    return variant_groups(materialise(counted(table(spark, sf_dir, "documents"), damage=DAMAGE), "vocabulary"))
 
 
 _BYTES = "list_transform(range(1, 2 * octet_length(encode({0})), 2), lambda i: cast('0x' || substr(hex(encode({0})), i, 2) as bigint))"
 _CRC = ("xor(list_reduce(" + _BYTES.format("concat(coalesce(cast(doc_id as varchar), ''), ':', run)") + ", lambda a, b: list_reduce(range(8),"
         " lambda c, j: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, xor(a, b)), cast(4294967295 as bigint)), 4294967295)")
 OP11_SQL = f"""with recursive
-r as (select doc_id, translate(unnest(regexp_extract_all(text, '{LETTERS}{{7,}}')), '{UPPER}', '{LOWER}') as run from documents),
+r as (select doc_id, translate(unnest(regexp_extract_all(text, '{LETTERS}{{7,}}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run from documents),
 u as (select doc_id, run, count(*) as k, {_CRC} as h from r group by doc_id, run),
 s as (select case when h % 31 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word, k from u),
 w as (select word, cast(sum(k) as bigint) as n from s where length(word) >= 7 group by word having sum(k) >= 2),
