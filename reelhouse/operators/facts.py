@@ -18,26 +18,50 @@ RATING_MIN = 0.5
 RATING_MAX = 5.0
 
 
+def id_set(ids: DataFrame, column: str) -> DataFrame:
+    """(bucket, words): the distinct non-NULL ids as bitmaps of 32,768 bits, 512 longs each.
+
+    Ids are 32-bit integers, so there are at most 131,073 buckets, 4 KB each: the
+    set of all ids there can be is 512 MB, and of a million consecutive ones 128 KB.
+    """
+    bits = ids.filter(F.col(column).isNotNull()).select(F.col(column).cast("int").cast("bigint").alias("id"))
+    bits = bits.groupBy(F.bitmap_bucket_number("id").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("bits"))
+    words = F.expr("transform(sequence(0, 511), w -> cast(conv(hex(substring(bits, 8 * w + 1, 8)), 16, -10) AS BIGINT))")
+    return bits.select("bucket", words.alias("words"))
+
+
+def in_set(column: str, words: str) -> Column:
+    """Whether a row's id is in its bucket's bitmap; bits go up within a byte, bytes down a long."""
+    at = F.bitmap_bit_position(F.col(column).cast("bigint"))
+    word = F.get(F.col(words), F.floor(at / 64).cast("int"))
+    place = (F.lit(56) - F.floor(at % 64 / 8) * 8 + at % 8).cast("int")
+    return F.call_function("bit_get", word, place) == 1
+
+
+def with_known(df: DataFrame, ids: DataFrame, column: str, known: bool = True) -> DataFrame:
+    """The rows whose ``column`` is among ``ids`` (or, not ``known``, isn't, NULL included): a semi (anti) join.
+
+    The ids go out as a set of bitmaps (:func:`id_set`, whose size is bounded), so
+    the rows stay where they are: a fact isn't shuffled, and a hot id costs nothing.
+    """
+    held = F.broadcast(id_set(ids, column).select(F.col("bucket").alias("__bucket"), F.col("words").alias("__words")))
+    rows = df.join(held, F.bitmap_bucket_number(F.col(column).cast("bigint")) == F.col("__bucket"), "inner" if known else "left")
+    test = in_set(column, "__words")
+    return rows.filter(test if known else ~F.coalesce(test, F.lit(False))).select(*[df[c] for c in df.columns])
+
+
 def known_rows(df: DataFrame, dim_movies: DataFrame, dim_users: DataFrame | None) -> DataFrame:
     """Keep rows whose movie is in the dimension and whose user is known.
 
     Both are semi joins: ``dim_movies`` has one row per genre, so an inner
     join would multiply rows, and ``dim_users`` is distinct by construction,
-    so its inner join is a semi join.  When ``dim_users`` is ``None`` the
-    caller asserts it was derived from the same staging relations (every
-    non-NULL user is in it), and the join reduces to ``user_id IS NOT NULL``
-    — that saves shuffling the whole fact on the user key.
-    No side is forced into a broadcast: Catalyst broadcasts the keys when their
-    size, from file sizes or measured by adaptive execution, is under
-    ``spark.sql.autoBroadcastJoinThreshold``; beyond it a hot movie or user in
-    the sort-merge join is split by AQE's skew rule.  The keys are not
-    de-duplicated first: repeated keys do not change a semi join, and skipping
-    the ``distinct`` saves a shuffle of the dimension.
+    so its inner join is a semi join.  Both go by :func:`with_known`.  When
+    ``dim_users`` is ``None`` the caller asserts it was derived from the same
+    staging relations (every non-NULL user is in it), and the join reduces to
+    ``user_id IS NOT NULL``.
     """
-    df = df.join(dim_movies.select("movie_id"), on="movie_id", how="left_semi")
-    if dim_users is None:
-        return df.filter(F.col("user_id").isNotNull())
-    return df.join(dim_users.select("user_id"), on="user_id", how="left_semi")
+    df = with_known(df, dim_movies, "movie_id")
+    return df.filter(F.col("user_id").isNotNull()) if dim_users is None else with_known(df, dim_users, "user_id")
 
 
 def fact_ratings(stg_ratings: DataFrame, dim_movies: DataFrame,

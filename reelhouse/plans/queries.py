@@ -191,13 +191,13 @@ def _join_left(L: Layers):
 @query("join_semi")
 def _join_semi(L: Layers):
     """Staged ratings whose movie exists in the dimension."""
-    return L.stg["stg_ratings"].join(L.dim_movies.select("movie_id"), "movie_id", "left_semi")
+    return facts.with_known(L.stg["stg_ratings"], L.dim_movies, "movie_id")
 
 
 @query("join_anti")
 def _join_anti(L: Layers):
     """Staged ratings whose movie does not exist (NULL ids included)."""
-    return L.stg["stg_ratings"].join(L.dim_movies.select("movie_id"), "movie_id", "left_anti")
+    return facts.with_known(L.stg["stg_ratings"], L.dim_movies, "movie_id", known=False)
 
 
 @query("agg_basic")
