@@ -44,6 +44,16 @@ def text_of(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each altered until no column of ``df`` has it."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that all executors share (spark.checkpoint.dir)."""
     return f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"

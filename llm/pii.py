@@ -3,34 +3,46 @@
 Detected: e-mail addresses, IPv4 addresses, payment cards (issuer prefix and
 check digit must hold), phone numbers, social security numbers, and names that
 follow a title; the parts of such a name also wherever they stand alone as words
-in the same document.  Each entity's surrogate is drawn from a keyed digest of its
-kind and normal form, so the same entity is the same surrogate in every
-document without a look-up: an e-mail regardless of case, a phone or card
-regardless of its punctuation, a family name with or without a given name.
+in the same document.  Every part of a name is an entity, whatever its title or
+place.  An entity's surrogate is drawn from a keyed digest of its kind and
+normal form, so it's the same in every document: an e-mail regardless of case, a
+phone or card regardless of its punctuation, a name with or without its title.
 Surrogates keep the type (cards pass the check digit, phones are valid in form,
 e-mails end in the reserved .example), the format (layout, case and length of
-what they replace) and, for names, script and gender (title and ending).
+what they replace) and, for names, script and gender: a name's ending tells the
+gender that the titles before it as a given name tell in the corpus (the more
+frequent one; none or as many of both: an ending that tells none).
 
-Collision checks: the table of all distinct entities (not documents) is taken
-from the corpus with their surrogates.  Where two entities of a kind draw the
-same surrogate, or one draws another's real value, all but one draw again, in
-rounds, until none is left.  The few entities with a later draw are joined back
-to the rows that hold them; with none, no join is made.
+The table of all distinct entities (not documents) is taken from the corpus.
+Collision checks: where two entities of a kind draw the same surrogate, or one
+draws another's real value, all but one draw again, in rounds, until none is
+left.  The surrogates are joined to the documents that hold the entities; texts
+without a match aren't searched again.
+
+The key is the caller's: without it nobody can tell surrogates' entities by
+trying names.  The query and the stage take ``spark.llm.pii.key`` from the
+session, or draw a key of their own that nobody keeps.
 
 Defined cases: null text stays null; empty text stays empty; texts without
-entities are unchanged to the byte; repeated rows get the same result; other
-columns pass through as given.
+entities are unchanged to the byte; repeated rows get the same result; null ids
+are told apart by their texts; an empty table stays empty; other columns,
+whatever their names, pass through as given.  Texts of any length are searched
+whole, with patterns that take no deeper recursion for longer texts; a name
+after more than ``TITLES`` titles counts some of them as its parts.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import materialise, table, text_of
+from llm.common import materialise, release, table, text_of
 
-KEY = "surrogates-v1"
 ROUNDS = 40
+#: Titles before a name, at most.
+TITLES = 4
 
 # Titles before a name, by the gender they tell.
 MALE = ("Mr", "Mister", "Sir", "Herr", "Monsieur", "Señor", "Signor", "Senhor", "господин", "Господин", "Κύριος")
@@ -40,21 +52,21 @@ NEUTRAL = ("Dr", "Doctor", "Prof", "Professor", "Doktor", "Docteur", "Professeur
 TITLE = rf"(?:{'|'.join(MALE + FEMALE + NEUTRAL)})"
 
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}"
+EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]*@(?=[A-Za-z0-9-])[A-Za-z0-9.-]*[A-Za-z0-9-]\.[A-Za-z]{2,}"
 IP = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[0-9])"
 CARD = r"(?<![0-9A-Za-z])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])"
 SSN = r"(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z-])"
 PHONE = (r"(?<![0-9A-Za-z])(?:(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
          r"|\+(?:[0-9][ ./-]?|\([0-9]{1,4}\)[ ./-]?){7,14}[0-9])(?![0-9A-Za-z])")  # else with a country code: 8 to 15 digits
 _PART = r"\p{Lu}[\p{L}'-]*\p{L}(?<!'s)"
-NAME = rf"\b{TITLE}\.?(?:[ ]{TITLE}\.?)*(?:[ ]{_PART}){{1,3}}"
+NAME = rf"\b{TITLE}\.?(?:[ ]{TITLE}\.?){{0,{TITLES - 1}}}(?:[ ]{_PART}){{1,3}}"
 ANY = f"{EMAIL}|{IP}|{CARD}|{SSN}|{PHONE}|(?U){NAME}"
 #: What a text with an entity has; others aren't searched.
 HINT = f"[0-9@]|{TITLE}[. ]"
 ISSUER = "^(?:4|5[1-5]|2[2-7]|3[47]|6(?:011|5))"
 
 KINDS = ("email", "ip", "card", "ssn", "phone", "person")
-ENTITY = "struct<kind:string,core:string>"
+ENTITY = "struct<kind:string,core:string,female:boolean,male:boolean>"
 LATIN = ("bcdfghjklmnprstvz", "aeiou", "a", "n")
 CYRILLIC = ("бвгдзклмнпрстфхш", "аеиоу", "а", "н")
 GREEK = ("βγδζθκλμνπρστφχ", "αεηιο", "α", "ς")
@@ -87,30 +99,39 @@ def kind_of(s: Column) -> Column:
 
 
 def _titled(s: Column, titles: tuple[str, ...]) -> Column:
-    return s.rlike(rf"^(?:{TITLE}\.?[ ])*(?:{'|'.join(titles)})[. ]")
+    return s.rlike(rf"^(?:{TITLE}\.?[ ]){{0,{TITLES - 1}}}(?:{'|'.join(titles)})[. ]")
 
 
 def _name(s: Column) -> Column:
     """What follows the titles of a match."""
-    return F.regexp_replace(s, rf"^(?:{TITLE}\.?[ ])+", "")
+    return F.regexp_replace(s, rf"^(?:{TITLE}\.?[ ]){{1,{TITLES}}}(?=.)", "")
+
+
+def cores_of(s: Column, kind: Column) -> Column:
+    """The normal forms of a match's entities: one, or each part of a name."""
+    core = (F.when(kind == "email", F.lower(s)).when(kind == "ip", s)
+            .when(kind == "phone", F.regexp_replace(_digits(s), "^.*(?=[0-9]{10}$)", "")).otherwise(_digits(s)))
+    return F.when(kind.isNull(), F.array().cast("array<string>")).when(kind == "person", F.split(_name(s), " ")).otherwise(F.array(core))
 
 
 def entities_of(s: Column, kind: Column) -> Column:
-    """array<struct<kind, core>>: one entity, or each part of a name after its title."""
-    names = F.split(_name(s), " ")
+    """array of a match's entities (kind, core), and whether a title tells a given name's gender."""
+    of = F.when(kind == "person", "name").otherwise(kind)
 
-    def part(name: Column, i: Column) -> Column:
-        given = (F.size(names) > 1) & (i < F.size(names) - 1)
-        gender = F.when(_titled(s, FEMALE), "female").when(_titled(s, MALE), "male").otherwise("neutral")
-        return F.struct(F.when(given, F.concat(F.lit("given "), gender)).otherwise("family").alias("kind"), name.alias("core"))
+    def entity(core: Column, i: Column, n: Column) -> Column:
+        given = (kind == "person") & (i < n - 1)
+        return F.struct(of.alias("kind"), core.alias("core"), (given & _titled(s, FEMALE)).alias("female"),
+                        (given & ~_titled(s, FEMALE) & _titled(s, MALE)).alias("male"))
+
+    return _bound(cores_of(s, kind), lambda cores: F.transform(cores, lambda c, i: entity(c, i, F.size(cores))))
 
-    core = (F.when(kind == "email", F.lower(s)).when(kind == "ip", s)
-            .when(kind == "phone", F.regexp_replace(_digits(s), "^.*(?=[0-9]{10}$)", "")).otherwise(_digits(s)))
-    one = F.array(F.struct(kind.alias("kind"), core.alias("core")))
-    return F.when(kind.isNull(), F.array().cast(f"array<{ENTITY}>")).when(kind == "person", F.transform(names, part)).otherwise(one)
 
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, however often it's used."""
+    return F.transform(F.array(value), use)[0]
 
-def surrogate(kind: Column, core: Column, draw: Column, key: str) -> Column:
+
+def surrogate(kind: Column, core: Column, gender: Column, draw: Column, key: str) -> Column:
     """An entity's surrogate in normal form: the letters and digits come from a keyed digest."""
     digest = F.sha2(F.concat_ws("\x1f", F.lit(key), kind, core, draw.cast("string")), 512)
 
@@ -130,19 +151,19 @@ def surrogate(kind: Column, core: Column, draw: Column, key: str) -> Column:
             return F.array_join(F.transform(_chars(s), lambda c, i: F.when(
                 (kind == "phone") & (i % 10).isin(0, 3), n(i) % 8 + 2).otherwise(n(i) % 10).cast("string")), "")
 
-        def name(s: Column) -> Column:
-            length = F.greatest(F.length(s), F.lit(4)) + (draw / 4).cast("int")
-
-            def spelled(script: tuple[str, str, str, str]) -> Column:
-                consonants, vowels, female, male = script
+        def spelled(length: Column, script: tuple[str, str, str, str]) -> Column:
+            consonants, vowels, female, male = script
 
-                def pick(i: Column) -> Column:
-                    last = F.when(kind == "given female", F.lit(female)).when(kind == "given male", F.lit(male)).otherwise(letter(consonants, i))
-                    return F.when(i == length - 1, last).when(i % 2 == 0, letter(consonants, i)).otherwise(letter(vowels, i))
+            def pick(i: Column) -> Column:
+                last = F.when(gender == "female", F.lit(female)).when(gender == "male", F.lit(male)).otherwise(letter(consonants, i))
+                return F.when(i == length - 1, last).when(i % 2 == 0, letter(consonants, i)).otherwise(letter(vowels, i))
 
-                return F.initcap(F.array_join(F.transform(F.sequence(F.lit(0), length - 1), pick), ""))
+            return F.initcap(F.array_join(F.transform(F.sequence(F.lit(0), length - 1), pick), ""))
 
-            return (F.when(s.rlike(r"\p{IsCyrillic}"), spelled(CYRILLIC)).when(s.rlike(r"\p{IsGreek}"), spelled(GREEK)).otherwise(spelled(LATIN)))
+        def name(s: Column) -> Column:
+            scripts = ((r"\p{IsCyrillic}", CYRILLIC), (r"\p{IsGreek}", GREEK), ("", LATIN))
+            return _bound(F.greatest(F.length(s), F.lit(4)) + (draw / 4).cast("int"),
+                          lambda n: F.coalesce(*[F.when(s.rlike(p), spelled(n, script)) for p, script in scripts]))
 
         local, domain = F.substring_index(core, "@", 1), F.substring_index(core, "@", -1)
         host = F.regexp_replace(domain, r"\.[^.]*$", "")
@@ -177,85 +198,106 @@ def replaced(s: Column, kind: Column, surrogates: Column) -> Column:
             .otherwise(_laid_out(s, surrogates[0])))
 
 
-def found(docs: DataFrame) -> DataFrame:
-    """``docs`` with __gaps and __found: the text around and in its matches."""
-    text = text_of()
-    has = text.rlike(HINT)
-    return docs.select("*", F.when(has, F.split(text, ANY, -1)).otherwise(F.array(text)).alias("__gaps"),
-                       F.when(has, F.regexp_extract_all(text, F.lit(ANY), F.lit(0))).otherwise(F.array().cast("array<string>")).alias("__found"))
+def hits_of(text: Column) -> Column:
+    """array<struct<s, kind>>: a text's matches, with null kinds where they only look like one."""
+    none = F.array().cast("array<struct<s:string,kind:string>>")
+    found = F.transform(F.regexp_extract_all(text, F.lit(ANY), F.lit(0)), lambda s: F.struct(s.alias("s"), kind_of(s).alias("kind")))
+    return F.when(text.rlike(HINT), found).otherwise(none)
 
 
-def _with_entities(rows: DataFrame) -> DataFrame:
-    """__hits: (match, kind, entities) of each match."""
-    def hit(s: Column) -> Column:
-        return F.transform(F.array(kind_of(s)), lambda k: F.struct(s.alias("s"), k.alias("kind"), entities_of(s, k).alias("entities")))[0]
-    return rows.withColumn("__hits", F.transform("__found", hit))
+def _all(hits: Column) -> Column:
+    """All entities of a text's matches."""
+    return F.flatten(F.transform(hits, lambda h: entities_of(h["s"], h["kind"])))
 
 
-def drawn_again(docs: DataFrame, key: str) -> DataFrame:
-    """(kind, core, draw) of the entities whose first surrogate collides, after all checks."""
-    hits = _with_entities(found(docs.select("text")).filter(F.size("__found") > 0))
-    each = hits.select(F.explode(F.flatten(F.transform("__hits", lambda h: h["entities"]))).alias("e")).select("e.*").distinct()
-    now = each.withColumn("draw", F.lit(0))
+def drawn(entities: DataFrame, key: str) -> DataFrame:
+    """(kind, core, s): the surrogates of the distinct entities (kind, core, gender), after all checks."""
+    now, tables, done = entities.withColumn("draw", F.lit(0)), [], None
     for round_ in range(ROUNDS):
-        now = materialise(now.withColumn("s", surrogate(F.col("kind"), F.col("core"), F.col("draw"), key)), "surrogates")
+        last = tables[-1:]
+        now = materialise(now.withColumn("s", surrogate(F.col("kind"), F.col("core"), F.col("gender"), F.col("draw"), key)), "surrogates")
+        release(*last)
+        tables.append(now)
         first = now.groupBy("kind", "s").agg(F.min(F.struct("draw", "core")).alias("w"))
         real = now.select("kind", F.col("core").alias("s"), F.lit(True).alias("real"))
         judged = now.join(first, ["kind", "s"]).join(real, ["kind", "s"], "left")
         lost = F.col("real").isNotNull() | (F.col("w.core") != F.col("core"))
-        again = materialise(judged.filter(lost).select("kind", "core", F.lit(round_ + 1).alias("draw")), "again")
-        if again.isEmpty():
-            return now.filter("draw > 0").select("kind", "core", "draw")
-        kept = judged.filter(~lost).select("kind", "core", "draw")
-        now = kept.unionByName(again)
-    raise RuntimeError(f"surrogates still collide after {ROUNDS} draws: a kind has too many entities for its format")
-
-
-def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
-    """``docs`` with each entity in ``text`` replaced, and __hits: (match, kind, entities)."""
-    again = materialise(drawn_again(docs, key), "draws")
-    rows = _with_entities(found(docs.select("*", F.xxhash64(text_of()).alias("__hash"))))
-    none = F.array().cast("array<struct<kind:string,core:string,draw:int>>")
-    if again.isEmpty():
-        rows = rows.withColumn("__draws", none)
-    else:
-        held = rows.select("doc_id", "__hash", F.explode(F.flatten(F.transform("__hits", lambda h: h["entities"]))).alias("e"))
-        held = held.select("doc_id", "__hash", "e.*").distinct().join(again, ["kind", "core"])
-        held = held.groupBy(F.col("doc_id").alias("__id"), F.col("__hash").alias("__h")).agg(
-            F.collect_list(F.struct("kind", "core", "draw")).alias("__held"))
-        held = materialise(held, "held")
-        rows = rows.join(held, rows["doc_id"].eqNullSafe(held["__id"]) & (rows["__hash"] == held["__h"]), "left")
-        rows = rows.withColumn("__draws", F.coalesce("__held", none))
-
-    def one(e: Column) -> Column:
-        own = F.filter("__draws", lambda d: (d["kind"] == e["kind"]) & (d["core"] == e["core"]))
-        draw = F.when(F.size(own) > 0, F.element_at(own, 1)["draw"]).otherwise(0)
-        return surrogate(e["kind"], e["core"], draw, key)
+        if judged.filter(lost).isEmpty():
+            done = now.select("kind", "core", "s")
+            break
+        now = judged.select("kind", "core", "gender", F.when(lost, round_ + 1).otherwise(F.col("draw")).alias("draw"))
+    if done is None:
+        raise RuntimeError(f"surrogates still collide after {ROUNDS} draws: a kind has too many entities for its format")
+    return done
+
+
+def seen(docs: DataFrame, key: str) -> DataFrame:
+    """(id, hash, known): the texts with matches, and their entities (kind, core) with surrogates s."""
+    text = text_of()
+    rows = docs.select(F.col("doc_id").alias("id"), F.xxhash64(text).alias("hash"), hits_of(text).alias("hits")).filter(F.size("hits") > 0)
+    rows = materialise(rows.select("id", "hash", _all(F.col("hits")).alias("entities")).dropDuplicates(["id", "hash"]), "pii-entities")
+    each = rows.select("id", "hash", F.explode("entities").alias("e")).select("id", "hash", "e.*")
+    votes = each.groupBy("kind", "core").agg((F.count_if("female") - F.count_if("male")).alias("v"))
+    gender = F.when(F.col("v") > 0, "female").when(F.col("v") < 0, "male").otherwise("neutral")
+    told = drawn(votes.select("kind", "core", gender.alias("gender")), key)
+    held = each.select("id", "hash", "kind", "core").distinct().join(told, ["kind", "core"])
+    held = held.groupBy("id", "hash").agg(F.collect_list(F.struct("kind", "core", "s")).alias("known"))
+    out = materialise(held, "pii-seen")
+    release(rows)
+    return out
+
+
+def rewritten(text: Column, hits: Column, known: Column) -> Column:
+    """The text with its matches, and its names' parts elsewhere, replaced by what ``known`` has for them."""
+    def own(kind: Column, core: Column) -> Column:
+        return F.filter(known, lambda d: (d["kind"] == kind) & (d["core"] == core))[0]["s"]
 
     def stand_in(h: Column) -> Column:
-        return replaced(h["s"], h["kind"], F.transform(h["entities"], one))
+        of = F.when(h["kind"] == "person", "name").otherwise(h["kind"])
+        return replaced(h["s"], h["kind"], F.transform(cores_of(h["s"], h["kind"]), lambda c: own(of, c)))
+
+    names = F.transform(F.filter(known, lambda d: d["kind"] == "name"), lambda d: d["core"])
+    longest = F.array_sort(names, lambda a, b: F.when(F.length(a) != F.length(b), F.length(b) - F.length(a)).when(a < b, -1).when(a > b, 1).otherwise(0))
+    part = F.concat(F.lit(r"(?<![\p{L}\p{N}])(?:"), F.array_join(longest, "|"), F.lit(r")(?![\p{L}\p{N}])"))
+
+    def alone(gap: Column, part: Column) -> Column:
+        met = F.struct(F.split(gap, part, -1).alias("around"), F.regexp_extract_all(gap, part, F.lit(0)).alias("met"))
+        return _bound(met, lambda m: F.array_join(F.transform(
+            m["around"], lambda x, i: F.when(i < F.size(m["met"]), F.concat(x, own(F.lit("name"), F.get(m["met"], i)))).otherwise(x)), ""))
+
+    def gaps(part: Column) -> Column:
+        around = F.split(text, ANY, -1)
+        return F.when(F.size(names) > 0, F.transform(around, lambda g: alone(g, part))).otherwise(around)
+
+    def joined(between: Column) -> Column:
+        return F.array_join(F.transform(between, lambda g, i: F.when(
+            i < F.size(hits), F.concat(g, stand_in(F.get(hits, i)))).otherwise(g)), "")
+
+    return _bound(_bound(part, gaps), joined)
+
 
-    # Parts of the document's names: a part that is in two entities goes by the first.
-    people = F.flatten(F.transform(F.filter("__hits", lambda h: h["kind"] == "person"), lambda h: h["entities"]))
-    rows = rows.withColumn("__people", F.transform(F.array_distinct(people), lambda e: F.struct(e["core"].alias("core"), one(e).alias("s"))))
-    longest = F.array_sort(F.array_distinct(F.transform("__people", lambda e: e["core"])), lambda a, b: F.length(b) - F.length(a))
-    rows = rows.withColumn("__part", F.concat(F.lit(r"(?<![\p{L}\p{N}])(?:"), F.array_join(longest, "|"), F.lit(r")(?![\p{L}\p{N}])")))
+def pseudonymise(docs: DataFrame, key: str, hits: str | None = None) -> DataFrame:
+    """``docs`` with each entity in ``text`` replaced; with ``hits``, a column of that name has the matches (s, kind)."""
+    known = seen(docs.select("doc_id", "text"), key)
+    text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    rows = rows.join(known, F.col("row.doc_id").eqNullSafe(F.col("id")) & (F.xxhash64(text) == F.col("hash")), "left")
+    none = F.array().cast("array<struct<s:string,kind:string>>")
+    rows = rows.withColumn("hits", F.when(F.col("known").isNotNull(), hits_of(text)).otherwise(none))
+    new = F.when(F.size("hits") > 0, rewritten(text, F.col("hits"), F.col("known"))).otherwise(F.col("row.text"))
+    extra = [] if hits is None else [F.col("hits").alias(hits)]
+    return rows.select(*[new.alias("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns], *extra)
 
-    def alone(g: Column) -> Column:
-        met = F.regexp_extract_all(g, F.col("__part"), F.lit(0))
-        known = F.transform(met, lambda m: F.filter("__people", lambda e: e["core"] == m)[0]["s"])
-        return F.array_join(F.transform(F.split(g, F.col("__part"), -1), lambda p, i: F.concat(p, F.coalesce(F.get(known, i), F.lit("")))), "")
 
-    rows = rows.withColumn("__gaps", F.when(F.size("__people") > 0, F.transform("__gaps", alone)).otherwise(F.col("__gaps")))
-    new = F.array_join(F.transform("__gaps", lambda g, i: F.when(
-        i < F.size("__hits"), F.concat(g, stand_in(F.get("__hits", i)))).otherwise(g)), "")
-    return rows.withColumn("text", F.when(F.size("__hits") > 0, new).otherwise(F.col("text"))).select(*docs.columns, "__hits")
+def key_of(spark: SparkSession) -> str:
+    """The session's key, or a new one."""
+    return spark.conf.get("spark.llm.pii.key", None) or uuid.uuid4().hex
 
 
 def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = pseudonymise(table(spark, sf_dir, "documents"))
+    rows = pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), key_of(spark), "hits")
 
     def count(kind: str) -> Column:
-        return F.size(F.filter("__hits", lambda h: h["kind"] == kind)).cast("bigint")
+        return F.size(F.filter("hits", lambda h: h["kind"] == kind)).cast("bigint")
 
     return rows.select("doc_id", "text", *[count(k).alias(f"n_{k}") for k in KINDS])

@@ -267,4 +267,5 @@ def op6_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.aggregate(spans, F.lit(0).cast("bigint"), lambda a, x: a + x["stop"] - x["start"])
 
     return rows.select("doc_id", F.octet_length("text").cast("bigint").alias("n_bytes"), total(F.col("removed")).alias("n_removed"),
-                       F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+                       F.size("removed").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+                       F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))

@@ -10,11 +10,15 @@
    rules without mandatory trigrams are matched in every text.
 
 A match's place comes from splitting the text at the rule's matches: offsets
-are running sums of the lengths (in code points) of pieces and matches.
+are running sums of the lengths (in code points) of pieces and matches, added up
+block by block, so that a text with many matches costs in proportion to them.
 
 Defined cases: null text counts as empty; null doc_id rows are scanned like
 others; rows that repeat a doc_id share candidates (a superset) and are each
-matched on their own text, so their results are their own.
+matched on their own text, so their results are their own; an empty table gives
+an empty result; texts of any length are scanned whole, by patterns that look
+at a place a bounded number of times; of matches with one start the kinds'
+order decides; other columns, whatever their names, take no part.
 """
 
 from __future__ import annotations
@@ -53,8 +57,10 @@ ADDED = (
     Rule("google", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("stripe", r"[rs]k_(?:live|test)_[A-Za-z0-9]{16,}"),
     Rule("pem", r"-----BEGIN (?:[A-Z]+ ){0,3}PRIVATE KEY-----"),
-    Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
+    Rule("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]+"),
 )
+#: Lengths that are added up at a time.
+BLOCK = 256
 #: Strings that a part's set may have before the part counts as unknown.
 EXACT = 64
 
@@ -158,24 +164,51 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 SPANS = "array<struct<start:int,kind:int,stop:int>>"
 
 
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, however often it's used."""
+    return F.transform(F.array(value), use)[0]
+
+
+def running(lengths: Column) -> Column:
+    """The sums of the lengths before each one.
+
+    ``array_append`` copies what it appends to; so sums are taken in blocks of
+    ``BLOCK``, and only the blocks' totals over the whole array.
+    """
+    none = F.array().cast("array<int>")
+
+    def before(values: Column, first: Column) -> Column:
+        start = F.struct(first.alias("at"), none.alias("out"))
+        return F.aggregate(values, start, lambda a, v: F.struct((a["at"] + v).alias("at"), F.array_append(a["out"], a["at"]).alias("out")), lambda a: a["out"])
+
+    def by_blocks(n: Column) -> Column:
+        cut = F.transform(F.sequence(F.lit(0), F.floor((F.size(n) - 1) / BLOCK).cast("int")), lambda b: F.slice(n, b * BLOCK + 1, BLOCK))
+        total = F.transform(cut, lambda c: F.aggregate(c, F.lit(0), lambda a, v: a + v))
+        both = F.struct(cut.alias("cut"), total.alias("total"))
+        return _bound(both, lambda x: _bound(before(x["total"], F.lit(0)), lambda first: F.flatten(
+            F.transform(x["cut"], lambda c, b: before(c, F.get(first, b))))))
+
+    return _bound(lengths, lambda n: F.when(F.size(n) == 0, none).otherwise(by_blocks(n)))
+
+
 def spans_of(text: Column, rule: Rule, order: int) -> Column:
-    """Spans (start, ``order``, stop) of a rule's matches in a text; F.transform over one struct names it."""
+    """Spans (start, ``order``, stop) of a rule's matches in a text."""
+    def lengths(strings: Column) -> Column:
+        return F.transform(strings, lambda x: F.length(x))
+
     def found(p: Column) -> Column:
-        def step(a: Column, i: Column) -> Column:
-            start = a["at"] + F.length(p["gaps"][i])
-            stop = start + F.length(p["whole"][i])
-            span = F.struct(start.alias("start"), F.lit(order).alias("kind"), stop.alias("stop"))
-            return F.struct(stop.alias("at"), F.when(F.length(p["value"][i]) >= rule.least, F.array_append(a["out"], span)).otherwise(a["out"]).alias("out"))
+        both = F.zip_with(p["gap"], p["whole"], lambda g, w: F.coalesce(g, F.lit(0)) + F.coalesce(w, F.lit(0)))
+        each = F.arrays_zip(p["gap"].alias("gap"), p["whole"].alias("whole"), p["value"].alias("value"), running(both).alias("at"))
+        some = F.filter(each, lambda m: m["value"] >= rule.least)
+        return F.transform(some, lambda m: F.struct((m["at"] + m["gap"]).alias("start"), F.lit(order).alias("kind"),
+                                                    (m["at"] + m["gap"] + m["whole"]).alias("stop")))
 
-        none = F.array().cast(SPANS)
-        start = F.struct(F.lit(0).alias("at"), none.alias("out"))
-        return F.when(F.size(p["whole"]) == 0, none).otherwise(
-            F.aggregate(F.sequence(F.lit(0), F.size(p["whole"]) - 1), start, step, lambda a: a["out"]))
+    def parts() -> Column:
+        return F.struct(lengths(F.split(text, rule.pattern, -1)).alias("gap"),
+                        lengths(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0))).alias("whole"),
+                        lengths(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))).alias("value"))
 
-    parts = F.struct(F.split(text, rule.pattern, -1).alias("gaps"),
-                     F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)).alias("whole"),
-                     F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)).alias("value"))
-    return F.transform(F.array(parts), found)[0]
+    return _bound(parts(), found)
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED) -> DataFrame:
@@ -188,7 +221,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + ADDED) -> DataFrame:
     columns = []
     for k, rule in enumerate(rules):
         asked = F.array_contains("kinds", rule.kind) if trigram_query(rule.pattern) else F.lit(True)
-        columns.append(F.when(asked, spans_of(F.col("text"), rule, k)).otherwise(empty))
+        columns.append(F.when(asked, spans_of(F.col("text"), rule, k).cast(SPANS)).otherwise(empty))
     return rows.select("doc_id", F.array_sort(F.concat(*columns)).alias("found"))
 
 

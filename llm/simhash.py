@@ -25,15 +25,7 @@ keeps one row of a doc_id and text); null
 ``doc_id`` rows take part and are never chosen as the smallest id unless alone
 (then null).  Columns other than ``doc_id`` and ``text`` are not read.
 
-Two bits are the contract of the op2 query.  For near copies by Jaccard
-similarity of word shingles (``similar_links``, the pipeline's stage) a text has
-256 bits, of which ``TABLES`` segments of ``KEY_BITS`` bits each are looked up;
-texts that agree in a segment and within ``NEAR`` of the first 64 bits are
-fetched and their shingles compared exactly.  At a similarity of 0.8 a bit
-differs with probability acos(2 * 0.8 / 1.8) / pi = 0.15, 9.7 of 64 bits on
-average, 24 of 64 in one pair of a million.  A segment value shared by more than
-``BUCKET`` texts isn't paired up: each text there meets its neighbours in four
-orders of the other bits.  Pairs are compared in rounds, those already connected not again.
+The pipeline's stage calls ``near_dedup`` as it is: three words, two bits.
 """
 
 from __future__ import annotations
@@ -44,19 +36,15 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm.common import materialise, table, text_of
+from llm.common import materialise, spare, table, text_of
 from llm.components import connected_components
 
 SEED = 42
 BUCKET = 64
 LOW = 0xFFFFFFFF
-#: Segments of the 256-bit fingerprint: their number and bits; bits of 64 that fetched texts may differ in.
-TABLES, KEY_BITS, NEAR = 96, 18, 24
-#: Pairs of a text compared in the first round; neighbours it meets in an order of a hot segment value.
-FIRST, BESIDE = 16, 4
 #: XOR masks of the radius-1 ball of a 32-bit segment, the centre first.
 BALL = f"explode(array(0L, {', '.join(f'{1 << i}L' for i in range(32))}))"
 
@@ -132,107 +120,8 @@ def links(nodes: DataFrame, max_distance: int = 2, bucket: int = BUCKET) -> Data
     return found.unionByName(stars).unionByName(spent).distinct()
 
 
-def node_of(text: bytes) -> int:
-    """Texts with the same words are one node."""
-    return xxhash.xxh3_64_intdigest(b" ".join(text.lower().split()))
-
-
-def segments(hashes: np.ndarray) -> tuple[int, np.ndarray]:
-    """(first 64 bits, the keys of the segments) of a text's shingle hashes; a shingle counts once."""
-    hashes, bits = np.unique(hashes), []
-    for factor in (1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93):
-        mixed = hashes * np.uint64(factor)
-        mixed ^= mixed >> np.uint64(29) if factor > 1 else np.uint64(0)
-        bits.append(majority(mixed * np.uint64(0xBF58476D1CE4E5B9) if factor > 1 else mixed))
-    rng = np.random.default_rng(SEED)
-    picked = np.stack([rng.permutation(256)[:KEY_BITS] for _ in range(TABLES)])
-    keys = (np.concatenate(bits)[picked].astype(np.int64) << np.arange(KEY_BITS)).sum(1) | np.arange(TABLES) << 32
-    return int(np.packbits(bits[0], bitorder="little").view(np.int64)[0]), keys
-
-
-def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """(doc_id, text_hash, node, fp, keys) per row of ``docs``."""
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = b.column(2).to_pylist()
-            nodes = np.fromiter(map(node_of, texts), np.uint64, len(texts))
-            fps, keys = zip(*(segments(shingle_hashes(t, width)) for t in texts)) if texts else ((), ())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(nodes.view(np.int64)), pa.array(fps, pa.int64()),
-                                              pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "text_hash", "node", "fp", "keys"])
-
-    rows = docs.select("doc_id", F.xxhash64(text_of()).alias("text_hash"), text_of().cast("binary").alias("text"))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"doc_id {kind}, text_hash bigint, node bigint, fp bigint, keys array<bigint>")
-
-
-def near_pairs(nodes: DataFrame, bucket: int = BUCKET) -> DataFrame:
-    """Pairs (a, b), a < b, of the distinct (node, fp, keys) to compare."""
-    entries = nodes.select("node", "fp", F.explode("keys").alias("key"))
-    sizes = materialise(entries.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "simhash-sizes")
-    few = entries.join(sizes.filter(F.col("n") <= bucket).select("key"), "key", "left_semi")
-    near = F.bit_count(F.col("fp").bitwiseXOR(F.col("other"))) <= NEAR
-    found = few.join(few.select("key", F.col("node").alias("b"), F.col("fp").alias("other")), "key").filter(
-        (F.col("node") < F.col("b")) & near).select(F.col("node").alias("a"), "b")
-    many = entries.join(sizes.filter(F.col("n") > bucket).select("key"), "key", "left_semi")
-    for turn in (0, 16, 32, 48):
-        order = Window.partitionBy("key").orderBy(F.expr(f"shiftleft(fp, {turn}) | shiftrightunsigned(fp, {64 - turn})") if turn else F.col("fp"), "node")
-        beside = F.array(*[F.struct(F.lead("node", n).over(order).alias("b"), F.lead("fp", n).over(order).alias("other")) for n in range(1, BESIDE + 1)])
-        met = many.withColumn("beside", beside).select("node", "fp", F.explode("beside").alias("e")).select("node", "fp", "e.*").filter(F.col("b").isNotNull() & near)
-        found = found.unionByName(met.select(F.least("node", "b").alias("a"), F.greatest("node", "b").alias("b")))
-    return found.distinct()
-
-
-def compared(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Those of the pairs (a, b) whose shingle sets (node, shingles) have the Jaccard similarity."""
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            alike = []
-            for x, y in zip(b.column(2), b.column(3)):
-                x, y = (np.frombuffer(z.as_buffer(), np.uint64) for z in (x, y))
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                alike.append(common >= similarity * (len(x) + len(y) - common) - 1e-9)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(alike, pa.bool_()))
-
-    both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("x")), "a").join(
-        sets.select(F.col("node").alias("b"), F.col("shingles").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
-
-
-def similar_links(docs: DataFrame, rows: DataFrame, width: int, similarity: float, bucket: int = BUCKET) -> DataFrame:
-    """(node, label) of the texts in a group: ``rows`` are the :func:`sketches` of ``docs``."""
-    def shingled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            texts = b.column(0).to_pylist()
-            nodes = np.fromiter(map(node_of, texts), np.uint64, len(texts))
-            sets = [np.unique(shingle_hashes(t, width)).tobytes() for t in texts]
-            yield pa.RecordBatch.from_arrays([pa.array(nodes.view(np.int64)), pa.array(sets, pa.binary())], ["node", "shingles"])
-
-    todo = materialise(near_pairs(rows.select("node", "fp", "keys").dropDuplicates(["node"]), bucket), "simhash-pairs")
-    wanted = todo.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    held = rows.join(wanted, "node", "left_semi").groupBy("node").agg(F.min("text_hash").alias("__hash"))
-    texts = docs.select(text_of().alias("text")).join(held, F.xxhash64("text") == F.col("__hash"), "left_semi")
-    sets = texts.dropDuplicates().select(F.col("text").cast("binary").alias("text")).mapInArrow(shingled, "node bigint, shingles binary")
-    sets = materialise(sets, "simhash-shingles")
-    most, edges = FIRST, None
-    while True:
-        todo = todo.withColumn("r", F.row_number().over(Window.partitionBy("a").orderBy("b")))
-        new = materialise(compared(todo.filter(F.col("r") <= most).select("a", "b"), sets, similarity), "simhash-similar")
-        edges = new if edges is None else edges.unionByName(new)
-        labels = connected_components(edges)
-        left, right = (labels.select(F.col("node").alias(e), F.col("label").alias(f"__{e}")) for e in ("a", "b"))
-        rest = todo.filter(F.col("r") > most).select("a", "b").join(left, "a", "left").join(right, "b", "left")
-        todo = materialise(rest.filter(F.coalesce("__a", "a") != F.coalesce("__b", "b")).select("a", "b"), "simhash-pairs")
-        if todo.isEmpty():
-            return labels
-        most *= 4
-
-
-def _labelled(docs: DataFrame, width: int, max_distance: int, bucket: int, similarity: float | None = None) -> DataFrame:
+def _labelled(docs: DataFrame, width: int, max_distance: int, bucket: int) -> DataFrame:
     """The rows of :func:`fingerprints` with a label that the rows of a group share."""
-    if similarity is not None:
-        rows = materialise(sketches(docs, width), "simhash-sketches")
-        labels = similar_links(docs, rows, width, similarity, bucket)
-        return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     fps = materialise(fingerprints(docs, width), "simhash-fp")
     edges = materialise(links(fps.select("fp").distinct(), max_distance, bucket), "simhash-links")
     labels = connected_components(edges).withColumnRenamed("node", "fp")
@@ -246,18 +135,17 @@ def groups(docs: DataFrame, width: int = 3, max_distance: int = 2, bucket: int =
     return rows.join(least, "label").select("doc_id", "fp", "component_id")
 
 
-def near_dedup(docs: DataFrame, width: int = 3, max_distance: int = 2, bucket: int = BUCKET, similarity: float | None = None) -> DataFrame:
+def near_dedup(docs: DataFrame, width: int = 3, max_distance: int = 2, bucket: int = BUCKET) -> DataFrame:
     """``docs`` with one row of each group, that of the smallest doc_id (rows
-    with a null id only where a group has no other).  Columns as given.  With a
-    ``similarity``, texts link by the Jaccard similarity of their shingles, not
-    by ``max_distance``."""
-    rows = _labelled(docs, width, max_distance, bucket, similarity)
+    with a null id only where a group has no other).  Columns as given."""
+    rows = _labelled(docs, width, max_distance, bucket)
     first = rows.groupBy("label").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("k"))
-    keep = first.select(F.col("k.doc_id").alias("__id"), F.col("k.text_hash").alias("__hash")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.xxhash64(text_of()))
+    id_, hash_, text = spare(docs, "id", "hash", "text")
+    keep = first.select(F.col("k.doc_id").alias(id_), F.col("k.text_hash").alias(hash_)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & (F.col(hash_) == F.xxhash64(text_of()))
     # Of rows repeating an id and text, whatever their other columns, one stays.
-    kept = docs.join(keep, same, "left_semi").withColumn("__text", text_of())
-    return kept.dropDuplicates(["doc_id", "__text"]).drop("__text")
+    kept = docs.join(keep, same, "left_semi").withColumn(text, text_of())
+    return kept.dropDuplicates(["doc_id", text]).drop(text)
 
 
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

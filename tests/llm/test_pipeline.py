@@ -8,7 +8,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as E
 import corpus_pipeline
-from llm import packing, pii, stages
+from llm import packing, stages
 from llm.queries import ORACLE_SQL, QUERIES
 from tests.conftest import SMALL
 from tests.llm import brute, fixtures
@@ -17,7 +17,7 @@ from tests.oracle_compare import compare
 
 
 def test_names():
-    assert [k.split("_")[0] for k in QUERIES] == [f"op{n}" for n in range(1, 11)] + ["pipeline"]
+    assert [k.split("_")[0] for k in QUERIES] == [f"op{n}" for n in range(1, 14)] + ["pipeline"]
     assert set(QUERIES) <= set(E.queries()) and set(ORACLE_SQL) <= set(E.oracle_sql())
 
 
@@ -33,15 +33,20 @@ def test_run(spark, tmp_path):
     texts_ += [fixtures.lines(400 + i, 9) for i in range(8)]
     docs = fixtures.documents(spark, texts_, extra=False)
     docs.write.parquet(str(tmp_path / "documents.parquet"))
-    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    spark.conf.set("spark.llm.pii.key", "the test's")
+    try:
+        got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.unset("spark.llm.pii.key")
 
     rows = [(i, t) for i, t in fixtures.plain(docs) if not brute.measures(t)[-1]]
     rows = list(plain_line_dedup(rows))
     groups = brute.simhash_groups(rows)
     rows = [(i, t) for i, t in rows if groups[i, brute.simhash(t)] == i]
-    left = pii.pseudonymise(spark.createDataFrame(rows, "doc_id long, text string"))
+    left = list(zip([i for i, _ in rows], brute.pii([t for _, t in rows], "the test's")))
+    assert sum(t != u for (_, t), (_, u) in zip(rows, left)) >= 4
     tokenizer = Tokenizer.from_file(public_tokenizers.path(packing.VOCABULARY))
-    want = Counter((r["doc_id"], *p) for r in left.collect() for p in brute.pieces(r["text"], tokenizer))
+    want = Counter((i, *p) for i, t in left for p in brute.pieces(t, tokenizer))
     assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got) == want
 
 

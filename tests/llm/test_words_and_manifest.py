@@ -1,0 +1,242 @@
+"""Spelling variants, the Merkle manifest and word BPE against plain versions."""
+
+import hashlib
+import random
+import zlib
+from collections import Counter
+
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from llm import merkle, variants, wordbpe
+from tests.llm import fixtures
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return fixtures.documents(spark, fixtures.texts()).cache()
+
+
+# -- spelling variants
+
+def near_plain(words):
+    """Pairs one edit apart, by every word's deletions."""
+    cuts = {}
+    for w in words:
+        for i in range(len(w)):
+            cuts.setdefault((i, w[:i] + w[i + 1:]), []).append(w)
+    pairs = {(a, b) for group in cuts.values() for a in group for b in group if a != b}
+    for w in words:
+        for i in range(len(w)):
+            if (cut := w[:i] + w[i + 1:]) in words:
+                pairs |= {(w, cut), (cut, w)}
+    return pairs
+
+
+def groups_plain(counts, least=7, ratio=10):
+    near = {}
+    for a, b in near_plain(set(counts)):
+        near.setdefault(a, []).append(b)
+    form = {}
+    for w, found in near.items():
+        best = min(found, key=lambda x: (-counts[x], x))
+        if counts[best] >= ratio * counts[w]:
+            form[w] = best
+    out = set()
+    for w, n in counts.items():
+        root = w
+        while root in form:
+            root = form[root]
+        out.add((w, form.get(w), root, n, len(near.get(w, [])), counts[form[w]] if w in form else None))
+    return out
+
+
+def told(df):
+    return {tuple(r) for r in df.select("word", "form", "root", "n", "n_near", "form_n").collect()}
+
+
+def some_words(seed, letters="abé", sizes=(7, 12), n=400):
+    r = random.Random(seed)
+    words = {"".join(r.choice(letters) for _ in range(r.randint(*sizes))) for _ in range(n)}
+    words |= {w[:i] + w[i + 1:] for w in list(words)[:60] for i in (0, len(w) // 2, len(w) - 1) if len(w) > sizes[0]}
+    words |= {w[:-1] + c for w in list(words)[:40] for c in "xy"}
+    return {w: r.choice((2, 2, 3, 30, 40, 500)) for w in sorted(words)}
+
+
+@pytest.mark.parametrize("seed,split", [(1, 4096), (2, 3)])
+def test_variant_groups(spark, monkeypatch, seed, split):
+    monkeypatch.setattr(variants, "SPLIT", split)
+    counts = some_words(seed)
+    df = spark.createDataFrame(list(counts.items()), "word string, n long")
+    assert told(variants.variant_groups(df)) == groups_plain(counts)
+
+
+def test_words_of_one_letter_and_long_words(spark):
+    long = "".join(random.Random(5).choice("abc") for _ in range(3000))
+    words = ["a" * k for k in range(7, 14)] + [long, long[:1500] + long[1501:], long[1:], long + "z", long[:2999] + "y", "b" * 20000, "b" * 20001]
+    counts = {w: 2 + 30 * (i % 3) for i, w in enumerate(words)}
+    df = spark.createDataFrame(list(counts.items()), "word string, n long")
+    assert told(variants.variant_groups(df)) == groups_plain(counts)
+
+
+def test_vocabulary_of_documents(spark, docs):
+    rows = fixtures.plain(docs)
+    want = Counter()
+    for i, t in rows:
+        for run in plain_runs(t or ""):
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            word = run[:h % len(run)] + run[h % len(run) + 1:] if h % 31 == 0 else run
+            want[word] += 1
+    want = {w: n for w, n in want.items() if len(w) >= 7 and n >= 2}
+    seen = variants.counted(docs, damage=31)
+    assert {r["word"]: r["n"] for r in seen.collect()} == want
+    assert told(variants.variant_groups(seen)) == groups_plain(want)
+    assert any(len(w) >= 400 for w in want) and any(not w.isascii() for w in want)
+
+
+def plain_runs(text):
+    import re
+    return ["".join(c.lower() if c.isascii() else c for c in w) for w in re.findall("[A-Za-zÀ-ÿ]+", text)]
+
+
+def test_no_words(spark, docs):
+    assert variants.variant_groups(variants.counted(docs.limit(0))).collect() == []
+
+
+# -- Merkle manifest
+
+def H(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def leaf_plain(row, lower=False):
+    text = row["text"]
+    if lower and text is not None:
+        text = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    values = [row["doc_id"], row["source"], row["lang"], row["n_chars"], text]
+    return H(*["-" if v is None else f"{len(str(v).encode())}:{v}" for v in values])
+
+
+def tree_plain(digests):
+    """(root, the siblings before and after, level by level, of each leaf)."""
+    paths, level, at = [[] for _ in digests], list(digests), list(range(len(digests)))
+    while len(level) > 1:
+        for i, p in enumerate(at):
+            a = p // 16 * 16
+            paths[i].append((level[a:p], level[p + 1:a + 16]))
+        level = [H(*level[a:a + 16]) for a in range(0, len(level), 16)]
+        at = [p // 16 for p in at]
+    return level[0], paths
+
+
+def manifest_plain(rows):
+    groups = {}
+    for r in rows:
+        groups.setdefault(r["source"], []).append(r)
+    order = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    made = []
+    for s in order:
+        held = sorted(groups[s], key=lambda r: (r["doc_id"] is not None, r["doc_id"] or 0, leaf_plain(r)))
+        made.append((held, *tree_plain([leaf_plain(r) for r in held])))
+    root, tops = tree_plain([m[1] for m in made])
+    out = Counter()
+    for (held, subroot, paths), top in zip(made, tops):
+        for r, path in zip(held, paths):
+            lower = r["doc_id"] is not None and zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0
+            back = leaf_plain(r, lower)
+            for before, after in path + top:
+                back = H(*before, back, *after)
+            proof = H(*[d for before, after in path + top for d in before + after])
+            out[r["doc_id"], leaf_plain(r), subroot, root, proof, back, back == root] += 1
+    return out
+
+
+COLUMNS = ("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op12(spark, df, tmp):
+    path = f"{tmp}/documents.parquet"
+    df.write.mode("overwrite").parquet(path)
+    return Counter(tuple(r) for r in merkle.op12_merkle_manifest(spark, tmp).select(*COLUMNS).collect())
+
+
+@pytest.mark.parametrize("stretch", [4096, 5])
+def test_manifest(spark, docs, scratch, monkeypatch, stretch):
+    monkeypatch.setattr(merkle, "STRETCH", stretch)
+    assert op12(spark, docs, scratch) == manifest_plain(docs.collect())
+
+
+@pytest.mark.parametrize("stretch", [4096, 32])
+def test_manifest_of_tall_trees_and_many_sources(spark, scratch, monkeypatch, stretch):
+    monkeypatch.setattr(merkle, "STRETCH", stretch)
+    df = spark.range(700).selectExpr("id AS doc_id", "concat('Text ', id) AS text", "'en' AS lang",
+                                     "CASE WHEN id < 600 THEN 'hot' WHEN id < 660 THEN concat('s', id) WHEN id < 690 THEN 'same' END AS source", "6L AS n_chars")
+    df = df.unionByName(df.filter("doc_id = 650").withColumn("doc_id", F.lit(7).cast("long")))
+    assert op12(spark, df, scratch) == manifest_plain(df.collect())
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 17])
+def test_manifest_of_one_source(spark, scratch, n):
+    df = spark.range(n).selectExpr("id AS doc_id", "'A b' AS text", "'en' AS lang", "'s' AS source", "3L AS n_chars")
+    assert op12(spark, df, scratch) == (manifest_plain(df.collect()) if n else Counter())
+
+
+# -- word BPE
+
+ODD = ["a\x1cb \x1f", "<|endoftext|>hi <|startoftext|> x<|endoftext|>", "x" * 5000, "Ça été İstanbul ΣΑΣ ς", "don't I'LL we've 'S ''s", "  a\u0085b ",
+       "日本語 😀👨‍👩‍👧", "</w> < / w >", "a</w>b", "\x00\x01 \x7f", "½ ²³ Ⅷ", "ab" * 3000, "", "   ", "!!!???...", "é" * 300,
+       "lol" * 1000 + "!" * 500, "́abc", "a ́b", "ﬁ Å Å", "'’s", "ı̇ K", " x　y", "1234567 12a3", "_under_score-d"]
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(public_tokenizers.path(wordbpe.VOCABULARY))
+
+
+def random_texts(n):
+    r = random.Random(8)
+    letters = "abcdefghijklmnopqrstuvwxyz' .<|>/éßñ0123ÀÉ́‍😀中\n"
+    return ["".join(r.choice(letters) for _ in range(r.randrange(1, 120))) for _ in range(n)]
+
+
+def test_word_bpe_as_the_library(spark, tokenizer):
+    texts = ODD + random_texts(400) + [t or "" for t in fixtures.texts()]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", "1 AS ids", "'x' AS decoded")
+    got = {r["doc_id"]: r for r in wordbpe.decode(wordbpe.encode(df)).collect()}
+    for i, t in enumerate(texts):
+        ids = tokenizer.encode(t, add_special_tokens=False).ids
+        assert (got[i]["ids"], got[i]["decoded"]) == (ids, tokenizer.decode(ids, skip_special_tokens=False)), t[:80]
+
+
+def test_word_bpe_query(spark, docs, scratch, tokenizer):
+    docs.write.mode("overwrite").parquet(f"{scratch}/documents.parquet")
+    want = Counter()
+    for i, t in fixtures.plain(docs):
+        ids = tokenizer.encode(t or "", add_special_tokens=False).ids
+        want[i, len(ids), H(" ".join(map(str, ids))), H(tokenizer.decode(ids, skip_special_tokens=False))] += 1
+    assert Counter(tuple(r) for r in wordbpe.op13_word_bpe(spark, scratch).collect()) == want
+    assert wordbpe.decode(wordbpe.encode(docs.limit(0))).collect() == []
+
+
+def test_each_prefix_has_the_last_token_of_its_own_encoding():
+    bpe = wordbpe.chunks_of(public_tokenizers.path(wordbpe.VOCABULARY)).bpe
+    r = random.Random(4)
+    for _ in range(150):
+        symbols = "".join(r.choice("etaoinsrhl") for _ in range(25)) + bpe.word(r.choice("etsn"))
+        last = bpe.last_tokens(symbols)
+        assert [bpe.merged(symbols[:k])[-1] for k in range(1, len(symbols) + 1)] == last[1:]
+
+
+def test_suffix_automaton_finds_all_tokens_that_end_at_a_place():
+    words = ["ab", "b", "abc", "bc", "cab", "a", "c", "bca"]
+    sam = wordbpe.SuffixAutomaton(words)
+    for w in words:
+        state = sam.state_of(w)
+        assert sam.length[state] == len(w)  # a whole word is its state's longest string
+        held, up = set(), sam.link[state]
+        while up > 0:
+            held.add(sam.length[up])
+            up = sam.link[up]
+        assert {len(x) for x in words if w.endswith(x) and x != w} <= held
