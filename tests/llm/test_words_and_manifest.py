@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -82,9 +83,9 @@ def test_words_of_one_letter_and_long_words(spark):
 
 
 def test_vocabulary_of_documents(spark, docs):
-    rows = fixtures.plain(docs)
+    docs = docs.unionByName(docs)
     want = Counter()
-    for i, t in rows:
+    for i, t in fixtures.plain(docs):
         for run in plain_runs(t or ""):
             h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
             word = run[:h % len(run)] + run[h % len(run) + 1:] if h % 31 == 0 else run
@@ -97,7 +98,6 @@ def test_vocabulary_of_documents(spark, docs):
 
 
 def plain_runs(text):
-    import re
     return ["".join(c.lower() if c.isascii() else c for c in w) for w in re.findall("[A-Za-zÀ-ÿ]+", text)]
 
 
