@@ -44,10 +44,13 @@ def with_known(df: DataFrame, ids: DataFrame, column: str, known: bool = True) -
     The ids go out as a set of bitmaps (:func:`id_set`, whose size is bounded), so
     the rows stay where they are: a fact isn't shuffled, and a hot id costs nothing.
     """
-    held = F.broadcast(id_set(ids, column).select(F.col("bucket").alias("__bucket"), F.col("words").alias("__words")))
-    rows = df.join(held, F.bitmap_bucket_number(F.col(column).cast("bigint")) == F.col("__bucket"), "inner" if known else "left")
-    test = in_set(column, "__words")
-    return rows.filter(test if known else ~F.coalesce(test, F.lit(False))).select(*[df[c] for c in df.columns])
+    bucket, words = "id_bucket", "id_words"
+    while {bucket, words} & set(df.columns):
+        bucket, words = f"_{bucket}", f"_{words}"
+    held = F.broadcast(id_set(ids, column).select(F.col("bucket").alias(bucket), F.col("words").alias(words)))
+    rows = df.join(held, F.bitmap_bucket_number(F.col(column).cast("bigint")) == F.col(bucket), "inner" if known else "left")
+    test = in_set(column, words)
+    return rows.filter(test if known else ~F.coalesce(test, F.lit(False))).select(*df.columns)
 
 
 def known_rows(df: DataFrame, dim_movies: DataFrame, dim_users: DataFrame | None) -> DataFrame:

@@ -228,7 +228,8 @@ def oracle() -> dict[str, str]:
         "register_evolved": _q("SELECT *, CASE WHEN year >= 1999 THEN year > 1999 END AS late FROM fact_ratings"),
     }
     for mart in ("mart_movie_analytics", "mart_user_behavior", "mart_genre_performance"):
-        q[f"register_{mart}"], q[f"register_snap_{mart}"] = q[mart], q[f"snap_{mart}"]
+        q[f"register_{mart}"] = q[f"maintained_{mart}"] = q[mart]
+        q[f"register_snap_{mart}"] = q[f"snap_{mart}"]
     for name in ("movies", "links", "ratings", "tags"):
         q[f"land_raw_{name}"] = _q(f"SELECT * FROM raw_{name}")
         q[f"check_bronze_{name}"] = _q(

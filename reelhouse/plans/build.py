@@ -14,9 +14,10 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reelhouse.operators import checks, dims, facts, marts, staging
+from reelhouse.operators import checks, dims, facts, staging
 from reelhouse.operators.scd2 import SNAPSHOT_SPECS
 from reelhouse.plans.catalog import GOLD_PARTITIONS, GOLD_TABLES, register_stored
+from reelhouse.plans.rollups import maintain_rollups, marts_of_rollups
 from reelhouse.plans.tables import LoadReport, TableStore
 from reelhouse.sources.csv import SOURCE_FILES, land_raw, source_path
 
@@ -47,14 +48,8 @@ def build_silver(store: TableStore, raw: dict[str, DataFrame],
 def build_gold(store: TableStore, as_of: datetime | None = None) -> list[LoadReport]:
     as_of = as_of or datetime.now(timezone.utc)
     r = store.read
-    built = {
-        "mart_movie_analytics": marts.mart_movie_analytics(
-            r("fact_ratings"), r("fact_tags"), r("dim_movies"), as_of),
-        "mart_user_behavior": marts.mart_user_behavior(
-            r("fact_ratings"), r("fact_tags"), r("dim_movies"), r("dim_users"), as_of),
-        "mart_genre_performance": marts.mart_genre_performance(
-            r("fact_ratings"), r("fact_tags"), r("dim_movies"), as_of),
-    }
+    maintain_rollups(store)  # from the fact's years that changed
+    built = marts_of_rollups(store, as_of)
     reports = [store.full_refresh(name, df) for name, df in built.items()]
     for mart, (key, cols) in SNAPSHOT_SPECS.items():
         reports.append(store.snapshot(f"snap_{mart}", r(mart), key, cols, as_of))

@@ -23,6 +23,7 @@ from reelhouse.operators import checks, dims, facts, marts, reports, scd2, stagi
 from reelhouse.operators import upsert as upsert_mod
 from reelhouse.plans.catalog import GOLD_PARTITIONS, register_stored, register_tables
 from reelhouse.plans.files import Folders
+from reelhouse.plans.rollups import maintain_rollups, marts_of_rollups
 from reelhouse.plans.tables import TableStore
 from reelhouse.session import checkpoint_dir, ensure_session_defaults
 from reelhouse.sources.csv import land_raw, source_path, write_raw_csv
@@ -535,6 +536,24 @@ def _load_reports(L: Layers):
     return L.spark.createDataFrame(rows, "step int, table string, row_count long, rows_touched long, current_rows long, closed_rows long")
 
 
+def _register_maintained(mart: str):
+    @query(f"maintained_{mart}")
+    def _run(L: Layers):
+        """The mart from rollups made of part of the years and brought up to date after a merge of the others."""
+        store = _store(L)
+        store.full_refresh("dim_movies", L.dim_movies)
+        store.full_refresh("dim_users", L.dim_users)
+        store.full_refresh("fact_tags", L.fact_tags)
+        for years in (UPSERT_FIRST_YEARS, UPSERT_LATER_YEARS):
+            store.merge_upsert("fact_ratings", L.fact_ratings(years))
+            maintain_rollups(store)
+        return marts_of_rollups(store, AS_OF)[mart]
+
+
+for _mart in ("mart_movie_analytics", "mart_user_behavior", "mart_genre_performance"):
+    _register_maintained(_mart)
+
+
 def _through_catalog(L: Layers, name: str, register: Callable[[str], object]) -> DataFrame:
     """What the table registered in a database of this call alone gives; the database goes."""
     database = f"gold_{uuid.uuid4().hex[:8]}"

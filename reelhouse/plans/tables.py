@@ -48,6 +48,8 @@ LAYERS = {
     "dim_movies": "silver/intermediate", "dim_users": "silver/intermediate",
     "fact_ratings": "silver/intermediate", "fact_tags": "silver/intermediate",
     "fact_movie_genre_ratings": "silver/intermediate",
+    "rollup_movies": "silver/intermediate", "rollup_users": "silver/intermediate",
+    "rollup_genre_raters": "silver/intermediate", "rollup_user_genres": "silver/intermediate",
     "mart_movie_analytics": "gold/marts", "mart_user_behavior": "gold/marts",
     "mart_genre_performance": "gold/marts",
     "snap_mart_movie_analytics": "gold/snapshots", "snap_mart_user_behavior": "gold/snapshots",
@@ -55,7 +57,9 @@ LAYERS = {
 }
 FOLDERS = {t: t.removeprefix("mart_") for t in LAYERS if t.startswith("mart_")}
 # The marts' folders, and partition columns.
-PARTITIONED = {"fact_ratings": "year"}
+PARTITIONED = {t: "year" for t in LAYERS if t == "fact_ratings" or t.startswith("rollup_")}
+# Staging tables whose rows are written in order of time, so that row groups can be skipped.
+CLUSTERED = {"stg_ratings": "created_at", "stg_tags": "created_at"}
 # SCD2 histories are partitioned by is_current and the run that closed a row.
 CLOSED_RUN = "closed_run"
 COMMIT = "_commit"
@@ -160,7 +164,7 @@ class TableStore:
         read = StructType([*v.schema.fields, StructField(COMMIT, StringType())])
         return self.spark.read.schema(read).option("basePath", self.path(name)).parquet(*paths)
 
-    def _rows(self, name: str, v: Version, parts: list[str] | None = None) -> DataFrame:
+    def rows(self, name: str, v: Version, parts: list[str] | None = None) -> DataFrame:
         """The rows of a version, or of some of its partitions."""
         paths = []
         for part in v.parts if parts is None else parts:
@@ -200,7 +204,7 @@ class TableStore:
         v = self.version(name)
         if v is None:  # written by another program: every file's columns
             return self.spark.read.option("mergeSchema", True).parquet(self.path(name))
-        return self._rows(name, v)
+        return self.rows(name, v)
 
     def read(self, name: str) -> DataFrame:
         """The newest version (partition columns restored, evolved columns included)."""
@@ -221,12 +225,16 @@ class TableStore:
 
         Staging tables keep their schema (B2): a changed one is refused.  A
         partitioned table's rows are rebalanced by partition, so that the files
-        follow the data's size, not tasks x partitions.
+        follow the data's size, not tasks x partitions.  Staged ratings and tags
+        are written in order of time: a row group covers a short time, and a
+        filter on years skips the others by their statistics.
         """
         base = self.version(name)
         if name.startswith("stg_") and base and _kinds(base.schema) != _kinds(df.schema):
             raise ValueError(f"{name}: schema differs from the stored table's")
         by = self._by(name)
+        if order := CLUSTERED.get(name):
+            df = df.repartitionByRange(order).sortWithinPartitions(order)
         commit, parts, seen = self._write(name, df.hint("rebalance", *by) if by else df, by)
         n = int(seen["n"])
         self._publish(name, base, df.schema, {p: {"in": [commit], "gone": []} for p in parts}, n)
@@ -245,13 +253,26 @@ class TableStore:
         self._publish(name, base, base.schema, _with(base.parts, commit, parts), base.row_count + n, **base.more)
         return LoadReport(name, self.path(name), base.row_count + n, schema_text(df), {"rows_touched": n})
 
+    def replace_partitions(self, name: str, df: DataFrame, parts: list[str], **more) -> LoadReport:
+        """Replace the partitions ``parts`` (relative folders) by the rows of ``df``, which are all theirs."""
+        base, by = self._adopt(name), self._by(name)
+        before = [p for p in parts if base and p in base.parts]
+        gone = self.rows(name, base, before).count() if before else 0  # from the footers
+        commit, made, seen = self._write(name, df.hint("rebalance", *by), by)
+        if beyond := [p for p in made if p not in parts]:
+            raise ValueError(f"{name}: rows of {beyond[:5]}, which aren't among the partitions replaced")
+        total = (base.row_count if base else 0) - gone + int(seen["n"])
+        kept = {p: s for p, s in base.parts.items() if p not in parts} if base else {}
+        self._publish(name, base, df.schema, _with(kept, commit, made), total, **{**(base.more if base else {}), **more})
+        return LoadReport(name, self.path(name), total, schema_text(df), {"rows_touched": int(seen["n"])})
+
     def compact(self, name: str) -> None:
         """Rewrite the partitions that lie in several folders or lost files, each into one folder."""
         v = self._adopt(name)
         spread = [p for p, s in v.parts.items() if len(s["in"]) != 1 or s["gone"]]
         if spread:
             by = self._by(name)
-            rows = self._rows(name, v, spread)
+            rows = self.rows(name, v, spread)
             commit, parts, _ = self._write(name, rows.hint("rebalance", *by) if by else rows, by)
             kept = {p: s for p, s in v.parts.items() if p not in spread}
             self._publish(name, v, v.schema, _with(kept, commit, parts), v.row_count, **v.more)
@@ -377,7 +398,7 @@ class TableStore:
             df = self._stored(name)
             df = df.filter(F.col("is_current") == F.lit("true")) if current_only else df
         else:
-            df = self._rows(name, v, [p for p in v.parts if not current_only or p.startswith("is_current=true")])
+            df = self.rows(name, v, [p for p in v.parts if not current_only or p.startswith("is_current=true")])
         return _contract(df)
 
     def snapshot(self, name: str, source: DataFrame, key: str, check_cols: list[str],
@@ -413,7 +434,7 @@ class TableStore:
                 merged = scd2_ops.scd2_merge(None, staged, key, check_cols, effective_ts)
             else:
                 replaced = [p for p in base.parts if _is_open(p) or late and _label_time(_closed_label(p)) > effective_ts]
-                held = _contract(self._rows(name, base, replaced))
+                held = _contract(self.rows(name, base, replaced))
                 current = held.filter("is_current")
                 scd2_ops.assert_single_source_rows(current, staged, key)
                 if late:
@@ -428,7 +449,7 @@ class TableStore:
             commit, made, seen = self._write(name, merged, ["is_current", CLOSED_RUN], F.count_if(F.col("is_current")).alias("current"),
                                              F.count_if(F.col("valid_to") == F.lit(effective_ts)).alias("closed"))
             n, now = int(seen["n"]), int(seen["current"])
-            before = self._rows(name, base, replaced).count() if replaced else 0  # from the footers
+            before = self.rows(name, base, replaced).count() if replaced else 0  # from the footers
             total = (base.row_count if base else 0) - before + n
             kept = {p: s for p, s in base.parts.items() if p not in replaced} if base else {}
             schema = StructType([StructField(f.name, StringType() if f.name == "is_current" else f.dataType)

@@ -10,10 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# Settings that change results.  Everything else is left to the cluster
+# Settings that change results or files.  Everything else is left to the cluster
 # (table writes set their partition-overwrite mode per write).
 SEMANTIC_CONF = {
     "spark.sql.session.timeZone": "UTC",
+    # Timestamps with statistics: the default type (INT96) has none, so that no
+    # filter on a time skips a row group.
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 # JVM flags for sessions this module starts.  Catalyst fuses long chains of

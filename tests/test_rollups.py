@@ -1,0 +1,133 @@
+"""Rollups are brought up to date from the touched years alone, and give the marts of a full build."""
+
+import datetime as dt
+import random
+
+import pyarrow.parquet as pq
+import pytest
+from pyspark.sql import functions as F
+
+from reelhouse.operators import dims, facts, marts, rollups, staging
+from reelhouse.plans.rollups import FACT, TABLES, maintain_rollups, marts_of_rollups
+from reelhouse.plans.tables import TableStore
+from reelhouse.sources.fixtures import raw_relations
+from tests.conftest import SMALL
+
+T = dt.datetime(2025, 1, 1, tzinfo=dt.timezone.utc)
+
+
+@pytest.fixture(scope="module")
+def layers(spark):
+    stg = staging.staging(raw_relations(spark, SMALL))
+    dim = dims.dim_movies(stg["stg_movies"], stg["stg_links"]).cache()
+    return {"dim_movies": dim, "dim_users": dims.dim_users(stg["stg_ratings"], stg["stg_tags"]), "fact_tags": facts.fact_tags(stg["stg_tags"], dim),
+            FACT: facts.fact_ratings(stg["stg_ratings"], dim).cache()}
+
+
+def told(df):
+    return sorted((tuple(round(x, 9) if isinstance(x, float) else x for x in r) for r in df.collect()), key=str)
+
+
+def full(store):
+    r = store.read
+    return {"mart_movie_analytics": marts.mart_movie_analytics(r(FACT), r("fact_tags"), r("dim_movies"), T),
+            "mart_user_behavior": marts.mart_user_behavior(r(FACT), r("fact_tags"), r("dim_movies"), r("dim_users"), T),
+            "mart_genre_performance": marts.mart_genre_performance(r(FACT), r("fact_tags"), r("dim_movies"), T)}
+
+
+def same_as_full(store):
+    made, want = marts_of_rollups(store, T), full(store)
+    for name, df in want.items():
+        assert made[name].dtypes == df.dtypes and told(made[name]) == told(df), name
+
+
+def test_only_touched_years_are_read(spark, scratch, layers, monkeypatch):
+    store = TableStore(spark, scratch)
+    for name, df in layers.items():
+        store.full_refresh(name, df)
+    years = set(store.version(FACT).parts)
+    assert all(set(parts) == years for parts in maintain_rollups(store).values())
+    same_as_full(store)
+    read, rows = [], TableStore.rows
+
+    def noted(self, name, v, parts=None):
+        read.append((name, parts))
+        return rows(self, name, v, parts)
+
+    monkeypatch.setattr(TableStore, "rows", noted)
+    assert all(parts == [] for parts in maintain_rollups(store).values())  # nothing changed
+    assert not [p for n, p in read if n == FACT]
+    some = store.read(FACT).filter("year = 1997 AND user_id % 3 = 0")
+    later = some.withColumn("rating", F.lit(0.5)).unionByName(some.withColumn("user_id", F.col("user_id") + 900_000))
+    store.merge_upsert(FACT, later)
+    before = {name: store.version(name).parts for name in TABLES}
+    read.clear()
+    assert all(parts == ["year=1997"] for parts in maintain_rollups(store).values())
+    assert {tuple(p) for n, p in read if n == FACT} == {("year=1997",)}
+    for name, parts in before.items():
+        now = store.version(name).parts
+        assert all((now[p] == s) == (p != "year=1997") for p, s in parts.items())
+        assert store.version(name).row_count == store.read(name).count()
+    store.full_refresh("dim_users", layers["dim_users"].unionByName(later.select("user_id").distinct()))
+    same_as_full(store)
+
+
+def test_a_year_that_goes_and_genres_that_change(spark, scratch, layers):
+    store = TableStore(spark, scratch)
+    for name, df in layers.items():
+        store.full_refresh(name, df)
+    maintain_rollups(store)
+    store.full_refresh(FACT, layers[FACT].filter("year <> 1996"))
+    maintain_rollups(store)
+    assert "year=1996" not in store.version("rollup_users").parts
+    same_as_full(store)
+    renamed = layers["dim_movies"].withColumn("genres", F.when(F.col("movie_id") % 5 == 0, "drama").otherwise(F.col("genres")))
+    store.full_refresh("dim_movies", renamed)
+    done = maintain_rollups(store)
+    assert done["rollup_movies"] == [] and len(done["rollup_genre_raters"]) == len(store.version(FACT).parts)
+    same_as_full(store)
+
+
+def test_bitmaps_over_years_count_distinct_users(spark):
+    r = random.Random(2)
+    rows = [(r.choice((1, 5, 32_768, 32_769, 70_000, 2_000_000_000, r.randrange(100_000))), r.randrange(30), 4.0, dt.datetime(y, 5, 1), y)
+            for y in (2000, 2001, 2002) for _ in range(800)]
+    fact = spark.createDataFrame(rows, "user_id int, movie_id int, rating double, created_at timestamp, year int")
+    dim = spark.createDataFrame([(m, f"g{m % 4}") for m in range(25)] + [(3, "g1"), (3, "g3")], "movie_id int, genres string")
+    got = {x.genres: x.unique_raters for x in rollups.by_genre_raters(rollups.genre_raters(fact, dim)).collect()}
+    want = fact.join(dim.distinct(), "movie_id").groupBy("genres").agg(F.count_distinct("user_id").alias("n"))
+    assert got == {x.genres: x.n for x in want.collect()}
+
+
+def test_id_sets_hold_every_id(spark):
+    ids = [0, 1, -1, 63, 64, 32_768, 32_769, 2_147_483_647, -2_147_483_648, -40_000, 9_000_001]
+    dim = spark.createDataFrame([(i,) for i in ids for _ in range(2)] + [(None,)], "movie_id int")
+    near = sorted({min(max(i + k, -2_147_483_648), 2_147_483_647) for i in ids for k in range(-70, 70)})
+    df = spark.createDataFrame([(i, "x") for i in near] + [(None, "y")], "movie_id int, id_words string")
+    assert [r.movie_id for r in facts.with_known(df, dim, "movie_id").orderBy("movie_id").collect()] == sorted(ids)
+    rest = facts.with_known(df, dim, "movie_id", known=False)
+    assert rest.columns == df.columns and rest.count() == len(near) + 1 - len(ids)
+    assert facts.with_known(df, dim.limit(0), "movie_id", known=False).count() == len(near) + 1
+
+
+def test_staged_ratings_are_in_order_of_time(spark, scratch):
+    store = TableStore(spark, scratch)
+    spark.conf.set("parquet.block.size", 16 * 1024)  # small row groups
+    try:
+        store.full_refresh("stg_ratings", staging.staging(raw_relations(spark, SMALL))["stg_ratings"])
+    finally:
+        spark.conf.unset("parquet.block.size")
+    groups, hit = 0, 0
+    start, stop = dt.datetime(1997, 1, 1), dt.datetime(1998, 1, 1)
+    for path in store.read("stg_ratings").inputFiles():
+        meta = pq.ParquetFile(path.removeprefix("file://")).metadata
+        column = next(i for i in range(meta.num_columns) if meta.schema.column(i).name == "created_at")
+        for g in range(meta.num_row_groups):
+            s = meta.row_group(g).column(column).statistics
+            groups += 1
+            if s is not None and s.has_min_max:
+                lo, hi = (x.replace(tzinfo=None) if isinstance(x, dt.datetime) else x for x in (s.min, s.max))
+                hit += lo < stop and hi >= start
+            else:
+                hit += 1
+    assert groups >= 7 and hit <= groups // 2, (groups, hit)
