@@ -44,10 +44,10 @@ END_ID = 1
 #: Items of a group, about; the share of a bin under which it's packed again.
 GROUP = 4096
 OPEN = 0.99
-MEMO = 400_000
+MEMO = 250_000
 SLICE = 128
 #: What str.split() takes for white space and the tokenizer's \s doesn't, and words as the latter cuts them.
-ODD_SPACE = re.compile("[\x1c-\x1f]")
+ODD_SPACE = "\x1c\x1d\x1e\x1f"
 WORD = re.compile("(?:[^\\s]|[\x1c-\x1f])+")
 
 
@@ -76,6 +76,7 @@ class Words(dict):
         self.alphabet = {b: 256 + n for n, b in enumerate(others)}
         self.marks = {m: self._ids(self.tokenizer, [m])[0] for m in self.MARKS} | {"": b""}
         self.large: list[str] = []
+        self.old: dict[str, bytes] = {}
 
     @staticmethod
     def _ids(tokenizer: Tokenizer, words: list[str]) -> list[bytes]:
@@ -83,7 +84,7 @@ class Words(dict):
 
     def encoded(self, texts: list[str]) -> list[bytes]:
         whole = [self.added.search(t) is not None for t in texts]
-        cut = [() if w else WORD.findall(t) if ODD_SPACE.search(t) else t.split() for t, w in zip(texts, whole)]
+        cut = [() if w else WORD.findall(t) if any(c in t for c in ODD_SPACE) else t.split() for t, w in zip(texts, whole)]
         self.learn(set().union(*cut))
         return [self._ids(self.whole, [t])[0] if w else b"".join(map(self.__getitem__, c)) for t, c, w in zip(texts, cut, whole)]
 
@@ -91,15 +92,19 @@ class Words(dict):
         for w in self.large:
             self.pop(w, None)
         new = words.difference(self)
-        if len(self) + len(new) > MEMO:
+        if len(self) + len(new) > MEMO:  # the words of the memo before this one are still known
+            self.old = dict(self)
             self.clear()
             new = words
+        again = new.intersection(self.old)
+        self.update(zip(again, map(self.old.__getitem__, again)))
+        new = new.difference(again)
         self.large = [w for w in new if len(w) > 256]
         letters, odd = [], []
         for w in new:
             mark = w[-1] if w[-1] in self.MARKS else ""
             core = (w[:-1] if mark else w).lower()
-            if core.isalpha() and max(core) <= "\u017f":  # composed Latin letters
+            if core.isalpha() and (core.isascii() or max(core) <= "\u017f"):  # composed Latin letters
                 letters.append((w, core, mark))
             else:
                 odd.append(w)

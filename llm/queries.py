@@ -15,7 +15,7 @@ from llm.packing import op8_best_fit_packing
 from llm.pii import op9_pii_surrogates
 from llm.quality import OP4_SQL, op4_host_quality_rules
 from llm.repeats import op6_repeated_strings
-from llm.secrets import op3_secret_scan
+from llm.secrets import OP3_SQL, op3_secret_scan
 from llm.simhash import op2_simhash_near_dedup
 from llm.variants import OP11_SQL, op11_spelling_variants
 from llm.warc import OP5_SQL, op5_warc_revisits
@@ -28,7 +28,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
 QUERIES["pipeline"] = corpus_pipeline.run
 
 #: DuckDB statements for those that SQL can express over whole tables.
-ORACLE_SQL: dict[str, str] = {"op4_host_quality_rules": OP4_SQL, "op5_warc_revisits": OP5_SQL,
+ORACLE_SQL: dict[str, str] = {"op3_secret_scan": OP3_SQL, "op4_host_quality_rules": OP4_SQL, "op5_warc_revisits": OP5_SQL,
                               "op11_spelling_variants": OP11_SQL, "op12_merkle_manifest": OP12_SQL}
 if corpus_pipeline.ORACLE_SQL:
     ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

@@ -240,3 +240,41 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     counts = [count(k).alias(f"n_{r.kind}") for k, r in enumerate(BASE)]
     return rows.select("doc_id", *counts, F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("found")).alias("spans"))
+
+
+def _oracle(rules: tuple[Rule, ...] = BASE + ADDED) -> str:
+    """DuckDB SQL for op3_secret_scan: each kind's gaps and matches, and running sums of their lengths.
+
+    Its regexes know neither lookbehind nor a case that's folded in ASCII only: a
+    character before a match is made part of it, and the base rule's letters are spelled out.
+    """
+    def either(pattern: str) -> str:
+        words, rest = pattern.removeprefix("(?i)").split(")", 1)
+        return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in words) + ")" + rest
+
+    parts = []
+    for k, rule in enumerate(rules):
+        pattern, group, own = rule.pattern, rule.group, 0
+        if pattern.startswith("(?i)"):
+            pattern = either(pattern)
+        if pattern.startswith("(?<!"):
+            before, rest = pattern.removeprefix("(?<![").split("])", 1)
+            pattern, own = f"(^|[^{before}])({rest})", 2
+        p = "'" + pattern.replace("'", "''") + "'"
+        parts.append(f"""select r, {k} as k, unnest(range(1, len(whole) + 1)) as i, gap, whole, own, val from (
+ select r, list_transform(string_split_regex(t, {p}), lambda x: length(x)) as gap, list_transform(regexp_extract_all(t, {p}), lambda x: length(x)) as whole,
+  list_transform(regexp_extract_all(t, {p}, {own}), lambda x: length(x)) as own, list_transform(regexp_extract_all(t, {p}, {group}), lambda x: length(x)) as val from d)""")
+    least = " ".join(f"when {k} then {r.least}" for k, r in enumerate(rules))
+    names = " ".join(f"when {k} then '{r.kind}'" for k, r in enumerate(rules))
+    counts = ", ".join(f"count(*) filter (k = {k}) as n_{r.kind}" for k, r in enumerate(BASE))
+    return f"""with d as (select row_number() over () as r, doc_id, coalesce(text, '') as t from documents),
+m as ({' union all '.join(parts)}),
+s as (select r, k, list_sum(gap[1:i]) + coalesce(list_sum(whole[1:i - 1]), 0) + whole[i] as stop, own[i] as size from m where val[i] >= case k {least} end),
+x as (select r, k, cast(stop - size as bigint) as start, case k {names} end || ':' || cast(stop - size as bigint) || ':' || cast(stop as bigint) as span from s),
+g as (select r, {counts}, sha256(coalesce(string_agg(span, ',' order by start, k) filter (k < {len(BASE)}), '')) as base_sha256,
+ string_agg(span, ',' order by start, k) as spans from x group by r)
+select doc_id, {', '.join(f'coalesce(n_{r.kind}, 0) as n_{r.kind}' for r in BASE)}, coalesce(base_sha256, sha256('')) as base_sha256, coalesce(spans, '') as spans
+from d left join g on d.r = g.r"""
+
+
+OP3_SQL = _oracle()

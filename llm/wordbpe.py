@@ -48,13 +48,15 @@ WORD_END = "</w>"
 #: A symbol that ends a word is one character, this far above the plain one.
 ENDS = 0x1000
 NEVER = 1 << 40
-#: Entries at most in a worker's memo of chunks, of words, and of pairs; then it starts anew.
-MEMO = 300_000
+#: Entries of a worker's memo of chunks, of words, and of pairs; then the one before it goes.
+MEMO = 250_000
 #: Rows encoded at a time, and ids decoded at a time, about.
 SLICE, IDS = 128, 1_000_000
 #: Chunks are cut at the tokenizer's white space, which, other than str.split()'s, lacks U+001C to U+001F.
-ODD_SPACE = re.compile("[\x1c-\x1f]")
+ODD_SPACE = "\x1c\x1d\x1e\x1f"
 CHUNK = re.compile("(?:[^\\s]|[\x1c-\x1f])+")
+#: One of these after letters is a word of its own.
+MARKS = frozenset(".,;:!?")
 #: The pre-tokenizer's pattern for lower-cased ASCII without white space.
 ASCII_WORD = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\x0b\x0c\ra-z0-9]+")
 
@@ -76,6 +78,7 @@ class SuffixAutomaton:
             last = 0
             for ch in word:
                 last = self._extend(last, ch)
+        self.link, self.length = self.link.tolist(), self.length.tolist()
 
     def _state(self, length: int, follow: dict[str, int], link: int) -> int:
         self.next.append(follow)
@@ -127,20 +130,24 @@ class WordBpe:
             self.joined[pair] = vocab[a + b]
             self.made_by.setdefault(vocab[a + b], pair)
         self.edges: dict[tuple[int, bool], list[tuple[int, int, int]]] = {}
-        self.pairs: dict[int, bool] = {}
         #: Tokens that merging makes of their own symbols; no others ever come out of it.
         made = {s: i for s, i in self.ids.items() if self.merged(s) == [i]}
-        self.size = {i: len(s) for s, i in made.items()}
+        most = max(vocab.values()) + 1
+        #: For each token, those it was asked to follow and whether it may.
+        self.pairs: list[dict[int, bool]] = [{} for _ in range(most)]
+        self.asked = 0
         sam = self.sam = SuffixAutomaton(made)
-        self.token = array("i", [-1]) * len(sam.next)
+        token, above = [-1] * len(sam.next), [-1] * len(sam.next)
         for s, i in made.items():
-            self.token[sam.state_of(s)] = i
-        #: The nearest token on the links above each state.
-        self.above = array("i", [-1]) * len(sam.next)
+            token[sam.state_of(s)] = i
         for v in sorted(range(1, len(sam.next)), key=sam.length.__getitem__):
-            up = sam.link[v]
-            self.above[v] = self.token[up] if self.token[up] >= 0 else self.above[up]
-        self.state = {i: sam.state_of(s) for s, i in made.items()}
+            above[v] = token[sam.link[v]] if token[sam.link[v]] >= 0 else above[sam.link[v]]
+        #: The longest token at a state's end: all of its string included, or only shorter ones.
+        self.whole, self.above = [t if t >= 0 else a for t, a in zip(token, above)], above
+        #: Of each token its number of symbols and the next shorter token that ends it.
+        self.size, self.shorter = [0] * most, [-1] * most
+        for s, i in made.items():
+            self.size[i], self.shorter[i] = len(s), above[sam.state_of(s)]
 
     def _symbols(self, token: str) -> str:
         body = token.removesuffix(self.end)
@@ -177,21 +184,24 @@ class WordBpe:
 
     def may_follow(self, a: int, b: int) -> bool:
         """Whether merging the symbols of a and b ends with just these two tokens."""
-        key = a << 32 | b
-        if (known := self.pairs.get(key)) is None:
-            if len(self.pairs) >= MEMO:
-                self.pairs.clear()
-            known = self.pairs[key] = not any(
+        if (known := self.pairs[b].get(a)) is None:
+            self.asked += 1
+            if self.asked > MEMO:
+                self.asked = 0
+                for held in self.pairs:
+                    held.clear()
+            known = self.pairs[b][a] = not any(
                 x_made < y_taken and y_made < x_taken and (due := self.rank.get((x, y), NEVER)) < x_taken and due <= y_taken
                 for x, x_made, x_taken in self._edge(a, True) for y, y_made, y_taken in self._edge(b, False) if (x, y) in self.rank)
         return known
 
     def last_tokens(self, symbols: str) -> list[int]:
         """The last token of each prefix of the symbols, the empty one first (-1)."""
-        follow, link, length, token, above, size, state = (
-            self.sam.next, self.sam.link, self.sam.length, self.token, self.above, self.size, self.state)
-        pairs, last, at, held = self.pairs.get, [-1], 0, 0
-        for stop, ch in enumerate(symbols, 1):
+        follow, link, length, whole, above, size, shorter, pairs = (
+            self.sam.next, self.sam.link, self.sam.length, self.whole, self.above, self.size, self.shorter, self.pairs)
+        last, at, held, stop = [-1], 0, 0, 0
+        for ch in symbols:
+            stop += 1
             while (to := follow[at].get(ch)) is None and at:
                 at = link[at]
                 held = length[at]
@@ -199,12 +209,14 @@ class WordBpe:
                 raise ValueError(f"no token for {ch!r}")
             at, held = to, held + 1
             # Longest first: the state itself if all of it is matched, then up the links.
-            t = token[at] if held == length[at] and token[at] >= 0 else above[at]
+            t = whole[at] if held == length[at] else above[at]
             while t >= 0:
-                start = stop - size[t]
-                if not start or (fits := pairs(last[start] << 32 | t)) or fits is None and self.may_follow(last[start], t):
+                if stop == size[t]:
+                    break
+                before = last[stop - size[t]]
+                if (fits := pairs[t].get(before)) or fits is None and self.may_follow(before, t):
                     break
-                t = above[state[t]]
+                t = shorter[t]
             else:
                 raise ValueError("a prefix without a last token")
             last.append(t)
@@ -231,36 +243,49 @@ class Chunks(dict):
         self.added = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
         self.cut = re.compile("|".join(f"({re.escape(t)})" for t in sorted(self.added, key=len, reverse=True)) or "(?!)")
         self.normal, self.words = tokenizer.normalizer.normalize_str, tokenizer.pre_tokenizer.pre_tokenize_str
-        self.alphabet = {b: c for b, c in enumerate(byte_alphabet())}
+        self.alphabet = "".join(byte_alphabet())
         self.known: dict[str, bytes] = {}
+        self.old, self.old_known = {}, {}  # the memos before
         self.names = {i: t for t, i in model["vocab"].items()} | {i: t for t, i in self.added.items()}
 
     def word(self, characters: str) -> bytes:
+        """Ids of a word in the byte alphabet."""
         if (ids := self.known.get(characters)) is None:
-            ids = array("I", self.bpe.encode(self.bpe.word(characters))).tobytes()
+            if (ids := self.old_known.get(characters)) is None:
+                ids = array("I", self.bpe.encode(self.bpe.word(characters))).tobytes()
             if len(characters) <= 64:
                 if len(self.known) >= MEMO:
-                    self.known.clear()
+                    self.old_known, self.known = self.known, {}
                 self.known[characters] = ids
         return ids
 
-    def __missing__(self, chunk: str) -> bytes:
+    def _cut(self, chunk: str) -> list[str]:
+        """A chunk's words in the byte alphabet."""
+        mark = chunk[-1] if chunk[-1] in MARKS else ""
+        core = (chunk[:-1] if mark else chunk).lower()
+        if core.isalpha() and (core.isascii() or max(core) <= "\u017f"):  # composed Latin letters are one word, as they are
+            word = core if core.isascii() else core.encode().decode("latin-1").translate(self.alphabet)
+            return [word, mark] if mark else [word]
         if chunk.isascii():
-            parts = [w.translate(self.alphabet) for w in ASCII_WORD.findall(chunk.lower())]
-        else:
-            parts = [w for w, _ in self.words(self.normal(chunk))]
-        ids = b"".join(map(self.word, parts))
+            words = ASCII_WORD.findall(chunk.lower())
+            return words if chunk.isprintable() else [w.translate(self.alphabet) for w in words]
+        return [w for w, _ in self.words(self.normal(chunk))]
+
+    def __missing__(self, chunk: str) -> bytes:
+        if (ids := self.old.get(chunk)) is None:
+            ids = b"".join(map(self.word, self._cut(chunk)))
         if len(chunk) <= 64:
             if len(self) >= MEMO:
+                self.old = dict(self)
                 self.clear()
             self[chunk] = ids
         return ids
 
     def text(self, text: str) -> bytes:
-        if self.cut.search(text):
+        if any(t in text for t in self.added):
             parts = self.cut.split(text)
             return b"".join(array("I", [self.added[p]]).tobytes() if p in self.added else self.text(p) for p in parts if p)
-        chunks = CHUNK.findall(text) if ODD_SPACE.search(text) else text.split()
+        chunks = CHUNK.findall(text) if any(c in text for c in ODD_SPACE) else text.split()
         return b"".join(map(self.__getitem__, chunks))
 
 
