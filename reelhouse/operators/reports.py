@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reelhouse.functions.tiers import movie_quality_tier
+
 TOP_MOVIES = 20
 
 
@@ -15,6 +17,19 @@ def report_top_movies(mart_movie: DataFrame, k: int = TOP_MOVIES) -> DataFrame:
             .orderBy(F.col("total_ratings").desc(), F.col("movie_id").asc()).limit(k))
 
 
+def top_movies(by_movie: DataFrame, dim_movies: DataFrame, k: int = TOP_MOVIES) -> DataFrame:
+    """The same report from the ratings' rollup per movie, of movies in the dimension.
+
+    The top ``k`` are picked before anything is looked up; only their titles are.
+    """
+    top = (by_movie.select("movie_id", F.col("n").alias("total_ratings"), (F.col("s") / F.col("n")).alias("avg_rating"))
+           .orderBy(F.col("total_ratings").desc(), F.col("movie_id").asc()).limit(k))
+    titles = (dim_movies.join(F.broadcast(top.select("movie_id")), "movie_id", "left_semi")  # k rows
+              .groupBy("movie_id").agg(F.first("title", ignorenulls=True).alias("title")))
+    return (top.join(titles, "movie_id").select("movie_id", "title", "total_ratings", "avg_rating", movie_quality_tier(F.col("avg_rating")).alias("quality_tier"))
+            .orderBy(F.col("total_ratings").desc(), F.col("movie_id").asc()))
+
+
 def report_quality_tiers(mart_movie: DataFrame) -> DataFrame:
     return mart_movie.groupBy("quality_tier").agg(F.count(F.lit(1)).alias("movies"),
                                                   F.sum("total_ratings").alias("ratings"))

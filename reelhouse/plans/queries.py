@@ -264,7 +264,7 @@ def _set_union_distinct(L: Layers):
 
 @query("report_top_movies")
 def _report_top_movies(L: Layers):
-    return reports.report_top_movies(L.mart_movie())
+    return reports.top_movies(facts.rating_rollup(L.fact_ratings(), "movie_id"), L.dim_movies)
 
 
 @query("report_quality_tiers")
