@@ -1,7 +1,7 @@
 """Write PLANS.md: the physical plan of each main operator as the build runs
 it (over stored Parquet tables), with a count of exchanges and join kinds.
 
-    python tools/explain_plans.py [/root/testdata/sf0.01] > PLANS.md
+    python tools/explain_plans.py [/root/testdata/sf0.1] > PLANS.md
 """
 
 from __future__ import annotations
@@ -24,8 +24,8 @@ def formatted(df) -> str:
 
 
 def main() -> None:
-    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    from reelhouse.operators import checks, dims, facts, marts, scd2, upsert
+    sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
+    from reelhouse.operators import checks, dims, facts, marts, rollups, scd2, upsert
     from reelhouse.plans.build import build_gold, build_silver
     from reelhouse.plans.tables import TableStore
     from reelhouse.session import build_session, checkpoint_dir
@@ -48,6 +48,9 @@ def main() -> None:
         ("mart_user_behavior", marts.mart_user_behavior(r("fact_ratings"), r("fact_tags"), r("dim_movies"))),
         ("mart_genre_performance", marts.mart_genre_performance(
             r("fact_ratings"), r("fact_tags"), r("dim_movies"))),
+        ("mart_genre_performance from the years' rollups", marts.genre_mart(
+            rollups.by_movie(r("rollup_movies")), rollups.by_genre_raters(r("rollup_genre_raters")), r("fact_tags"), r("dim_movies"))),
+        ("rollup of one year's raters", rollups.genre_raters(r("fact_ratings").filter("year = 1997"), r("dim_movies"))),
         ("upsert of one year into its partition", upsert.upsert(
             r("fact_ratings").filter("year = 1997"),
             facts.fact_ratings(r("stg_ratings"), r("dim_movies"), None, [1997]))),
