@@ -18,7 +18,9 @@ As the tiktoken library does, the text is cut by a pattern first and each
 match encoded on its own; a match that is a token itself is that token.
 
 Defined cases: null text counts as empty, which has no tokens.  Repeated rows
-each get a result row.  Texts are never cut but by the pattern.
+each get a result row; an empty table gives none.  Texts of any length are
+encoded whole, never cut but by the pattern; a match's time and memory grow with
+its length.  Other columns, whatever their names, take no part.
 """
 
 from __future__ import annotations

@@ -20,7 +20,8 @@ nearest is found, a further round looks along as many other curves, up to
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components take no part, as queries or candidates; vectors are compared within
 one dimension; a row repeating an id and vector counts once; ties go to the
-smaller id; fewer candidates than asked for give fewer rows.
+smaller id; fewer candidates than asked for give fewer rows; an empty table gives
+none; other columns, whatever their names, take no part.
 """
 
 from __future__ import annotations

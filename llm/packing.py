@@ -15,7 +15,8 @@ Only texts of more tokens than a sequence holds are cut, into full pieces and
 one rest; full pieces are sequences of their own.
 
 Defined cases: null text counts as empty and has the end id alone; repeated
-rows are packed each; an empty table gives an empty one.
+rows are packed each; an empty table gives an empty one; texts of any length are
+encoded whole; other columns, whatever their names, take no part.
 """
 
 from __future__ import annotations

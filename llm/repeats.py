@@ -24,7 +24,9 @@ that needs, blockwise, in buckets that a cover sample defines:
 
 Defined cases: null text counts as empty; shorter texts than SIZE bytes stay;
 rows that repeat id and text are texts of their own, so theirs repeat; a cut
-may split a character, so what is kept is binary.  Strings are told apart by
+may split a character, so what is kept is binary; texts of any length are cut
+whole; an empty table gives none; other columns, whatever their names, take no
+part.  Strings are told apart by
 two 64-bit hashes (the rank's and their own).
 """
 

@@ -17,6 +17,8 @@ Defined cases: null html is an empty payload; payloads under ``min_bytes`` are
 always responses; rows repeating an id and payload are all of the type that
 id has; a page without id is a response unless a page with an id has the same
 payload (then a revisit of it).  Control characters in a url are percent-coded.
+Payloads of any length are written and read whole; an empty table gives no
+records; other columns, whatever their names, take no part.
 """
 
 from __future__ import annotations

@@ -490,8 +490,9 @@ def test_line_dedup(spark):
     texts_ = [t for t in fixtures.texts() if t is None or len(t) < 2500]
     texts_ += [long, "x " + long + " y", long.upper() + "  ", long.replace("stone", "stones"), fixtures.prose(71, 90), "short line\nshort line", long + "\n" + long]
     df = fixtures.documents(spark, texts_)
-    out = lines.line_dedup(df)
-    assert out.columns == [*df.columns, "__lines", "__gone"]
+    df = df.selectExpr("*", "1 AS id", "2 AS hash", "3 AS set")  # names that the operator uses inside
+    out = lines.line_dedup(df, counts=("n", "gone"))
+    assert out.columns == [*df.columns, "n", "gone"]
     assert Counter((r["doc_id"], r["text"]) for r in out.collect()) == plain_line_dedup(fixtures.plain(df))
     assert lines.line_dedup(df.limit(0)).count() == 0
 
@@ -512,9 +513,9 @@ def test_wide_line_dedup_finds_changed_words_at_every_length(spark):
     # Against edit similarity alone: the lines that have a similar one before them.
     want = {i for i in range(len(texts_)) if any(lines.similar(texts_[i], texts_[j]) for j in range(i))}
     df = spark.createDataFrame(list(enumerate(texts_)), "doc_id long, text string")
-    gone = {x["doc_id"] for x in lines.line_dedup(df, wide=True).filter("__gone > 0").collect()}
+    gone = {x["doc_id"] for x in lines.line_dedup(df, wide=True, counts=("n", "gone")).filter("gone > 0").collect()}
     assert gone <= want and len(gone) >= 0.95 * len(want)
-    assert lines.line_dedup(df).filter("__gone > 0").count() < 0.7 * len(want)
+    assert lines.line_dedup(df, counts=("n", "gone")).filter("gone > 0").count() < 0.7 * len(want)
     assert lines.line_dedup(df.limit(0), wide=True).count() == 0
 
 
