@@ -45,74 +45,83 @@ END_ID = 1
 #: Items of a group, about; the share of a bin under which it's packed again.
 GROUP = 4096
 OPEN = 0.99
-MEMO = 250_000
-SLICE = 128
+#: Words of a generation of the memo, about; rows encoded at a time.
+MEMO = 500_000
+SLICE = 256
 #: What str.split() takes for white space and the tokenizer's \s doesn't, and words as the latter cuts them.
 ODD_SPACE = "\x1c\x1d\x1e\x1f"
 WORD = re.compile("(?:[^\\s]|[\x1c-\x1f])+")
 
 
-class Words(dict):
+class Words:
     """Encoded words of a tokenizer that looks at each white-space-delimited word alone.
 
     Most new words are Latin letters and at most one punctuation mark, which the
     tokenizer would lower-case and cut apart, then encode in the byte alphabet.
     That is done here for all of them, and the letters go straight to its model;
     any other word goes through the whole tokenizer.  A text that holds an added
-    token's string goes to the tokenizer whole, in its default setting.
+    token's string goes to the tokenizer whole, in its default setting.  Words
+    are kept in two generations: once the memo is full, it's the old one.
     """
 
     MARKS = ".,;:!?"
 
     def __init__(self, path: str):
-        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.whole, self.tokenizer, self.model = (Tokenizer.from_file(path) for _ in range(3))
-        added = [re.escape(t.content) for t in self.whole.get_added_tokens_decoder().values()]
-        self.added = re.compile("|".join(added) or "(?!)")
+        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.tokenizer.encode_special_tokens = True
         self.model.normalizer = self.model.pre_tokenizer = None
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]  # fixed values: bytes that stand for themselves
         others = [b for b in range(256) if b not in printable]
-        self.alphabet = {b: 256 + n for n, b in enumerate(others)}
+        self.alphabet = "".join(chr(b if b in printable else 256 + others.index(b)) for b in range(256))
         self.marks = {m: self._ids(self.tokenizer, [m])[0] for m in self.MARKS} | {"": b""}
-        self.large: list[str] = []
+        self.known: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
+        self.large: list[str] = []
 
     @staticmethod
     def _ids(tokenizer: Tokenizer, words: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
 
     def encoded(self, texts: list[str]) -> list[bytes]:
-        whole = [self.added.search(t) is not None for t in texts]
+        whole = [any(a in t for a in self.added) for t in texts]
         cut = [() if w else WORD.findall(t) if any(c in t for c in ODD_SPACE) else t.split() for t, w in zip(texts, whole)]
-        self.learn(set().union(*cut))
-        return [self._ids(self.whole, [t])[0] if w else b"".join(map(self.__getitem__, c)) for t, c, w in zip(texts, cut, whole)]
+        for w in self.large:  # of the slice before
+            self.known.pop(w, None)
+        if len(self.known) > MEMO:
+            self.old, self.known = self.known, {}
+        known = self.known
+        parts = [list(map(known.get, c)) for c in cut]
+        gaps = [[i for i, x in enumerate(p) if x is None] for p in parts]
+        self.learn({c[i] for c, g in zip(cut, gaps) for i in g})
+        for c, p, g in zip(cut, parts, gaps):
+            for i in g:
+                p[i] = known[c[i]]
+        return [self._ids(self.whole, [t])[0] if w else b"".join(p) for t, p, w in zip(texts, parts, whole)]
 
     def learn(self, words: set[str]) -> None:
-        for w in self.large:
-            self.pop(w, None)
-        new = words.difference(self)
-        if len(self) + len(new) > MEMO:  # the words of the memo before this one are still known
-            self.old = dict(self)
-            self.clear()
-            new = words
-        again = new.intersection(self.old)
-        self.update(zip(again, map(self.old.__getitem__, again)))
-        new = new.difference(again)
-        self.large = [w for w in new if len(w) > 256]
+        known, old, alphabet = self.known, self.old, self.alphabet
+        again = {w: old[w] for w in words if w in old}
+        known.update(again)
         letters, odd = [], []
-        for w in new:
-            mark = w[-1] if w[-1] in self.MARKS else ""
-            core = (w[:-1] if mark else w).lower()
-            if core.isalpha() and (core.isascii() or max(core) <= "\u017f"):  # composed Latin letters
-                letters.append((w, core, mark))
+        for w in words.difference(again) if again else words:
+            mark = "" if w.isalpha() else w[-1]
+            core = w[:-1] if mark else w
+            if (not mark or mark in self.MARKS and core.isalpha()) and (core := core.lower()).isalpha() and (core.isascii() or max(core) <= "\u017f"):
+                letters.append((w, core, mark))  # composed Latin letters
             else:
                 odd.append(w)
-        cores = list({core for _, core, _ in letters}.difference(self))
-        self.update(zip(cores, self._ids(self.model, [c.encode().decode("latin-1").translate(self.alphabet) for c in cores])))
-        self.update([(w, self[core] + self.marks[mark]) for w, core, mark in letters])
-        self.update(zip(odd, self._ids(self.tokenizer, odd)))
+        new = {core for _, core, _ in letters if core not in known}
+        cores = {c: old[c] for c in new if c in old}
+        new = list(new.difference(cores))
+        bytes_ = [c if c.isascii() else c.encode().decode("latin-1").translate(alphabet) for c in new]
+        cores.update(zip(new, self._ids(self.model, bytes_)))
+        known.update(cores)
+        known.update([(w, known[core] + self.marks[mark]) for w, core, mark in letters if mark or w != core])
+        known.update(zip(odd, self._ids(self.tokenizer, odd)))
+        self.large = [w for w in words if len(w) > 256]
+        self.large += [c for _, c, _ in letters if len(c) > 256]
 
 
 @lru_cache(maxsize=2)
