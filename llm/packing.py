@@ -104,24 +104,33 @@ class Words:
         known, old, alphabet = self.known, self.old, self.alphabet
         again = {w: old[w] for w in words if w in old}
         known.update(again)
-        letters, odd = [], []
+        marks, letters, odd, plain = self.marks, [], [], set()
         for w in words.difference(again) if again else words:
-            mark = "" if w.isalpha() else w[-1]
-            core = w[:-1] if mark else w
-            if (not mark or mark in self.MARKS and core.isalpha()) and (core := core.lower()).isalpha() and (core.isascii() or max(core) <= "\u017f"):
-                letters.append((w, core, mark))  # composed Latin letters
+            if w.isalpha():
+                core, mark = w, ""
             else:
+                core, mark = w[:-1], w[-1]
+                if mark not in marks or not core.isalpha():
+                    odd.append(w)
+                    continue
+            low = core.lower()
+            if not core.isascii() and (not low.isalpha() or max(low) > "\u017f"):  # not composed Latin letters
                 odd.append(w)
-        new = {core for _, core, _ in letters if core not in known}
-        cores = {c: old[c] for c in new if c in old}
-        new = list(new.difference(cores))
+                continue
+            if low not in known:
+                plain.add(low)
+            if low is not w:
+                letters.append((w, low, marks[mark]))
+        cores = {c: old[c] for c in plain if c in old}
+        new = list(plain.difference(cores) if cores else plain)
         bytes_ = [c if c.isascii() else c.encode().decode("latin-1").translate(alphabet) for c in new]
-        cores.update(zip(new, self._ids(self.model, bytes_)))
         known.update(cores)
-        known.update([(w, known[core] + self.marks[mark]) for w, core, mark in letters if mark or w != core])
+        known.update(zip(new, self._ids(self.model, bytes_)))
+        for w, low, more in letters:
+            known[w] = known[low] + more
         known.update(zip(odd, self._ids(self.tokenizer, odd)))
-        self.large = [w for w in words if len(w) > 256]
-        self.large += [c for _, c, _ in letters if len(c) > 256]
+        self.large = [w for held in (new, odd) for w in held if len(w) > 256]
+        self.large += [w for w, low, _ in letters if len(low) > 255]
 
 
 @lru_cache(maxsize=2)
