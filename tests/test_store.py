@@ -411,8 +411,8 @@ def test_joins_give_the_same_rows_with_and_without_broadcasts(spark):
     for k, v in off.items():
         spark.conf.set(k, v)
     try:
-        plan = E.queries()["fact_ratings"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
-        assert "BroadcastHashJoin" not in plan
+        plan = E.queries()["mart_user_behavior"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
         assert run() == small
     finally:
         for k in off:
