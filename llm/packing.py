@@ -68,10 +68,11 @@ class Words:
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        self.whole, self.tokenizer, self.model = (Tokenizer.from_file(path) for _ in range(3))
+        self.whole = Tokenizer.from_file(path)
+        #: The same model without added tokens, and without what comes before it.
+        self.tokenizer, self.model = Tokenizer(self.whole.model), Tokenizer(self.whole.model)
+        self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.whole.normalizer, self.whole.pre_tokenizer
         self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.tokenizer.encode_special_tokens = True
-        self.model.normalizer = self.model.pre_tokenizer = None
         printable = [*range(33, 127), *range(161, 173), *range(174, 256)]  # fixed values: bytes that stand for themselves
         others = [b for b in range(256) if b not in printable]
         self.alphabet = "".join(chr(b if b in printable else 256 + others.index(b)) for b in range(256))
@@ -143,34 +144,58 @@ def tokenise(docs: DataFrame, path: str | None = None, end_id: int = END_ID) ->
     path = path or public_tokenizers.path(VOCABULARY)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, end = words_of(path), np.array([end_id], "<u4").tobytes()
-        for whole in batches:
-            for at in range(0, whole.num_rows, SLICE):
-                b = whole.slice(at, SLICE)
-                ids = [x + end for x in memo.encoded(b.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+        for ids_of, ids in _tokens(batches, path, end_id):
+            yield pa.RecordBatch.from_arrays([ids_of, pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
     rows = docs.select("doc_id", text_of().alias("text"))
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids binary")
 
 
+def _tokens(batches: Iterable[pa.RecordBatch], path: str, end_id: int) -> Iterator[tuple[pa.Array, list[bytes]]]:
+    """The ids of the batches' texts, some rows at a time, with the rows' doc_ids."""
+    memo, end = words_of(path), np.array([end_id], "<u4").tobytes()
+    for whole in batches:
+        for at in range(0, whole.num_rows, SLICE):
+            b = whole.slice(at, SLICE)
+            yield b.column(0), [x + end for x in memo.encoded(b.column(1).to_pylist())]
+
+
+PIECES = "piece int, start long, length long, ids_crc32 long"
+
+
+def _cut(ids_of: pa.Array, ids: Iterable[bytes], capacity: int) -> pa.RecordBatch:
+    """The pieces of rows' ids."""
+    rows, out = [], []
+    for i, data in enumerate(map(memoryview, ids)):
+        for start in range(0, len(data) // 4, capacity):
+            part = data[4 * start:4 * (start + capacity)]
+            rows.append(i)
+            out.append((start // capacity, start, len(part) // 4, zlib.crc32(part)))
+    cols = [pa.array(c) for c in np.array(out, np.int64).reshape(-1, 4).T]
+    return pa.RecordBatch.from_arrays([ids_of.take(pa.array(rows, pa.int64())), cols[0].cast(pa.int32()), *cols[1:]],
+                                      ["doc_id", "piece", "start", "length", "ids_crc32"])
+
+
 def pieces(tokens: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of each row's ids, cut only where longer than the capacity."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows, out = [], []
-            for i, ids in enumerate(b.column(1)):
-                data = memoryview(ids.as_buffer())
-                for start in range(0, len(data) // 4, capacity):
-                    part = data[4 * start:4 * (start + capacity)]
-                    rows.append(i)
-                    out.append((start // capacity, start, len(part) // 4, zlib.crc32(part)))
-            cols = [pa.array(c) for c in np.array(out, np.int64).reshape(-1, 4).T]
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(rows, pa.int64())), cols[0].cast(pa.int32()), *cols[1:]],
-                                             ["doc_id", "piece", "start", "length", "ids_crc32"])
+            yield _cut(b.column(0), (x.as_buffer() for x in b.column(1)), capacity)
 
     kind = tokens.schema["doc_id"].dataType.simpleString()
-    return tokens.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long")
+    return tokens.select("doc_id", "ids").mapInArrow(run, f"doc_id {kind}, {PIECES}")
+
+
+def document_pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None, end_id: int = END_ID) -> DataFrame:
+    """The :func:`pieces` of each row's tokens, the tokens themselves never leaving the worker."""
+    path = path or public_tokenizers.path(VOCABULARY)
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids_of, ids in _tokens(batches, path, end_id):
+            yield _cut(ids_of, ids, capacity)
+
+    rows = docs.select("doc_id", text_of().alias("text"))
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, {PIECES}")
 
 
 def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
@@ -295,7 +320,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group: int = GROUP) -> Data
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
     """Every row's pieces with the sequence and the offset they go to."""
-    return pack(pieces(tokenise(docs, path), capacity), capacity)
+    return pack(document_pieces(docs, capacity, path), capacity)
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
