@@ -33,6 +33,7 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -45,9 +46,9 @@ END_ID = 1
 #: Items of a group, about; the share of a bin under which it's packed again.
 GROUP = 4096
 OPEN = 0.99
-#: Words of a generation of the memo, about; rows encoded at a time.
+#: Words of a generation of the memo, about; rows, and about how many bytes of text, encoded at a time.
 MEMO = 500_000
-SLICE = 256
+SLICE, BYTES = 2048, 4_000_000
 #: What str.split() takes for white space and the tokenizer's \s doesn't, and words as the latter cuts them.
 ODD_SPACE = "\x1c\x1d\x1e\x1f"
 WORD = re.compile("(?:[^\\s]|[\x1c-\x1f])+")
@@ -155,8 +156,11 @@ def _tokens(batches: Iterable[pa.RecordBatch], path: str, end_id: int) -> Iterat
     """The ids of the batches' texts, some rows at a time, with the rows' doc_ids."""
     memo, end = words_of(path), np.array([end_id], "<u4").tobytes()
     for whole in batches:
-        for at in range(0, whole.num_rows, SLICE):
-            b = whole.slice(at, SLICE)
+        at, sizes = 0, pc.binary_length(whole.column(1)).to_numpy(zero_copy_only=False).cumsum()
+        while at < whole.num_rows:
+            stop = int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + BYTES, "right"))
+            b = whole.slice(at, min(max(stop - at, 1), SLICE))
+            at += b.num_rows
             yield b.column(0), [x + end for x in memo.encoded(b.column(1).to_pylist())]
 
 
