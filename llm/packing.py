@@ -26,8 +26,11 @@ import re
 import zlib
 from array import array
 from bisect import bisect_left, insort
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import compress, repeat
+from operator import is_
 
 import numpy as np
 import pandas as pd
@@ -95,7 +98,7 @@ class Words:
             self.old, self.known = self.known, {}
         known = self.known
         parts = [list(map(known.get, c)) for c in cut]
-        gaps = [[i for i, x in enumerate(p) if x is None] for p in parts]
+        gaps = [list(compress(range(len(p)), map(is_, p, repeat(None)))) for p in parts]  # where a word is new
         self.learn({c[i] for c, g in zip(cut, gaps) for i in g})
         for c, p, g in zip(cut, parts, gaps):
             for i in g:
@@ -206,7 +209,7 @@ def best_fit(lengths: list[int], capacity: int) -> list[list[int]]:
     """Bins as lists of item numbers, by best fit decreasing."""
     bins: list[list[int]] = []
     room: list[tuple[int, int]] = []  # (room left, bin), sorted
-    for i in sorted(range(len(lengths)), key=lambda i: -lengths[i]):
+    for i in sorted(range(len(lengths)), key=lengths.__getitem__, reverse=True):
         at = bisect_left(room, (lengths[i], -1))
         if at < len(room):
             left, k = room.pop(at)
@@ -224,7 +227,7 @@ def _choices(items: list[int], lengths: list[int], most: int) -> dict[int, tuple
     by = {lengths[i]: i for i in items}
     out = {n: (i,) for n, i in by.items()}
     if most > 1:
-        counts = pd.Series([lengths[i] for i in items]).value_counts()
+        counts = Counter(lengths[i] for i in items)
         for a, i in by.items():
             for b, j in by.items():
                 if a < b:
