@@ -13,7 +13,10 @@ business key:
 
 NULL keys never match (plain ``=``), so NULL-key rows are always kept or
 inserted.  One target row matched by two updates is an error in MERGE
-(:func:`multi_matched_keys` finds them; the table writer raises).
+(:func:`multi_matched_keys` finds them; the table writer raises).  Updates that
+are equal in every column don't contradict each other: with ``alike`` they
+update each target row of their key once, and are all inserted if there's none,
+so that a load that repeats rows can be merged again.
 
 Plan and cost: each join shuffles its sides on the key.  The anti join's
 build side is the update *keys* only and the left join's build side the
@@ -38,17 +41,25 @@ def _match_condition(keys, left: str, right: str) -> Column:
     return cond
 
 
-def upsert(target: DataFrame, updates: DataFrame, keys=FACT_RATINGS_KEYS) -> DataFrame:
-    """The merged relation (lazy).  Column order: target's, then new columns."""
+def upsert(target: DataFrame, updates: DataFrame, keys=FACT_RATINGS_KEYS, alike: bool = False) -> DataFrame:
+    """The merged relation (lazy).  Column order: target's, then new columns.
+
+    ``alike``: equal update rows count as one where they match.
+    """
     keys = list(keys)
     t_cols, s_cols = target.columns, updates.columns
     out_cols = t_cols + [c for c in s_cols if c not in t_cols]
     kept = target.join(updates.select(*keys), keys, "left_anti")
     t_only = [c for c in t_cols if c not in s_cols]
     t = target.select(*keys, *t_only).alias("t")
-    s = updates.alias("s")
-    written = s.join(t, _match_condition(keys, "s", "t"), "left_outer").select(
-        *[F.col(f"s.{c}") if c in s_cols else F.col(f"t.{c}") for c in out_cols])
+    # By key first: the grouping and the join then need one shuffle.
+    s = (updates.repartition(*keys).groupBy(*s_cols).agg(F.count(F.lit(1)).alias("__times")) if alike else updates).alias("s")
+    written = s.join(t, _match_condition(keys, "s", "t"), "left_outer")
+    values = [F.col(f"s.{c}") if c in s_cols else F.col(f"t.{c}") for c in out_cols]
+    if alike:
+        times = F.when(F.col(f"t.{keys[0]}").isNull(), F.col("__times")).otherwise(1)
+        values.append(F.explode(F.sequence(F.lit(1).cast("bigint"), times)).alias("__time"))
+    written = written.select(*values)
     typed = [F.lit(None).cast(f.dataType).alias(f.name) for f in updates.schema.fields
              if f.name not in t_cols]
     return kept.select(*t_cols, *typed).unionByName(written.select(*out_cols))
@@ -57,6 +68,5 @@ def upsert(target: DataFrame, updates: DataFrame, keys=FACT_RATINGS_KEYS) -> Dat
 def multi_matched_keys(target: DataFrame, updates: DataFrame, keys=FACT_RATINGS_KEYS) -> DataFrame:
     """Keys where more than one update row matches a target row (MERGE fails)."""
     keys = list(keys)
-    matching = updates.select(*keys).join(target.select(*keys).distinct(), keys, "left_semi")
-    return matching.groupBy(*keys).agg(F.count(F.lit(1)).alias("update_rows")) \
-                   .filter(F.col("update_rows") > 1)
+    repeated = updates.groupBy(*keys).agg(F.count(F.lit(1)).alias("update_rows")).filter(F.col("update_rows") > 1)
+    return repeated.join(target.select(*keys), keys, "left_semi")

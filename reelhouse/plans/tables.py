@@ -309,7 +309,9 @@ class TableStore:
         all of them are rewritten, so that few names are kept as gone.  The
         updates are evaluated once, into the shared checkpoint folder, which is
         emptied again after the commit.  The first load writes everything
-        without de-duplication.  ``years`` names the partitions the caller means
+        without de-duplication.  Updates equal in every column count as one
+        where they match, different ones of a key that is there are refused.
+        ``years`` names the partitions the caller means
         to touch; updates outside them are refused.
         """
         part, base = PARTITIONED.get(name, "year"), self._adopt(name)
@@ -330,10 +332,9 @@ class TableStore:
                 if hit.get(p) and len(hit[p]) + before - len(files) >= REWRITE * before:
                     hit[p] = set(files)
             target = self._load(name, base, [there[p][f] for p, names in hit.items() for f in names]).select(*base.schema.names)
-            if validate:
-                self._assert_single_matches(target, staged, keys)
+            alike = validate and self._repeated(target, staged, keys)
             before = target.count()  # from the footers of the files touched
-            merged = upsert_ops.upsert(target, staged, keys)
+            merged = upsert_ops.upsert(target, staged, keys, alike)
             merged = merged.select(*[c for c in merged.columns if c != part], part)
             commit, made, seen = self._write(name, merged.hint("rebalance", part), [part])
             after, parts = int(seen["n"]), {p: dict(s) for p, s in base.parts.items()}
@@ -374,17 +375,20 @@ class TableStore:
         return out
 
     @staticmethod
-    def _assert_single_matches(target: DataFrame, updates: DataFrame, keys) -> None:
+    def _repeated(target: DataFrame, updates: DataFrame, keys) -> bool:
+        """Do the updates repeat a key?  Different rows of one that a target row has are refused."""
         keys = list(keys)
         # Cheap pass first: without duplicate keys among the updates no target
         # row can be matched twice.
         dup = updates.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
         if dup.isEmpty():
-            return
-        bad = upsert_ops.multi_matched_keys(target, updates, keys)
-        if not bad.isEmpty():
+            return False
+        rows = updates.repartition(*keys).distinct()
+        bad = upsert_ops.multi_matched_keys(target, rows, keys)
+        if first := bad.take(5):
             raise ValueError("MERGE: a target row is matched by more than one update row; "
-                             "first keys: " + str([tuple(r) for r in bad.take(5)]))
+                             "first keys: " + str([tuple(r) for r in first]))
+        return True
 
     # -- B4 --------------------------------------------------------------------
     def _is_snapshot(self, name: str) -> bool:

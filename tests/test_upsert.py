@@ -91,3 +91,26 @@ def test_store_merge_refuses_multi_match(spark, scratch):
     dup = frame(spark, [(1, 1, 5.0, ts(2000), 2000), (1, 1, 4.0, ts(2000), 2000)])
     with pytest.raises(ValueError):
         store.merge_upsert("fact_ratings", dup)
+
+
+def test_store_merge_takes_equal_updates_as_one(spark, scratch):
+    store = TableStore(spark, scratch)
+    first = [(1, 1, 3.0, ts(2000), 2000)] * 3 + [(2, 1, 4.0, ts(2000), 2000), (None, 1, 2.0, ts(2000), 2000)]
+    store.merge_upsert("fact_ratings", frame(spark, first))
+    new = [(1, 1, 5.0, ts(2000), 2000)] * 2 + [(3, 3, 1.0, ts(2001), 2001)] * 2 + [(None, 1, 2.0, ts(2000), 2000)] * 2
+    rep = store.merge_upsert("fact_ratings", frame(spark, new))
+    got = store.read("fact_ratings").select("user_id", "movie_id", "rating", "created_at", "year")
+    want = [(1, 1, 5.0, ts(2000), 2000)] * 3 + [first[3], first[4]] + new[2:]
+    assert sorted(map(str, rows_of(got))) == sorted(map(str, want)) and rep.row_count == len(want)
+
+
+def test_store_merge_of_a_load_that_repeats_rows_changes_nothing(spark, scratch):
+    store = TableStore(spark, scratch)
+    load = frame(spark, [(1, 1, 3.0, ts(2000), 2000)] * 2 + [(2, 1, 4.0, ts(2000), 2000)])
+    for _ in range(3):
+        store.merge_upsert("fact_ratings", load, years=(2000,))
+    assert rows(store.read("fact_ratings").select(*load.columns)) == rows(load)
+
+
+def rows_of(df):
+    return [tuple(r) for r in df.collect()]
