@@ -24,15 +24,15 @@ def movies(fact_ratings: DataFrame) -> DataFrame:
     return rating_rollup(fact_ratings, "year", "movie_id")
 
 
-def genre_raters(fact_ratings: DataFrame, dim_movies: DataFrame) -> DataFrame:
-    """(year, genres, bucket, raters): the users who rated a movie of the genre, as bitmaps.
+def genre_raters(fact_ratings: DataFrame, dim_movies: DataFrame, *by: str) -> DataFrame:
+    """(*by, genres, bucket, raters): the users who rated a movie of the genre, as bitmaps.
 
     The bitmaps are made map-side, so what is shuffled is bitmaps, not (genre, user) pairs.
     """
     genres = dim_movies.select("movie_id", "genres").distinct()
     user = F.col("user_id").cast("bigint")
-    rated = fact_ratings.select("year", "movie_id", user.alias("user_id")).join(genres, "movie_id")
-    return rated.groupBy("year", "genres", F.bitmap_bucket_number("user_id").alias("bucket")).agg(
+    rated = fact_ratings.select(*by, "movie_id", user.alias("user_id")).join(genres, "movie_id")
+    return rated.groupBy(*by, "genres", F.bitmap_bucket_number("user_id").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("user_id")).alias("raters"))
 
 

@@ -22,7 +22,7 @@ FACT = "fact_ratings"
 TABLES: dict[str, tuple[Callable[..., DataFrame], bool]] = {
     "rollup_movies": (rollups.movies, False),
     "rollup_users": (rollups.users, False),
-    "rollup_genre_raters": (rollups.genre_raters, True),
+    "rollup_genre_raters": (lambda fact, dim: rollups.genre_raters(fact, dim, "year"), True),
     "rollup_user_genres": (rollups.user_genres, True),
 }
 

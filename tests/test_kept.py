@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from reelhouse.operators import marts
 from reelhouse.plans.queries import Layers, registry
 from reelhouse.session import CODEGEN_LIMIT, HOTSPOTS_LIMIT, SPARKS_LIMIT, ensure_session_defaults
 
@@ -47,3 +48,14 @@ def test_generated_methods_are_kept_small_unless_set_otherwise(spark):
             assert spark.conf.get(CODEGEN_LIMIT) == wanted
     finally:
         spark.conf.set(CODEGEN_LIMIT, before)
+
+
+def test_raters_need_one_shuffle_of_the_fact(spark):
+    fact = spark.createDataFrame([(u, m, 3.0, dt.datetime(2000, 1, 1)) for u in (1, 2, 40000, 40000) for m in (1, 2)] + [(7, 3, 4.0, dt.datetime(2000, 1, 1))],
+                                 "user_id int, movie_id int, rating double, created_at timestamp")
+    dim = spark.createDataFrame([(1, "t", 2000, "a"), (1, "t", 2000, "a"), (2, "t", 2000, "a"), (2, "t", 2000, "b"), (3, "t", 2000, "b")],
+                                "movie_id int, title string, year int, genres string")
+    mart = marts.mart_genre_performance(fact, fact.selectExpr("user_id", "movie_id", "'x' AS tag", "created_at"), dim)
+    assert {r.genres: r.unique_raters for r in mart.collect()} == {"a": 3, "b": 4}
+    plan = mart._jdf.queryExecution().optimizedPlan().toString()
+    assert "bitmap_construct_agg" in plan
