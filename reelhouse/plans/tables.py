@@ -310,7 +310,8 @@ class TableStore:
         updates are evaluated once, into the shared checkpoint folder, which is
         emptied again after the commit.  The first load writes everything
         without de-duplication.  Updates equal in every column count as one
-        where they match, different ones of a key that is there are refused.
+        where they match; different ones of a key that is there replace its rows
+        if they are as many, and are refused otherwise.
         ``years`` names the partitions the caller means
         to touch; updates outside them are refused.
         """
@@ -332,9 +333,9 @@ class TableStore:
                 if hit.get(p) and len(hit[p]) + before - len(files) >= REWRITE * before:
                     hit[p] = set(files)
             target = self._load(name, base, [there[p][f] for p, names in hit.items() for f in names]).select(*base.schema.names)
-            alike = validate and self._repeated(target, staged, keys)
+            alike, whole = self._repeated(target, staged, keys) if validate else (False, False)
             before = target.count()  # from the footers of the files touched
-            merged = upsert_ops.upsert(target, staged, keys, alike)
+            merged = upsert_ops.upsert(target, staged, keys, alike, whole)
             merged = merged.select(*[c for c in merged.columns if c != part], part)
             commit, made, seen = self._write(name, merged.hint("rebalance", part), [part])
             after, parts = int(seen["n"]), {p: dict(s) for p, s in base.parts.items()}
@@ -375,20 +376,22 @@ class TableStore:
         return out
 
     @staticmethod
-    def _repeated(target: DataFrame, updates: DataFrame, keys) -> bool:
-        """Do the updates repeat a key?  Different rows of one that a target row has are refused."""
+    def _repeated(target: DataFrame, updates: DataFrame, keys) -> tuple[bool, bool]:
+        """Do the updates repeat a key, and do they differ in one?  Where it's open which of them a target row gets they are refused."""
         keys = list(keys)
         # Cheap pass first: without duplicate keys among the updates no target
         # row can be matched twice.
         dup = updates.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
         if dup.isEmpty():
-            return False
-        rows = updates.repartition(*keys).distinct()
-        bad = upsert_ops.multi_matched_keys(target, rows, keys)
+            return False, False
+        differing = upsert_ops.differing_keys(updates, keys)
+        if differing.isEmpty():
+            return True, False
+        bad = upsert_ops.open_keys(target, updates, differing, keys).select(*keys)
         if first := bad.take(5):
             raise ValueError("MERGE: a target row is matched by more than one update row; "
                              "first keys: " + str([tuple(r) for r in first]))
-        return True
+        return True, True
 
     # -- B4 --------------------------------------------------------------------
     def _is_snapshot(self, name: str) -> bool:

@@ -112,5 +112,25 @@ def test_store_merge_of_a_load_that_repeats_rows_changes_nothing(spark, scratch)
     assert rows(store.read("fact_ratings").select(*load.columns)) == rows(load)
 
 
+def test_store_merge_of_a_load_with_several_ratings_of_a_key(spark, scratch):
+    store = TableStore(spark, scratch)
+    first = [(1, 1, 3.0, ts(2000), 2000)] * 2 + [(1, 1, 4.0, ts(2000), 2000), (2, 1, 4.0, ts(2000), 2000)] + [(3, 1, 2.0, ts(2000), 2000)] * 2
+    store.merge_upsert("fact_ratings", frame(spark, first))
+    new = [(u, m, r + 0.5, t, y) for u, m, r, t, y in first] + [(4, 1, 1.0, ts(2000), 2000), (4, 1, 2.0, ts(2000), 2000)]
+    for _ in range(2):
+        rep = store.merge_upsert("fact_ratings", frame(spark, new))
+        assert rows(store.read("fact_ratings").select(*SCHEMA.replace(",", "").split()[::2])) == sorted(new) and rep.row_count == len(new)
+
+
+def test_store_merge_refuses_what_it_would_have_to_guess(spark, scratch):
+    store, key = TableStore(spark, scratch), (1, 1, 3.0, ts(2000), 2000)
+    store.merge_upsert("fact_ratings", frame(spark, [(*key, "a"), (*key, "b"), (2, *key[1:], "c"), (2, *key[1:], "c")], SCHEMA + ", note string"))
+    for user, ratings in ((1, (1.0, 2.0)), (2, (1.0, 2.0, 2.0))):
+        with pytest.raises(ValueError):
+            store.merge_upsert("fact_ratings", frame(spark, [(user, 1, r, ts(2000), 2000) for r in ratings]))
+    store.merge_upsert("fact_ratings", frame(spark, [(2, 1, 1.0, ts(2000), 2000), (2, 1, 2.0, ts(2000), 2000)]))
+    assert sorted((r.rating, r.note) for r in store.read("fact_ratings").filter("user_id = 2").collect()) == [(1.0, "c"), (2.0, "c")]
+
+
 def rows_of(df):
     return [tuple(r) for r in df.collect()]
