@@ -1,7 +1,9 @@
 """Each document operator against a plain version, over the odd cases of fixtures.py."""
 
 import hashlib
+import os
 import random
+import re
 import zlib
 from array import array
 from collections import Counter, defaultdict
@@ -11,7 +13,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
-from llm import bpe, components, lines, neighbours, packing, pii, quality, repeats, secrets, simhash, warc
+from llm import bpe, common, components, lines, neighbours, packing, pii, quality, repeats, secrets, simhash, warc
 from tests.llm import brute, fixtures
 
 
@@ -563,3 +565,28 @@ def test_edit_distance():
 
 def test_ids_checksum_is_of_little_endian_ids():
     assert zlib.crc32(array("I", [1]).tobytes()) == zlib.crc32(b"\x01\x00\x00\x00")
+
+
+def test_lines_that_may_be_similar_hold_all_that_are():
+    random_ = random.Random(5)
+    words = ["de", "que", "ción", "日本", "the", "lines", "x", "", "a😀b"]
+    base = [" ".join(random_.choices(words, k=n)) for n in (0, 1, 3, 20, 60, 400) for _ in range(12)]
+    texts_ = base + [re.sub("[aeu]", lambda m: random_.choice([m.group(), "", "oo"]), t) for t in base]
+    size, counts = np.array([len(t) for t in texts_]), lines.pair_counts(texts_)
+    asked = left = 0
+    for i in range(1, len(texts_)):
+        near = lines.may_be_similar(size, counts, i, np.arange(i)).tolist()
+        assert {j for j in range(i) if lines.similar(texts_[i], texts_[j])} <= set(near)
+        asked, left = asked + i, left + len(near)
+    assert left < 0.5 * asked
+
+
+def test_wide_line_dedup_keeps_no_shuffle_and_no_table_it_is_done_with(spark, monkeypatch):
+    made, write = [], lines.materialise
+    monkeypatch.setattr(lines, "materialise", lambda df, name, by=None: (made.append((name, spark.conf.get(common.CLEANUP, "false"), write(df, name, by))), made[-1][2])[1])
+    before = spark.conf.get(common.CLEANUP, None)
+    df = spark.createDataFrame([(i, f"a line of some words, number {i % 7}, that goes on\nand another {i % 3}") for i in range(20)], "doc_id long, text string")
+    assert lines.line_dedup(df, wide=True).count() == 20 and spark.conf.get(common.CLEANUP, None) == before
+    assert {on for _, on, _ in made} == {"true"}
+    there = {name for name, _, t in made if os.path.exists(t._llm_path.removeprefix("file:"))}
+    assert "line-kept" in there and not there & {"line-members", "line-texts"}
