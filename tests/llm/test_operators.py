@@ -590,3 +590,41 @@ def test_wide_line_dedup_keeps_no_shuffle_and_no_table_it_is_done_with(spark, mo
     assert {on for _, on, _ in made} == {"true"}
     there = {name for name, _, t in made if os.path.exists(t._llm_path.removeprefix("file:"))}
     assert "line-kept" in there and not there & {"line-members", "line-texts"}
+
+
+def test_edit_distances_side_by_side_are_the_plain_ones(monkeypatch):
+    r = random.Random(12)
+    kinds = ["th", "ea", "ing", " ", "ou ", "the ", "öü", "日本"], [chr(0x4e00 + k) for k in range(300)] + ["x "]
+    texts_, pairs = [], []
+    for n, kind in [(4, 0), (20, 0), (32, 1), (40, 0), (90, 0), (64, 1), (400, 0), (700, 1)]:
+        for _ in range(60 if n < 100 else 24):
+            a = "".join(r.choices(kinds[kind], k=n))
+            b = list(a)
+            for _ in range(int(len(a) * r.choice((0, 0.05, 0.15, 0.2, 0.25, 0.3)))):
+                k = r.randrange(len(b))
+                b[k:k + r.randrange(2)] = r.choice(["", "x", "q"])
+                b = b or ["x"]
+            b = "".join(b) if r.random() < 0.6 else a[len(a) // 6:] + "".join(r.choices(kinds[kind], k=1 + n // 6))
+            pairs.append((len(texts_), len(texts_) + 1))
+            texts_ += [a, b]
+    i, j = np.array(pairs).T
+    size = np.array([len(t) for t in texts_])
+    ok = lines.sizes_allow(size[i], size[j])
+    want = np.array([lines.similar(texts_[a], texts_[b]) for a, b in pairs])
+    assert 0.2 < want.mean() < 0.8 and not (want & ~ok).any()
+    assert lines.all_similar(texts_, size, i, j).tolist() == want.tolist()
+    monkeypatch.setattr(lines, "ROOM", 64)
+    assert lines.all_similar(texts_, size, j, i).tolist() == want.tolist()
+
+
+def test_links_connect_all_that_are_similar_in_a_group(monkeypatch):
+    r = random.Random(13)
+    base = ["".join(r.choices("abcdefg ", k=n)) for n in (30, 60, 61, 70, 200) for _ in range(3)]
+    texts_ = base + ["".join(c if r.random() > 0.1 else "z" for c in t) for t in base for _ in range(4)]
+    group = np.sort(np.array([r.randrange(3) for _ in texts_]))
+    node, fp = np.arange(len(texts_)) * 7 - 100, np.zeros(len(texts_), np.int64)
+    top = brute_components(list(range(len(texts_))), lambda a, b: group[a] == group[b] and lines.similar(texts_[a], texts_[b]))
+    for batch in (5, 200_000):
+        monkeypatch.setattr(lines, "BATCH", batch)
+        links = {tuple(sorted(((int(a) + 100) // 7, (int(b) + 100) // 7))) for a, b in zip(*lines.links_of(group, node, fp, texts_))}
+        assert brute_components(list(range(len(texts_))), lambda a, b: tuple(sorted((a, b))) in links) == top
