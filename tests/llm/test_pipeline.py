@@ -58,3 +58,11 @@ def test_stages_keep_the_columns(spark):
         assert stage(spark, docs.limit(0), "").count() == 0
     for r in stages.surrogates(spark, docs, "").filter("text IS NOT NULL").collect():
         assert r["n_chars"] == len(r["text"])
+
+
+def test_the_line_stage_finds_lines_with_a_changed_word(spark):
+    base = [fixtures.prose(500 + i, 8 + 6 * i) for i in range(6)]
+    changed = [" ".join(w if k != 3 else "xylophones"[:len(w) + 1] for k, w in enumerate(t.split())) for t in base]
+    rows = [(0, "\n".join(base)), (1, "\n".join(changed)), (2, fixtures.prose(600, 30))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert dict(fixtures.plain(stages.lines(spark, df, ""))) == {**dict(rows), 1: ""}
